@@ -126,3 +126,90 @@ ENGLISH_STOP_WORDS = [
     "very", "s", "t", "can", "will", "just", "don", "should", "now",
 ]
 SEARCH_WEIGHTS = [("name", "A"), ("department", "B"), ("degree", "C")]
+
+# --------------------------------------------------------------------------
+# Selector rules per field, in priority order.  Each rule is the
+# CSS selector it stands for plus its structured form:
+#   tag        element name              id          id attribute equals
+#   class_eq   class token equals        class_like  class attribute contains
+#   attr       attribute present         ancestor_class  some ancestor has class token
+#   dt         "dt:contains(X) + dd"     has_h2      has an h2 descendant containing X
+# --------------------------------------------------------------------------
+
+SELECTOR_RULES = {
+    "name": [
+        ("h1.course-title", {"tag": "h1", "class_eq": "course-title"}),
+        ("h1[class*='course']", {"tag": "h1", "class_like": "course"}),
+        ("h1[class*='title']", {"tag": "h1", "class_like": "title"}),
+        ("#course-name", {"id": "course-name"}),
+        (".programme-header h1", {"tag": "h1", "ancestor_class": "programme-header"}),
+        ("h1", {"tag": "h1"}),
+    ],
+    "degree": [
+        (".course-type", {"class_eq": "course-type"}),
+        (".qualification", {"class_eq": "qualification"}),
+        ("[class*='award']", {"class_like": "award"}),
+        (".degree-type", {"class_eq": "degree-type"}),
+        (".programme-type", {"class_eq": "programme-type"}),
+    ],
+    "level": [
+        (".study-level", {"class_eq": "study-level"}),
+        (".programme-level", {"class_eq": "programme-level"}),
+        ("[class*='level']", {"class_like": "level"}),
+    ],
+    "department": [
+        (".department", {"class_eq": "department"}),
+        (".faculty", {"class_eq": "faculty"}),
+        ("[class*='department']", {"class_like": "department"}),
+        ("[class*='faculty']", {"class_like": "faculty"}),
+        (".school-name", {"class_eq": "school-name"}),
+        ("[class*='school']", {"class_like": "school"}),
+    ],
+    "ucas_code": [
+        (".ucas-code", {"class_eq": "ucas-code"}),
+        ("[class*='ucas']", {"class_like": "ucas"}),
+        ("[data-ucas]", {"attr": "data-ucas"}),
+        ("dt:contains('UCAS') + dd", {"dt": "UCAS"}),
+    ],
+    "study_mode": [
+        (".study-mode", {"class_eq": "study-mode"}),
+        ("[class*='study-mode']", {"class_like": "study-mode"}),
+        ("[class*='mode-of-study']", {"class_like": "mode-of-study"}),
+    ],
+    "duration": [
+        (".duration", {"class_eq": "duration"}),
+        ("[class*='duration']", {"class_like": "duration"}),
+        ("[class*='length']", {"class_like": "length"}),
+        ("dt:contains('Duration') + dd", {"dt": "Duration"}),
+        ("dt:contains('Length') + dd", {"dt": "Length"}),
+    ],
+    "start_month": [
+        ("[class*='start']", {"class_like": "start"}),
+        ("[class*='intake']", {"class_like": "intake"}),
+        ("dt:contains('Start') + dd", {"dt": "Start"}),
+    ],
+    "deadline_main": [
+        ("[class*='deadline']", {"class_like": "deadline"}),
+        ("[class*='closing']", {"class_like": "closing"}),
+        ("dt:contains('Application') + dd", {"dt": "Application"}),
+        ("dt:contains('Deadline') + dd", {"dt": "Deadline"}),
+    ],
+    "description": [
+        (".course-description", {"class_eq": "course-description"}),
+        (".course-overview", {"class_eq": "course-overview"}),
+        ("#overview", {"id": "overview"}),
+        ("[class*='description']", {"class_like": "description"}),
+        ("[class*='overview']", {"class_like": "overview"}),
+        (".intro-text", {"class_eq": "intro-text"}),
+    ],
+    "entry_requirements": [
+        ("#entry-requirements", {"id": "entry-requirements"}),
+        (".entry-requirements", {"class_eq": "entry-requirements"}),
+        ("[class*='entry-req']", {"class_like": "entry-req"}),
+        ("[class*='requirements']", {"class_like": "requirements"}),
+        ("section:has(h2:contains('Entry'))", {"tag": "section", "has_h2": "Entry"}),
+    ],
+}
+META_NAME_KEYS = ["og:title", "twitter:title"]
+META_UCAS_KEY = "programme:ucas_code"
+META_DURATION_KEY = "programme:duration"

@@ -92,8 +92,8 @@ def describe_course(part_cols: DataFrame) -> list:
     ]
 
 
-def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The courses table (schema of the catalogue, see ``schemas.COURSES``)."""
+def courses(spark: SparkSession, sf_dir: str, with_part: bool = False) -> DataFrame:
+    """The courses table; ``with_part`` also keeps ``p_type``/``p_size``."""
     facts = course_facts(spark, sf_dir)
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
@@ -117,19 +117,28 @@ def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("last_seen").alias("scraped_at"),
         F.col("first_seen").alias("created_at"),
         F.col("last_seen").alias("updated_at"),
+        *([F.col("p_type"), F.col("p_size")] if with_part else []),
     )
 
 
+def detail_text_columns() -> list:
+    """description / entry_requirements of a course row (null for research)."""
+    has = F.col("level") != "research"
+    return [
+        F.when(has, F.concat_ws(" ", F.col("name"), F.lit("is a"), F.col("degree"),
+                                F.lit("course taught by"), F.col("department"))).alias("description"),
+        F.when(has, F.concat(F.lit("IELTS "), F.col("ielts_score").cast("string"),
+                             F.lit(" overall; UCAS code "),
+                             F.coalesce(F.col("ucas_code"), F.lit("n/a")))).alias("entry_requirements"),
+    ]
+
+
 def course_details(spark: SparkSession, sf_dir: str, courses_df: DataFrame | None = None) -> DataFrame:
     """1:1 long texts; research courses have none."""
     c = courses_df if courses_df is not None else courses(spark, sf_dir)
     return (c.filter(F.col("level") != "research")
             .select(F.sha2(F.concat(F.lit("details:"), F.col("id")), 256).alias("id"),
                     F.col("id").alias("course_id"),
-                    F.concat_ws(" ", F.col("name"), F.lit("is a"), F.col("degree"),
-                                F.lit("course taught by"), F.col("department")).alias("description"),
-                    F.concat(F.lit("IELTS "), F.col("ielts_score").cast("string"),
-                             F.lit(" overall; UCAS code "),
-                             F.coalesce(F.col("ucas_code"), F.lit("n/a"))).alias("entry_requirements"),
+                    *detail_text_columns(),
                     F.lit(None).cast("string").alias("modules"),
                     F.lit(None).cast("string").alias("career_prospects")))
