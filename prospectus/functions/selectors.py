@@ -1,140 +1,189 @@
 """Selector matching over the per-page ``elems``/``texts`` arrays.
 
-Every helper returns a Column built from Spark higher-order functions
-(``filter``, ``exists``, ``transform``, ``slice``), evaluated inside the task
-that holds the page: no Python, no shuffle.
+Every helper builds a Spark SQL expression (higher-order functions
+``filter``, ``exists``, ``transform``, ``slice``) that runs inside the task
+holding the page: no Python, no shuffle.  Expressions are composed as SQL
+text and turned into a Column with one ``F.expr`` call, which keeps the
+driver-side cost of building a plan small.
 """
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PY_WS, nullif_empty, py_strip
+from .text import PY_WS
+
+_ids = itertools.count()
+
+
+def lit(s: str) -> str:
+    """A Spark SQL string literal."""
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def var(prefix: str = "v") -> str:
+    """A fresh lambda variable name (nested lambdas must not shadow)."""
+    return f"{prefix}{next(_ids)}"
 
-def ELEMS() -> Column:  # noqa: N802 - column handles, built lazily
-    return F.col("elems")
 
+def strip_sql(x: str) -> str:
+    """``str.strip()`` of SQL expression ``x``."""
+    return f"regexp_replace({x}, {lit(f'^{PY_WS}+|{PY_WS}+$')}, '')"
 
-def TEXTS() -> Column:  # noqa: N802
-    return F.col("texts")
 
+def nullif_empty_sql(x: str) -> str:
+    return f"nullif({x}, '')"
 
-def elem_at(ix: Column) -> Column:
-    """Element by 0-based index (null for -1)."""
-    return F.when(ix >= 0, F.try_element_at(ELEMS(), ix + 1))
 
+def elem_at_sql(ix: str) -> str:
+    """Element by 0-based index (null for -1 / null)."""
+    return f"(CASE WHEN {ix} >= 0 THEN try_element_at(elems, {ix} + 1) END)"
 
-def _nodes(e: Column) -> Column:
+
+def nodes_sql(e: str) -> str:
     """Text nodes that ``get_text`` of element ``e`` sees, in document order."""
-    span = F.slice(TEXTS(), e["t0"] + 1, e["t1"] - e["t0"])
-    raw_el = e["tag"].isin("script", "style")
-    return F.filter(span, lambda t: F.when(raw_el, t["kind"] == "raw")
-                    .otherwise(t["kind"] == "text"))
+    t = var("t")
+    return (f"filter(slice(texts, {e}.t0 + 1, {e}.t1 - {e}.t0), {t} -> "
+            f"CASE WHEN {e}.tag IN ('script', 'style') THEN {t}.kind = 'raw' "
+            f"ELSE {t}.kind = 'text' END)")
 
 
-def elem_text(e: Column, sep: str = " ", strip: bool = True) -> Column:
-    """``get_text(separator=sep, strip=strip)`` of element struct ``e``."""
-    parts = F.transform(_nodes(e), lambda t: t["text"])
+def _join_parts(parts: str, sep: str, strip: bool) -> str:
     if strip:
-        parts = F.filter(F.transform(parts, py_strip), lambda s: s != "")
-    return F.array_join(parts, sep)
+        s1, s2 = var("s"), var("s")
+        parts = f"filter(transform({parts}, {s1} -> {strip_sql(s1)}), {s2} -> {s2} != '')"
+    return f"array_join({parts}, {lit(sep)})"
 
 
-def doc_text(sep: str = "", strip: bool = False) -> Column:
+def elem_text_sql(e: str, sep: str = " ", strip: bool = True) -> str:
+    """``get_text(separator=sep, strip=strip)`` of element struct expression ``e``."""
+    t = var("t")
+    return _join_parts(f"transform({nodes_sql(e)}, {t} -> {t}.text)", sep, strip)
+
+
+def doc_text_sql(sep: str = "", strip: bool = False) -> str:
     """``get_text`` of the whole document (script, style and comments excluded)."""
-    parts = F.transform(F.filter(TEXTS(), lambda t: t["kind"] == "text"), lambda t: t["text"])
-    if strip:
-        parts = F.filter(F.transform(parts, py_strip), lambda s: s != "")
-    return F.array_join(parts, sep)
+    t1, t2 = var("t"), var("t")
+    return _join_parts(f"transform(filter(texts, {t1} -> {t1}.kind = 'text'), {t2} -> {t2}.text)",
+                       sep, strip)
 
 
-def parent_text(parent_ix: Column, sep: str = "", strip: bool = False) -> Column:
+def parent_text_sql(parent_ix: str, sep: str = "", strip: bool = False) -> str:
     """get_text of a text node's parent; -1 means the document itself."""
-    return F.when(parent_ix < 0, doc_text(sep, strip)).otherwise(
-        elem_text(elem_at(parent_ix), sep, strip))
-
-
-def _class_tokens(e: Column) -> Column:
-    return F.split(F.coalesce(e["cls"], F.lit("")), f"{PY_WS}+")
-
-
-def predicate(spec: dict):
-    """Structured selector (see ``rules.SELECTOR_RULES``) -> ``(e, i) -> Column``."""
-    def pred(e: Column, i: Column) -> Column:
-        conds = []
-        if "tag" in spec:
-            conds.append(e["tag"] == spec["tag"])
-        if "id" in spec:
-            conds.append(F.coalesce(e["id"] == spec["id"], F.lit(False)))
-        if "class_eq" in spec:
-            conds.append(F.array_contains(_class_tokens(e), spec["class_eq"]))
-        if "class_like" in spec:
-            conds.append(F.coalesce(e["cls"].contains(spec["class_like"]), F.lit(False)))
-        if "attr" in spec:
-            conds.append(F.map_contains_key(e["attrs"], spec["attr"]))
-        if "ancestor_class" in spec:
-            want = spec["ancestor_class"]
-            conds.append(F.exists(e["anc"], lambda a: F.array_contains(
-                _class_tokens(elem_at(a)), want)))
-        if "dt" in spec:
-            word = spec["dt"]
-            prev = elem_at(e["prev"])
-            conds.append((e["tag"] == "dd") & (e["prev"] >= 0)
-                         & F.coalesce(prev["tag"] == "dt", F.lit(False))
-                         & elem_text(prev, "", False).contains(word))
-        if "has_h2" in spec:
-            word = spec["has_h2"]
-            conds.append(F.exists(ELEMS(), lambda d: (d["tag"] == "h2")
-                                  & F.array_contains(d["anc"], i)
-                                  & elem_text(d, "", False).contains(word)))
-        out = conds[0]
-        for c in conds[1:]:
-            out = out & c
-        return out
-    return pred
-
-
-def first_element(spec: dict) -> Column:
-    """``select_one``: the first element in document order matching ``spec``."""
-    return F.try_element_at(F.filter(ELEMS(), predicate(spec)), F.lit(1))
+    return (f"(CASE WHEN {parent_ix} < 0 THEN {doc_text_sql(sep, strip)} "
+            f"ELSE {elem_text_sql(elem_at_sql(parent_ix), sep, strip)} END)")
+
+
+def _class_tokens(e: str) -> str:
+    return f"split(coalesce({e}.cls, ''), {lit(PY_WS + '+')})"
+
+
+def predicate_sql(spec: dict, e: str, i: str) -> str:
+    """Structured selector (see ``rules.SELECTOR_RULES``) as a condition on ``e``/``i``."""
+    conds = []
+    if "tag" in spec:
+        conds.append(f"{e}.tag = {lit(spec['tag'])}")
+    if "id" in spec:
+        conds.append(f"coalesce({e}.id = {lit(spec['id'])}, false)")
+    if "class_eq" in spec:
+        conds.append(f"array_contains({_class_tokens(e)}, {lit(spec['class_eq'])})")
+    if "class_like" in spec:
+        conds.append(f"coalesce(contains({e}.cls, {lit(spec['class_like'])}), false)")
+    if "attr" in spec:
+        conds.append(f"map_contains_key({e}.attrs, {lit(spec['attr'])})")
+    if "ancestor_class" in spec:
+        a = var("a")
+        conds.append(f"exists({e}.anc, {a} -> array_contains("
+                     f"{_class_tokens(elem_at_sql(a))}, {lit(spec['ancestor_class'])}))")
+    if "dt" in spec:
+        prev = elem_at_sql(f"{e}.prev")
+        conds.append(f"{e}.tag = 'dd' AND {e}.prev >= 0 AND coalesce({prev}.tag = 'dt', false) "
+                     f"AND contains({elem_text_sql(prev, '', False)}, {lit(spec['dt'])})")
+    if "has_h2" in spec:
+        d = var("d")
+        conds.append(f"exists(elems, {d} -> {d}.tag = 'h2' AND array_contains({d}.anc, {i}) "
+                     f"AND contains({elem_text_sql(d, '', False)}, {lit(spec['has_h2'])}))")
+    return "(" + " AND ".join(conds) + ")"
+
+
+def first_index_sql(spec: dict) -> str:
+    """``select_one``: index of the first element (document order) matching ``spec``."""
+    e, i, x = var("e"), var("i"), var("x")
+    return (f"try_element_at(filter(transform(elems, ({e}, {i}) -> "
+            f"CASE WHEN {predicate_sql(spec, e, i)} THEN {i} END), {x} -> {x} IS NOT NULL), 1)")
+
+
+def first_index(spec: dict) -> Column:
+    return F.expr(first_index_sql(spec))
+
+
+def text_of_index_sql(ix: str) -> str:
+    """Non-empty ``get_text(' ', strip=True)`` of element ``ix`` or null."""
+    return nullif_empty_sql(elem_text_sql(elem_at_sql(ix), " ", True))
+
+
+def first_text_of(index_cols: list[str], max_chars: int = 500) -> Column:
+    """E0 over precomputed first-match index columns (priority order)."""
+    texts = ", ".join(text_of_index_sql(c) for c in index_cols)
+    return F.expr(f"substring(coalesce({texts}), 1, {max_chars})")
+
+
+def first_text_sql(rules: list, max_chars: int = 500) -> str:
+    texts = ", ".join(text_of_index_sql(first_index_sql(spec)) for _css, spec in rules)
+    return f"substring(coalesce({texts}), 1, {max_chars})"
 
 
 def first_text(rules: list, max_chars: int = 500) -> Column:
     """First selector whose first element has non-empty text; its text[:n]."""
-    cands = []
-    for _css, spec in rules:
-        el = first_element(spec)
-        cands.append(nullif_empty(elem_text(el, " ", True)))
-    return F.substring(F.coalesce(*cands), 1, max_chars)
+    return F.expr(first_text_sql(rules, max_chars))
+
+
+def first_tag_index(tag: str) -> Column:
+    return F.expr(first_index_sql({"tag": tag}))
 
 
-def first_tag(tag: str) -> Column:
-    """``soup.find(tag)``: first element with this tag name (or null)."""
-    return F.try_element_at(F.filter(ELEMS(), lambda e: e["tag"] == tag), F.lit(1))
+def elem_text(ix_col: str, sep: str = "", strip: bool = False) -> Column:
+    """get_text of the element at index column ``ix_col`` (null when absent)."""
+    e = elem_at_sql(ix_col)
+    return F.expr(f"CASE WHEN {e} IS NOT NULL THEN {elem_text_sql(e, sep, strip)} END")
+
+
+def doc_text(sep: str = "", strip: bool = False) -> Column:
+    return F.expr(doc_text_sql(sep, strip))
 
 
 def meta_entries() -> Column:
     """E1 entries in document order: (key = name or property, value = stripped content)."""
-    metas = F.filter(ELEMS(), lambda e: (e["tag"] == "meta")
-                     & F.coalesce(nullif_empty(e["attrs"]["name"]), e["attrs"]["property"]).isNotNull()
-                     & nullif_empty(e["attrs"]["content"]).isNotNull())
-    return F.transform(metas, lambda e: F.struct(
-        F.coalesce(nullif_empty(e["attrs"]["name"]), e["attrs"]["property"]).alias("key"),
-        py_strip(e["attrs"]["content"]).alias("value")))
+    e1, e2 = var("e"), var("e")
+    key = lambda e: f"coalesce(nullif({e}.attrs['name'], ''), {e}.attrs['property'])"
+    return F.expr(
+        f"transform(filter(elems, {e1} -> {e1}.tag = 'meta' AND {key(e1)} IS NOT NULL "
+        f"AND nullif({e1}.attrs['content'], '') IS NOT NULL), "
+        f"{e2} -> named_struct('key', {key(e2)}, 'value', {strip_sql(e2 + '.attrs[' + lit('content') + ']')}))")
 
 
-def meta_get(key: str) -> Column:
+def meta_get(key: str, entries_col: str = "_meta") -> Column:
     """Value of the last meta entry with ``key`` (later duplicates win)."""
-    return F.try_element_at(F.filter(meta_entries(), lambda m: m["key"] == key), F.lit(-1))["value"]
+    m = var("m")
+    return F.expr(f"try_element_at(filter({entries_col}, {m} -> {m}.key = {lit(key)}), -1).value")
 
 
-def meta_map() -> Column:
+def meta_map(entries_col: str = "_meta") -> Column:
     """E1 as ``map<string,string>``, keeping the last value per key."""
-    ents = meta_entries()
-    last = F.filter(ents, lambda m, i: ~F.exists(
-        F.slice(ents, i + 2, F.greatest(F.size(ents) - i - 1, F.lit(0))),
-        lambda later: later["key"] == m["key"]))
-    return F.map_from_entries(last)
+    m, i, later = var("m"), var("i"), var("l")
+    return F.expr(
+        f"map_from_entries(filter({entries_col}, ({m}, {i}) -> NOT exists("
+        f"slice({entries_col}, {i} + 2, greatest(size({entries_col}) - {i} - 1, 0)), "
+        f"{later} -> {later}.key = {m}.key)))")
+
+
+def node_scan(node_pattern: str, parent_sep: str, parent_strip: bool, value_sql) -> str:
+    """Text nodes (any kind) matching ``node_pattern`` -> ``value_sql(parent_text)``,
+    in document order, as an array expression."""
+    t = var("t")
+    nodes = f"filter(texts, {t} -> {t}.text RLIKE {lit(node_pattern)})"
+    u = var("t")
+    return f"transform({nodes}, {u} -> {value_sql(parent_text_sql(u + '.parent', parent_sep, parent_strip))})"

@@ -3,6 +3,15 @@
 Input: a page DataFrame that went through ``html.parsed_pages`` (has ``elems``
 and ``texts``).  Every field is a column expression over the page's own
 arrays, so extraction is a narrow projection with no shuffle.
+
+The work is staged in three projections so that each expensive piece is
+computed once per page and then referenced by name:
+
+1. ``stage_inputs``: for every selector rule the index of its first matching
+   element, the meta entries and the title index;
+2. the texts of the selected elements per field (``_txt_<field>``), the title
+   text and the whole-page text;
+3. the field rules themselves (the functions below), over those columns.
 """
 
 from __future__ import annotations
@@ -17,30 +26,61 @@ from ..functions.fields import (capitalize, fee_from_text, parse_degree, pattern
 from ..functions.text import PY_WS, nullif_empty, py_strip
 
 R = rules.SELECTOR_RULES
+MAX_CHARS = {"description": rules.DESCRIPTION_MAX_CHARS,
+             "entry_requirements": rules.ENTRY_REQUIREMENTS_MAX_CHARS}
+ARRAYS = ["elems", "texts"]
+
+
+def stage_inputs(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Stages 1-2: per-rule first-match indices, then per-field texts."""
+    keep = keep if keep is not None else [c for c in parsed.columns
+                                          if c not in ("elems", "texts", "parse_error")]
+    ix_cols = []
+    for field, rs in R.items():
+        for k, (_css, spec) in enumerate(rs):
+            ix_cols.append(S.first_index(spec).alias(f"_ix_{field}_{k}"))
+    s1 = parsed.select(*keep, *ARRAYS, "parse_error", *ix_cols,
+                       S.first_tag_index("title").alias("_ix_title"),
+                       S.meta_entries().alias("_meta"))
+    txt_cols = []
+    for field, rs in R.items():
+        idx = [f"_ix_{field}_{k}" for k in range(len(rs))]
+        txt_cols.append(S.first_text_of(idx, MAX_CHARS.get(field, rules.DEFAULT_MAX_CHARS))
+                        .alias(f"_txt_{field}"))
+    return s1.select(*keep, *ARRAYS, "parse_error", "_meta", *txt_cols,
+                     S.elem_text("_ix_title", "", False).alias("_title"),
+                     S.doc_text("\n", False).alias("_page_text"))
+
+
+def _txt(field: str) -> Column:
+    return F.col(f"_txt_{field}")
+
+
+def _meta(key: str) -> Column:
+    return S.meta_get(key, "_meta")
 
 
 def title_text() -> Column:
     """``soup.find('title').get_text()``; a page without <title> gives null."""
-    t = S.first_tag("title")
-    return F.when(t.isNotNull(), S.elem_text(t, "", False))
+    return F.col("_title")
 
 
 def extract_name() -> Column:
     """Og:title / twitter:title before '|', else the name selectors."""
-    meta = F.coalesce(*[nullif_empty(S.meta_get(k)) for k in rules.META_NAME_KEYS])
+    meta = F.coalesce(*[nullif_empty(_meta(k)) for k in rules.META_NAME_KEYS])
     return F.when(meta.isNotNull(), py_strip(F.substring_index(meta, "|", 1))).otherwise(
-        S.first_text(R["name"], rules.DEFAULT_MAX_CHARS))
+        _txt("name"))
 
 
 def extract_degree() -> Column:
     """Degree selector text decides when present; else the page title."""
-    text = S.first_text(R["degree"], rules.DEFAULT_MAX_CHARS)
+    text = _txt("degree")
     return F.when(text.isNotNull(), parse_degree(text)).otherwise(parse_degree(title_text()))
 
 
 def extract_level() -> Column:
     """E5: keywords over level selector text + title (a missing title counts as '')."""
-    pool = F.lower(F.concat_ws(" ", F.coalesce(S.first_text(R["level"]), F.lit("")),
+    pool = F.lower(F.concat_ws(" ", F.coalesce(_txt("level"), F.lit("")),
                                F.coalesce(title_text(), F.lit(""))))
 
     def any_of(words):
@@ -55,7 +95,7 @@ def extract_level() -> Column:
 
 
 def extract_department() -> Column:
-    return S.first_text(R["department"], rules.DEFAULT_MAX_CHARS)
+    return _txt("department")
 
 
 UCAS_RE = r"(?U)\b([A-Z]\d{3})\b"
@@ -64,26 +104,25 @@ UCAS_RE = r"(?U)\b([A-Z]\d{3})\b"
 def extract_ucas() -> Column:
     """Meta code; else code in selector text; else the first text node that
     mentions UCAS whose parent text holds a code."""
-    meta = nullif_empty(S.meta_get(rules.META_UCAS_KEY))
-    text = S.first_text(R["ucas_code"], rules.DEFAULT_MAX_CHARS)
-    from_sel = pattern_group(text, UCAS_RE)
-    nodes = F.filter(S.TEXTS(), lambda t: t["text"].rlike(r"(?iU)\bUCAS\b"))
-    codes = F.filter(F.transform(nodes, lambda t: pattern_group(S.parent_text(t["parent"]), UCAS_RE)),
-                     lambda c: c.isNotNull())
-    return F.coalesce(meta, F.when(text.isNotNull(), from_sel), F.try_element_at(codes, F.lit(1)))
+    meta = nullif_empty(_meta(rules.META_UCAS_KEY))
+    text = _txt("ucas_code")
+    pat = S.lit(UCAS_RE)
+    codes = S.node_scan(r"(?iU)\bUCAS\b", "", False,
+                        lambda p: f"CASE WHEN {p} RLIKE {pat} THEN regexp_extract({p}, {pat}, 1) END")
+    first_code = F.expr(f"try_element_at(filter({codes}, c -> c IS NOT NULL), 1)")
+    return F.coalesce(meta, F.when(text.isNotNull(), pattern_group(text, UCAS_RE)), first_code)
 
 
 def extract_study_mode() -> Column:
     """Modes named in the study-mode text, default [full-time]."""
-    text = F.coalesce(S.first_text(R["study_mode"]), F.lit(""))
-    return study_modes_from_text(text, strict=True)
+    return study_modes_from_text(F.coalesce(_txt("study_mode"), F.lit("")), strict=True)
 
 
 def extract_duration() -> Column:
     """Meta 'N academic years'; else 'N year'; else months/12 (half-even)."""
-    meta = S.meta_get(rules.META_DURATION_KEY)
-    meta_years = pattern_group(meta, f"(?iU)(\\d+){PY_WS}*academic{PY_WS}*years").try_cast("double")
-    text = F.coalesce(S.first_text(R["duration"]), F.lit(""))
+    meta_years = pattern_group(_meta(rules.META_DURATION_KEY),
+                               f"(?iU)(\\d+){PY_WS}*academic{PY_WS}*years").try_cast("double")
+    text = F.coalesce(_txt("duration"), F.lit(""))
     years = pattern_group(text, f"(?iU)(\\d+\\.?\\d*){PY_WS}*year").try_cast("double")
     months = pattern_group(text, f"(?iU)(\\d+){PY_WS}*month").try_cast("double")
     return F.coalesce(meta_years, years, F.bround(months / 12, 1))
@@ -91,19 +130,13 @@ def extract_duration() -> Column:
 
 def extract_start_month() -> Column:
     """First month name in the start/intake text, capitalised."""
-    text = F.coalesce(S.first_text(R["start_month"]), F.lit(""))
-    m = pattern_group(text, "(?i)(" + "|".join(rules.MONTHS) + ")")
-    return capitalize(m)
-
-
-def page_text_lines() -> Column:
-    """Whole-page text, one text node per line (script/style/comments excluded)."""
-    return S.doc_text("\n", False)
+    text = F.coalesce(_txt("start_month"), F.lit(""))
+    return capitalize(pattern_group(text, "(?i)(" + "|".join(rules.MONTHS) + ")"))
 
 
 def extract_fees() -> dict[str, Column]:
-    """The four fee fields from the whole-page text."""
-    text = page_text_lines()
+    """The four fee fields from the whole-page text (one node per line)."""
+    text = F.col("_page_text")
     return {
         "fee_uk_yearly": fee_from_text(text, rules.FEE_UK_KEYWORDS),
         "fee_uk_sandwich": fee_from_text(text, rules.FEE_SANDWICH_KEYWORDS),
@@ -114,32 +147,36 @@ def extract_fees() -> dict[str, Column]:
 
 def extract_deadline_main() -> Column:
     """E13."""
-    t = S.first_text(R["deadline_main"])
+    t = _txt("deadline_main")
     return F.when(t.isNotNull(), py_strip(t))
 
 
 def extract_deadline_late() -> Column:
     """First node mentioning late/clearing whose parent text has 4 digits."""
-    nodes = F.filter(S.TEXTS(), lambda t: t["text"].rlike("(?i)late|clearing"))
-    cands = F.filter(F.transform(nodes, lambda t: S.parent_text(t["parent"], "", True)),
-                     lambda s: s.rlike(r"(?U)\d{4}"))
-    return F.substring(F.try_element_at(cands, F.lit(1)), 1, rules.DEADLINE_LATE_MAX_CHARS)
+    texts = S.node_scan("(?i)late|clearing", "", True, lambda p: p)
+    year = S.lit(r"(?U)\d{4}")
+    return F.expr(f"substring(try_element_at(filter({texts}, s -> s RLIKE {year}), 1), 1, "
+                  f"{rules.DEADLINE_LATE_MAX_CHARS})")
 
 
 def extract_ielts() -> Column:
     """The parent texts of all IELTS nodes, then the first score."""
-    nodes = F.filter(S.TEXTS(), lambda t: t["text"].rlike("(?i)IELTS"))
-    pool = F.array_join(F.transform(nodes, lambda t: F.concat(
-        F.lit(" "), S.parent_text(t["parent"], "", False))), "")
+    parts = S.node_scan("(?i)IELTS", "", False, lambda p: f"concat(' ', {p})")
+    pool = F.expr(f"array_join({parts}, '')")
     return pattern_group(pool, r"(?iU)IELTS[^\d]*(\d+\.?\d*)").try_cast("double")
 
 
 def extract_description() -> Column:
-    return S.first_text(R["description"], rules.DESCRIPTION_MAX_CHARS)
+    return _txt("description")
 
 
 def extract_entry_requirements() -> Column:
-    return S.first_text(R["entry_requirements"], rules.ENTRY_REQUIREMENTS_MAX_CHARS)
+    return _txt("entry_requirements")
+
+
+def dl_lookup(word: str) -> Column:
+    """Text of the dd that follows a dt containing ``word`` (on parsed pages)."""
+    return S.first_text([(f"dt:contains('{word}') + dd", {"dt": word})])
 
 
 RAW_FIELDS = ["name", "degree", "level", "department", "ucas_code", "study_mode",
@@ -173,7 +210,7 @@ def extract_fields(parsed: DataFrame, keep: list[str] | None = None) -> DataFram
     """Parsed pages -> ``keep`` columns + the 17 raw fields (+ parse_error)."""
     keep = keep if keep is not None else [c for c in parsed.columns
                                           if c not in ("elems", "texts", "parse_error")]
-    return parsed.select(*keep, *raw_record_columns(), "parse_error")
+    return stage_inputs(parsed, keep).select(*keep, *raw_record_columns(), "parse_error")
 
 
 def split_quarantine(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

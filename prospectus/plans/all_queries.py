@@ -1,3 +1,4 @@
 """Import every query module so that all queries are registered."""
 
 from . import catalogue_queries  # noqa: F401
+from . import extract_queries  # noqa: F401
