@@ -2,3 +2,4 @@
 
 from . import catalogue_queries  # noqa: F401
 from . import extract_queries  # noqa: F401
+from . import item_queries  # noqa: F401

@@ -22,7 +22,7 @@ COURSES_CTE = f"""
 facts AS (
   SELECT l_partkey, l_suppkey, min(l_shipdate) AS first_seen, max(l_shipdate) AS last_seen,
          count(*) AS n_obs, max(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) AS any_open
-  FROM lineitem GROUP BY l_partkey, l_suppkey
+  FROM lineitem {{where}} GROUP BY l_partkey, l_suppkey
 ),
 cbase AS (
   SELECT f.*, p.*, s.s_name,
@@ -69,12 +69,16 @@ details AS (
   FROM courses WHERE level <> 'research'
 )"""
 
-CATALOGUE = "WITH " + UNIS_CTE.strip() + ",\n" + COURSES_CTE.strip()
+CATALOGUE = "WITH " + UNIS_CTE.strip() + ",\n" + COURSES_CTE.strip().replace("{where}", "")
 CATALOGUE_WITH_DETAILS = CATALOGUE + ",\n" + DETAILS_CTE.strip()
 
 
-def with_catalogue(body: str, details: bool = False, extra: str = "") -> str:
+def with_catalogue(body: str, details: bool = False, extra: str = "", before: str | None = None) -> str:
     head = CATALOGUE_WITH_DETAILS if details else CATALOGUE
+    if before is not None:
+        where = f"WHERE l_shipdate < TIMESTAMP '{before}'"
+        head = ("WITH " + UNIS_CTE.strip() + ",\n" + COURSES_CTE.strip().replace("{where}", where)
+                + ("," + DETAILS_CTE if details else ""))
     if extra:
         head += ",\n" + extra.strip()
     return head + "\n" + body.strip()

@@ -52,9 +52,15 @@ def course_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                      "l_shipdate")
 
 
-def course_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Aggregate observations per course (hash aggregate, partial map-side)."""
+def course_facts(spark: SparkSession, sf_dir: str, before: str | None = None) -> DataFrame:
+    """Aggregate observations per course (hash aggregate, partial map-side).
+
+    ``before`` (a date) keeps the observations earlier than it: the catalogue
+    as it was at that time.  The predicate is pushed into the parquet scan.
+    """
     obs = course_observations(spark, sf_dir)
+    if before is not None:
+        obs = obs.filter(F.col("l_shipdate") < F.lit(before).cast("timestamp_ntz"))
     return (obs.groupBy("l_partkey", "l_suppkey")
             .agg(F.min("l_shipdate").alias("first_seen"),
                  F.max("l_shipdate").alias("last_seen"),
@@ -92,9 +98,10 @@ def describe_course(part_cols: DataFrame) -> list:
     ]
 
 
-def courses(spark: SparkSession, sf_dir: str, with_part: bool = False) -> DataFrame:
+def courses(spark: SparkSession, sf_dir: str, with_part: bool = False,
+            before: str | None = None) -> DataFrame:
     """The courses table; ``with_part`` also keeps ``p_type``/``p_size``."""
-    facts = course_facts(spark, sf_dir)
+    facts = course_facts(spark, sf_dir, before)
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
     sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")

@@ -93,3 +93,51 @@ def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("page_id"), F.col("source_url").alias("url"),
         render_html().alias("html"), "university_name", "university_location")
+
+
+def render_markdown(r=F.col) -> F.Column:
+    """A markdown view of a course page (what a page-to-markdown fetch returns)."""
+    entry = F.when(r("entry_requirements").isNotNull(), F.concat(
+        F.lit("\n\nEntry Requirements\n"), r("entry_requirements"), F.lit(". "),
+        r("description"), F.lit(". Applicants are assessed on their full academic record.")))
+    ucas = F.when(r("ucas_code").isNotNull(), F.concat(F.lit("\nUCAS code: "), r("ucas_code")))
+    return F.concat_ws("", F.lit("# "), r("name"), F.lit("\n\n"), r("degree"), F.lit(" programme\n"),
+                       F.lit("School of "), r("department"), F.lit("\n"),
+                       F.lit("Duration: "), r("duration_years").cast("string"), F.lit(" years\n"),
+                       F.lit("Start date: "), r("start_month"), F.lit("\n"),
+                       F.lit("UK: £"), F.format_number(r("fee_uk_yearly"), 0), F.lit(" per year\n"),
+                       F.lit("International: £"), F.format_number(r("fee_intl_yearly"), 0),
+                       F.lit(" per year"), ucas,
+                       F.lit("\nEnglish: IELTS "), r("ielts_score").cast("string"), entry)
+
+
+def markdown_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(url, md)``: one markdown document per course."""
+    return course_rows(spark, sf_dir).select(F.col("source_url").alias("url"),
+                                             render_markdown().alias("md"))
+
+
+def raw_from_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records as a source would deliver them (text fees, padded names,
+    abbreviated levels); research courses list no degree, fees or long texts."""
+    rows = course_rows(spark, sf_dir)
+    taught = F.col("level") != "research"
+    lvl = (F.when(F.col("level") == "undergraduate", F.lit("UG"))
+           .when(F.col("level") == "postgraduate", F.lit("pg ")).otherwise(F.col("level")))
+    return rows.select(
+        F.col("source_url").alias("url"), "university_name", "university_location",
+        F.concat(F.lit(" "), F.col("name"), F.lit("  ")).alias("name"),
+        F.when(taught, F.col("degree")).alias("degree"),
+        lvl.alias("level"),
+        F.concat(F.col("department"), F.lit("\n")).alias("department"),
+        "ucas_code", "study_mode",
+        F.col("duration_years").cast("string").alias("duration_years"),
+        "start_month",
+        F.when(taught, F.format_number("fee_uk_yearly", 0)).alias("fee_uk_yearly"),
+        F.col("fee_uk_sandwich").cast("string").alias("fee_uk_sandwich"),
+        F.when(taught, F.format_number("fee_intl_yearly", 0)).alias("fee_intl_yearly"),
+        F.col("fee_intl_sandwich").cast("string").alias("fee_intl_sandwich"),
+        "deadline_main", "deadline_late",
+        F.col("ielts_score").cast("string").alias("ielts_score"),
+        "description", "entry_requirements",
+        F.col("scraped_at").alias("seen_at"))
