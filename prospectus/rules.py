@@ -213,3 +213,143 @@ SELECTOR_RULES = {
 META_NAME_KEYS = ["og:title", "twitter:title"]
 META_UCAS_KEY = "programme:ucas_code"
 META_DURATION_KEY = "programme:duration"
+
+# --------------------------------------------------------------------------
+# Link discovery rules, one entry per source.  Keys:
+#   selectors      anchors kept (union); each is a dict of
+#                  href_contains / href_prefix / class_eq / anc_tag / anc_class;
+#                  None = every <a href>
+#   href_any       keep an href containing any of these (after the selectors)
+#   drop_schemes   drop empty, tel:, mailto:, javascript: and '#' hrefs
+#   includes       keep an href containing any of these
+#   excludes       drop an href containing any of these (tested before resolving)
+#   abs_contains   the resolved URL must contain this
+#   abs_plain      the resolved URL must have no '?' and no '#'
+#   abs_any        the resolved URL must contain one of these
+#   canonical      cut the resolved URL at '#' and strip trailing '/'
+#   exclude_self   drop the page's own URL (trailing '/' ignored)
+#   exclude_start  drop any start URL of the source (trailing '/' ignored)
+#   href_not       drop an href equal to this
+#   url_patterns   second strategy unioned in: every href containing all of
+#                  ``all`` and any of ``any``
+#   dedup          keep the first occurrence of each resolved URL per page
+# --------------------------------------------------------------------------
+
+SOURCE_RULES = [
+    {"source": "brookes", "university_name": "Oxford Brookes University",
+     "location": "Oxford, England",
+     "selectors": [{"href_contains": "/course/"}, {"href_contains": "/courses/"},
+                   {"class_eq": "course-link"}, {"anc_tag": "div", "anc_class": "course-item"},
+                   {"anc_tag": "li", "anc_class": "course-listing"}],
+     "href_any": ["/course/", "/courses/"], "dedup": True},
+    {"source": "loughborough", "university_name": "Loughborough University",
+     "location": "Loughborough, England",
+     "selectors": [{"href_contains": "/courses/"}, {"href_contains": "/masters-"},
+                   {"class_eq": "course-link"}, {"anc_tag": "div", "anc_class": "course-item"},
+                   {"anc_tag": "li", "anc_class": "course-listing"}, {"class_eq": "list__link"}],
+     "href_any": ["/courses/", "/masters-"], "dedup": True},
+    {"source": "lsbu", "university_name": "London South Bank University",
+     "location": "London, England", "drop_schemes": True,
+     "includes": ["/course/", "/courses/", "/study/course", "course-finder/", "undergraduate/",
+                  "postgraduate/", "masters-courses/"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#"], "dedup": True},
+    {"source": "malvern_house", "university_name": "Malvern House International",
+     "location": "London, England", "drop_schemes": True,
+     "includes": ["/our-courses/", "/course/", "/courses/", "teacher-training",
+                  "year-round-groups", "international-foundation-year", "international-year-one",
+                  "international-master", "pre-masters", "ncuk"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#", "login", "agent-login"], "dedup": True},
+    {"source": "middlesex", "university_name": "Middlesex University",
+     "location": "London, England",
+     "selectors": [{"href_contains": "/courses/", "anc_tag": "main"}],
+     "drop_schemes": True, "abs_contains": "/courses/", "exclude_self": True, "abs_plain": True,
+     "abs_any": ["/courses/undergraduate/", "/courses/postgraduate/",
+                 "/courses/short-courses-and-cpd/", "/courses/foundation/",
+                 "/courses/research-degrees/"], "dedup": True},
+    {"source": "northeastern", "university_name": "Northeastern University London",
+     "location": "London, England", "drop_schemes": True,
+     "includes": ["/degrees/undergraduate/", "/degrees/postgraduate/",
+                  "/degrees/degree-apprenticeships/", "/study/degrees/", "nulondon.ac.uk/degrees/"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#"], "dedup": True},
+    {"source": "northumbria", "university_name": "Northumbria University",
+     "location": "Newcastle, England", "drop_schemes": True,
+     "includes": ["/study-at-northumbria/courses/", "/courses/",
+                  "northumbria.ac.uk/study-at-northumbria/courses/"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#", "coming-to-northumbria", "postgraduate-study"], "dedup": True},
+    {"source": "norwich", "university_name": "Norwich University of the Arts",
+     "location": "Norwich, England", "drop_schemes": True,
+     "includes": ["/courses/find-your-course/", "norwichuni.ac.uk/courses/", "/courses/postgraduate/"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#", "find-your-course/", "postgraduate/", "grid-9404="],
+     "dedup": True},
+    {"source": "ntu", "university_name": "Nottingham Trent University",
+     "location": "Nottingham, England",
+     "selectors": [{"href_contains": "/course/"}, {"href_contains": "/courses/"},
+                   {"class_eq": "course-link"}, {"anc_tag": "div", "anc_class": "course-item"},
+                   {"anc_tag": "li", "anc_class": "course-listing"}],
+     "href_any": ["/course/", "/courses/"], "dedup": True},
+    {"source": "oieg", "university_name": "Oxford International Education Group",
+     "location": "Multiple (UK)", "drop_schemes": True,
+     "includes": ["/courses/detail/", "/courses/?", "/partner/", "/pathway-courses/"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#", "for-students", "for-agents", "for-partners", "legal-policies"],
+     "dedup": True},
+    {"source": "qub", "university_name": "Queen's University Belfast",
+     "location": "Belfast, Northern Ireland",
+     "selectors": [{"href_contains": "/courses/undergraduate/"},
+                   {"href_contains": "/courses/postgraduate-taught/"},
+                   {"href_contains": "/courses/postgraduate-research/"},
+                   {"class_eq": "course-link"}, {"class_eq": "course-title"},
+                   {"anc_tag": "div", "anc_class": "course-item"},
+                   {"anc_tag": "div", "anc_class": "course-card"},
+                   {"anc_tag": "div", "anc_class": "course-listing"},
+                   {"anc_tag": "li", "anc_class": "course"}],
+     "url_patterns": {"all": ["/courses/"], "any": ["/undergraduate/", "/postgraduate-"]},
+     "dedup": True},
+    {"source": "ravensbourne", "university_name": "Ravensbourne University London",
+     "location": "London, England", "selectors": [{"class_eq": "aspect-ratio-card"}],
+     "dedup": False},
+    {"source": "regent_college", "university_name": "Regent College London",
+     "location": "London, England", "drop_schemes": True,
+     "includes": ["/courses/detail/", "/courses/subjects/", "/courses/search/", "rcl.ac.uk/courses/"],
+     "excludes": ["?query=", "?collection=", "?profile=", "?f.Level", "page=", "#", "subjects/", "search/"], "dedup": True},
+    {"source": "regents_uni", "university_name": "Regent's University London",
+     "location": "London, England", "selectors": [{"anc_tag": "main"}], "canonical": True,
+     "abs_any": ["/undergraduate/", "/postgraduate/", "/foundation/", "/english/courses/"],
+     "exclude_start": True, "dedup": True},
+    {"source": "rgu", "university_name": "Robert Gordon University", "location": "Aberdeen, Scotland",
+     "selectors": [{"class_eq": "link", "href_contains": "/study/courses/"}], "dedup": False},
+    {"source": "richmond", "university_name": "Richmond American University London",
+     "location": "London, England", "selectors": [{"class_eq": "programme-title"}], "dedup": False},
+    {"source": "royal_holloway_isc", "university_name": "Royal Holloway ISC (Study Group)",
+     "location": "Egham, England", "selectors": [{"href_prefix": "/programmes/"}],
+     "href_not": "/programmes", "dedup": False},
+    {"source": "st_georges", "university_name": "St George's, University of London",
+     "location": "London, England", "drop_schemes": True,
+     "includes": [
+         "/prospective-students/courses/", "/courses/", "/undergraduate/", "/postgraduate/",
+         "/foundation/", "/short-courses/", "/study/", "citystgeorges.ac.uk/courses",
+         "citystgeorges.ac.uk/prospective-students/courses", "bayes.citystgeorges.ac.uk/study/",
+         "bayes.city.ac.uk/study/", "/study/undergraduate/courses/", "/study/postgraduate/courses/",
+         "/study/masters/courses/", "/study/mba/courses/", "/study/phd/courses/",
+         "/study/executive-education/courses/", "technology.online.city.ac.uk/", "/course/",
+         "/programme/", "/degree/", "/bachelor", "/master", "/phd", "/mba", "/msc", "/ba",
+         "/bsc", "/beng", "/ma", "/march", "/llm", "/pgdip", "/pgcert", "/md", "/nursing",
+         "/medicine", "/health", "/biomedical", "/paramedic", "/radiography", "/physiotherapy",
+         "/psychology", "/sport", "/clinical", "/midwifery", "/therapeutic", "/diagnostic",
+         "/rehabilitation", "/computer-science", "/data-science", "/cyber-security",
+         "/artificial-intelligence", "/informatics", "/technology", "/business", "/law",
+         "/finance", "/economics", "/management", "/marketing", "/actuarial", "/biology",
+         "/chemistry", "/physics", "/mathematics", "/statistics", "/genetics", "/microbiology",
+         "/sociology", "/anthropology", "/geography", "/history", "/philosophy", "/politics",
+         "/international-relations"],
+     "excludes": [
+         "?query=", "?collection=", "?profile=", "?f.Level", "page=", "#",
+         "courses", "prospective-students/courses", "prospective-students/courses/undergraduate",
+         "prospective-students/courses/postgraduate", "/apply/how-to-apply", "/about/schools/",
+         "/barrister-pathway", "/academic-programmes/", "/information-for-parents-and-carers",
+         "/pupillage-advisory-service", "/bar-training", "/msc-nursing-rpl", "/research/",
+         "?meta_level_sand=", "?meta_subject_sand="],
+     "dedup": True},
+]
+UNSAFE_HREF_SCHEMES = ["tel:", "mailto:", "javascript:", "#"]
+PARTNER_PREFIX = "OIEG - "
+BLOCKED_STATUS = 403
