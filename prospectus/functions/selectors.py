@@ -29,9 +29,15 @@ def var(prefix: str = "v") -> str:
     return f"{prefix}{next(_ids)}"
 
 
+# The characters ``str.isspace`` accepts, as \\uXXXX escapes for a SQL literal.
+_WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+             + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
+_WS_LITERAL = "'" + "".join(f"\\u{ord(ch):04x}" for ch in _WS_CHARS) + "'"
+
+
 def strip_sql(x: str) -> str:
-    """``str.strip()`` of SQL expression ``x``."""
-    return f"regexp_replace({x}, {lit(f'^{PY_WS}+|{PY_WS}+$')}, '')"
+    """``str.strip()`` of SQL expression ``x`` (a character-set trim, no regex)."""
+    return f"btrim({x}, {_WS_LITERAL})"
 
 
 def nullif_empty_sql(x: str) -> str:
@@ -78,7 +84,7 @@ def parent_text_sql(parent_ix: str, sep: str = "", strip: bool = False) -> str:
 
 
 def _class_tokens(e: str) -> str:
-    return f"split(coalesce({e}.cls, ''), {lit(PY_WS + '+')})"
+    return f"{e}.classes"
 
 
 def predicate_sql(spec: dict, e: str, i: str) -> str:
@@ -109,17 +115,52 @@ def predicate_sql(spec: dict, e: str, i: str) -> str:
     return "(" + " AND ".join(conds) + ")"
 
 
+def _cheap_guard(spec: dict, e: str) -> str:
+    """A cheap necessary condition checked before the full predicate."""
+    if "tag" in spec:
+        return f"{e}.tag = {lit(spec['tag'])}"
+    if "dt" in spec:
+        return f"{e}.tag = 'dd'"
+    if "id" in spec:
+        return f"{e}.id IS NOT NULL"
+    if "class_eq" in spec or "class_like" in spec:
+        return f"{e}.cls IS NOT NULL"
+    return "true"
+
+
 def first_index_sql(spec: dict) -> str:
     """``select_one``: index of the first element (document order) matching ``spec``."""
     e, i, x = var("e"), var("i"), var("x")
     return (f"try_element_at(filter(transform(elems, ({e}, {i}) -> "
-            f"CASE WHEN {predicate_sql(spec, e, i)} THEN {i} END), {x} -> {x} IS NOT NULL), 1)")
+            f"CASE WHEN {_cheap_guard(spec, e)} AND {predicate_sql(spec, e, i)} THEN {i} END), "
+            f"{x} -> {x} IS NOT NULL), 1)")
 
 
 def first_index(spec: dict) -> Column:
     return F.expr(first_index_sql(spec))
 
 
+def field_matches_sql(rules: list) -> str:
+    """One pass over the elements for all rules of a field: the elements that
+    match at least one rule, as (i, k = indices of the rules they match)."""
+    e, i, x = var("e"), var("i"), var("x")
+    arms = ", ".join(f"CASE WHEN {_cheap_guard(spec, e)} AND {predicate_sql(spec, e, i)} THEN {k} END"
+                     for k, (_css, spec) in enumerate(rules))
+    return (f"filter(transform(elems, ({e}, {i}) -> named_struct('i', {i}, 'k', "
+            f"array_compact(array({arms})))), {x} -> size({x}.k) > 0)")
+
+
+def first_text_from_matches(matches_col: str, n_rules: int, max_chars: int = 500) -> Column:
+    """E0 from a field's match list: rule k's first element is the first entry
+    holding k; the first rule whose element has non-empty text wins."""
+    texts = []
+    for k in range(n_rules):
+        x = var("x")
+        ix = f"try_element_at(filter({matches_col}, {x} -> array_contains({x}.k, {k})), 1).i"
+        texts.append(text_of_index_sql(ix))
+    return F.expr(f"substring(coalesce({', '.join(texts)}), 1, {max_chars})")
+
+
 def text_of_index_sql(ix: str) -> str:
     """Non-empty ``get_text(' ', strip=True)`` of element ``ix`` or null."""
     return nullif_empty_sql(elem_text_sql(elem_at_sql(ix), " ", True))

@@ -9,7 +9,8 @@ inside the task that reads it: no shuffle.
 
 Output columns added to the page row::
 
-  elems: array<struct<tag, id, cls, attrs: map<string,string>, parent: int,
+  elems: array<struct<tag, id, cls, classes: array<string>,
+                      attrs: map<string,string>, parent: int,
                       anc: array<int>, t0: int, t1: int,
                       prev_tag: string, prev: int>>
   texts: array<struct<text: string, parent: int, kind: string>>
@@ -39,6 +40,7 @@ ELEM_TYPE = T.StructType([
     T.StructField("tag", T.StringType()),
     T.StructField("id", T.StringType()),
     T.StructField("cls", T.StringType()),
+    T.StructField("classes", T.ArrayType(T.StringType())),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("parent", T.IntegerType()),
     T.StructField("anc", T.ArrayType(T.IntegerType())),
@@ -55,6 +57,7 @@ TEXT_TYPE = T.StructType([
 
 _A_ELEM = pa.struct([
     ("tag", pa.string()), ("id", pa.string()), ("cls", pa.string()),
+    ("classes", pa.list_(pa.string())),
     ("attrs", pa.map_(pa.string(), pa.string())), ("parent", pa.int32()),
     ("anc", pa.list_(pa.int32())), ("t0", pa.int32()), ("t1", pa.int32()),
     ("prev_tag", pa.string()), ("prev", pa.int32()),
@@ -90,6 +93,7 @@ class _Columns:
 
     def __init__(self):
         self.e_tag, self.e_id, self.e_cls, self.e_parent = [], [], [], []
+        self.c_flat, self.c_off = [], [0]
         self.e_t0, self.e_t1, self.e_prev_tag, self.e_prev = [], [], [], []
         self.a_keys, self.a_vals, self.a_off = [], [], [0]
         self.anc_flat, self.anc_off = [], [0]
@@ -111,6 +115,8 @@ class _Columns:
         del self.a_vals[self.a_off[-1]:]
         del self.anc_off[e0 + 1:]
         del self.anc_flat[self.anc_off[-1]:]
+        del self.c_off[e0 + 1:]
+        del self.c_flat[self.c_off[-1]:]
         del self.t_text[t0:], self.t_parent[t0:], self.t_kind[t0:]
 
     def arrays(self):
@@ -118,6 +124,7 @@ class _Columns:
         elem = pa.StructArray.from_arrays(
             [pa.array(self.e_tag, pa.string()), pa.array(self.e_id, pa.string()),
              pa.array(self.e_cls, pa.string()),
+             pa.ListArray.from_arrays(pa.array(self.c_off, i32), pa.array(self.c_flat, pa.string())),
              pa.MapArray.from_arrays(pa.array(self.a_off, i32),
                                      pa.array(self.a_keys, pa.string()),
                                      pa.array(self.a_vals, pa.string())),
@@ -232,6 +239,9 @@ def parse_into(out: _Columns, doc: str | None) -> None:
         tags.append(name)
         out.e_id.append(id_)
         out.e_cls.append(cls)
+        if cls:
+            out.c_flat.extend(cls.split())  # class tokens (whitespace-separated)
+        out.c_off.append(len(out.c_flat))
         out.e_parent.append(parent)
         out.anc_flat.extend(stack)
         out.anc_off.append(len(out.anc_flat))

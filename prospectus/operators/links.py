@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from .. import rules
 from ..functions.selectors import elem_at_sql, lit, var
-from ..functions.text import PY_WS
 
 SELECTOR_TYPE = T.ArrayType(T.StructType([
     T.StructField(k, T.StringType()) for k in ("href_contains", "href_prefix", "class_eq",
@@ -144,7 +143,7 @@ def canonical(u: Column | str) -> Column:
 # --- per-page anchor arrays ---------------------------------------------------------
 
 def _cls_tokens(e: str) -> str:
-    return f"split(coalesce({e}.cls, ''), {lit(PY_WS + '+')})"
+    return f"{e}.classes"
 
 
 def _selector_match_sql(e: str, sels: str) -> str:

@@ -468,3 +468,31 @@ FROM courses"""))
 def q_evolve_schema(spark, d):
     old = cat.courses(spark, d).drop("raw_json", "updated_at").select("id", "source_url")
     return U.evolve_schema(old, {"raw_json": "string", "updated_at": "timestamp_ntz"})
+
+
+# --- P1: pages -> catalogue ------------------------------------------------------
+
+def _e2e_expected() -> str:
+    from .extract_queries import EXPECTED_CTE
+    return with_catalogue(f"""
+SELECT url AS source_url, {_clean('name')} AS name, {_norm_degree('degree')} AS degree,
+       {_norm_level('level')} AS level, {_clean('department')} AS department,
+       study_mode, CAST(duration_years AS DECIMAL(4,1)) AS duration_years,
+       fee_uk_yearly, fee_intl_yearly, {_clean('ucas_code')} AS ucas_code,
+       CAST(ielts_score AS DECIMAL(3,1)) AS ielts_score, true AS is_active
+FROM expected""", extra=EXPECTED_CTE)
+
+
+@register("pages_to_catalogue", _e2e_expected())
+def q_pages_to_catalogue(spark, d):
+    """Rendered course pages through the whole chain into an empty catalogue."""
+    from ..sources.rendered import rendered_pages
+    from .pipeline import items_to_catalogue, pages_to_items
+    pages = rendered_pages(spark, d).withColumn("seq", F.col("page_id"))
+    items, _bad = pages_to_items(pages, SCRAPED_AT)
+    fillers = markdown_fields(markdown_pages(spark, d), keep=["url"])
+    empty = cat.courses(spark, d).limit(0).withColumn("raw_json", F.lit(None).cast("string"))
+    snap, _rej = items_to_catalogue(items, fillers, empty, RUN_TS)
+    return snap.select("source_url", "name", "degree", "level", "department", "study_mode",
+                       "duration_years", "fee_uk_yearly", "fee_intl_yearly", "ucas_code",
+                       "ielts_score", "is_active")
