@@ -99,7 +99,8 @@ def remove_dots_sql(segs: str, squeeze: bool) -> str:
 
 def url_join_sql(base: str, ref: str) -> str:
     """``urllib.parse.urljoin(base, ref)`` for http(s) bases, as a SQL expression."""
-    r = f"regexp_replace(regexp_replace({ref}, '^[\\\\x00-\\\\x20]+|[\\\\x00-\\\\x20]+$', ''), '[\\\\t\\\\r\\\\n]', '')"
+    # leading C0 controls and blanks are stripped, tabs and line breaks removed
+    r = f"regexp_replace(regexp_replace({ref}, '^[\\\\x00-\\\\x20]+', ''), '[\\\\t\\\\r\\\\n]', '')"
     scheme, netloc, path = _part(base, 2), _part(base, 4), _part(base, 5)
     bquery = _part(base, 7)
     rpath, rquery_part, rfrag_part = _part(r, 5), _part(r, 6), _part(r, 8)

@@ -19,8 +19,10 @@ DEFAULT_CONF = {
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "prospectus") -> SparkSession:
+              app_name: str = "prospectus", driver_memory: str | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     if master:
         builder = builder.master(master)
     for k, v in DEFAULT_CONF.items():
