@@ -150,11 +150,33 @@ def field_matches_sql(rules: list) -> str:
             f"array_compact(array({arms})))), {x} -> size({x}.k) > 0)")
 
 
-def first_text_from_matches(matches_col: str, n_rules: int, max_chars: int = 500) -> Column:
-    """E0 from a field's match list: rule k's first element is the first entry
-    holding k; the first rule whose element has non-empty text wins."""
+def all_matches_sql(rule_lists: list[list]) -> str:
+    """One pass over the elements for every rule of every field.  Rules are
+    numbered globally in the given order; an element that passes no cheap
+    guard builds nothing.  Result: array of (i, k = matched rule numbers)."""
+    e, i, x = var("e"), var("i"), var("x")
+    flat = [spec for rules in rule_lists for _css, spec in rules]
+    guards = sorted({_cheap_guard(spec, e) for spec in flat})
+    any_guard = "true" if "true" in guards else " OR ".join(f"({g})" for g in guards)
+    arms = ", ".join(f"CASE WHEN {_cheap_guard(spec, e)} AND {predicate_sql(spec, e, i)} THEN {k} END"
+                     for k, spec in enumerate(flat))
+    return (f"filter(transform(elems, ({e}, {i}) -> CASE WHEN {any_guard} THEN "
+            f"named_struct('i', {i}, 'k', array_compact(array({arms}))) END), "
+            f"{x} -> {x} IS NOT NULL AND size({x}.k) > 0)")
+
+
+def first_index_from_matches_sql(matches_col: str, k: int) -> str:
+    x = var("x")
+    return f"try_element_at(filter({matches_col}, {x} -> array_contains({x}.k, {k})), 1).i"
+
+
+def first_text_from_matches(matches_col: str, n_rules: int, max_chars: int = 500,
+                            offset: int = 0) -> Column:
+    """E0 from a match list: rule k's first element is the first entry holding
+    k (rules numbered from ``offset``); the first rule whose element has
+    non-empty text wins."""
     texts = []
-    for k in range(n_rules):
+    for k in range(offset, offset + n_rules):
         x = var("x")
         ix = f"try_element_at(filter({matches_col}, {x} -> array_contains({x}.k, {k})), 1).i"
         texts.append(text_of_index_sql(ix))

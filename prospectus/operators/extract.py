@@ -7,8 +7,8 @@ arrays, so extraction is a narrow projection with no shuffle.
 The work is staged in three projections so that each expensive piece is
 computed once per page and then referenced by name:
 
-1. ``stage_inputs``: per field one pass over the elements listing which of
-   its selector rules each element matches, the meta entries, the title index;
+1. ``stage_inputs``: one pass over the elements listing which selector rules
+   (of all fields) each element matches, the meta entries, the title index;
 2. the texts of the selected elements per field (``_txt_<field>``), the title
    text and the whole-page text;
 3. the field rules themselves (the functions below), over those columns.
@@ -35,13 +35,21 @@ def stage_inputs(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Stages 1-2: per-rule first-match indices, then per-field texts."""
     keep = keep if keep is not None else [c for c in parsed.columns
                                           if c not in ("elems", "texts", "parse_error")]
-    match_cols = [F.expr(S.field_matches_sql(rs)).alias(f"_m_{field}") for field, rs in R.items()]
-    s1 = parsed.select(*keep, *ARRAYS, "parse_error", *match_cols,
+    s1 = parsed.select(*keep, *ARRAYS, "parse_error",
+                       F.expr(S.all_matches_sql(list(R.values()))).alias("_m"),
                        S.first_tag_index("title").alias("_ix_title"),
                        S.meta_entries().alias("_meta"))
-    txt_cols = [S.first_text_from_matches(f"_m_{field}", len(rs),
-                                          MAX_CHARS.get(field, rules.DEFAULT_MAX_CHARS))
-                .alias(f"_txt_{field}") for field, rs in R.items()]
+    # rule k's first element: the first match entry holding k (a small array)
+    ix_cols, offset = [], 0
+    for field, rs in R.items():
+        for k in range(len(rs)):
+            ix_cols.append(F.expr(S.first_index_from_matches_sql("_m", offset + k))
+                           .alias(f"_ix_{field}_{k}"))
+        offset += len(rs)
+    s1 = s1.select(*keep, *ARRAYS, "parse_error", "_ix_title", "_meta", *ix_cols)
+    txt_cols = [S.first_text_of([f"_ix_{field}_{k}" for k in range(len(rs))],
+                                MAX_CHARS.get(field, rules.DEFAULT_MAX_CHARS)).alias(f"_txt_{field}")
+                for field, rs in R.items()]
     return s1.select(*keep, *ARRAYS, "parse_error", "_meta", *txt_cols,
                      S.elem_text("_ix_title", "", False).alias("_title"),
                      S.doc_text("\n", False).alias("_page_text"))
