@@ -68,13 +68,18 @@ def rules_frame(spark: SparkSession, spec: list[dict] | None = None) -> DataFram
 _URL_RE = r"^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
 
 
-def _part(u: str, g: int) -> str:
-    return f"regexp_extract({u}, {lit(_URL_RE)}, {g})"
+def let(expr: str, body) -> str:
+    """Bind ``expr`` once and use it in ``body(v)`` (a one-element lambda)."""
+    v = var("let")
+    return f"element_at(transform(array({expr}), {v} -> {body(v)}), 1)"
 
 
-def _has(u: str, g: int) -> str:
-    """Whether optional group ``g`` took part ('' vs absent differ for ? and #)."""
-    return f"({_part(u, g)} != '')"
+def _parts_sql(u: str) -> str:
+    """RFC 3986 split of URL expression ``u`` into a struct (regex run once per part)."""
+    g = lambda n: f"regexp_extract({u}, {lit(_URL_RE)}, {n})"
+    return (f"named_struct('scheme', {g(2)}, 'has_scheme', {g(1)} != '', 'netloc', {g(4)}, "
+            f"'has_net', {g(3)} != '', 'path', {g(5)}, 'qpart', {g(6)}, 'query', {g(7)}, "
+            f"'fpart', {g(8)})")
 
 
 def remove_dots_sql(segs: str, squeeze: bool) -> str:
@@ -83,47 +88,49 @@ def remove_dots_sql(segs: str, squeeze: bool) -> str:
     ``squeeze`` drops empty inner segments (done for relative references only).
     The result always starts with '/', as the URL is re-assembled with a host.
     """
-    acc, s = var("acc"), var("s")
-    mid = var("m")
-    body = (f"CASE WHEN size({segs}) > 2 THEN concat(slice({segs}, 1, 1), "
-            f"filter(slice({segs}, 2, size({segs}) - 2), {mid} -> {mid} != ''), "
-            f"slice({segs}, -1, 1)) ELSE {segs} END") if squeeze else segs
-    resolved = (f"aggregate({body}, CAST(array() AS array<string>), ({acc}, {s}) -> "
-                f"CASE WHEN {s} = '..' THEN slice({acc}, 1, greatest(size({acc}) - 1, 0)) "
-                f"WHEN {s} = '.' THEN {acc} ELSE concat({acc}, array({s})) END)")
-    tail = (f"CASE WHEN element_at({segs}, -1) IN ('.', '..') THEN concat({resolved}, array('')) "
-            f"ELSE {resolved} END")
-    joined = f"coalesce(nullif(array_join({tail}, '/'), ''), '/')"
-    return f"(CASE WHEN startswith({joined}, '/') THEN {joined} ELSE concat('/', {joined}) END)"
+    def body(sg):
+        acc, s_, mid = var("acc"), var("s"), var("m")
+        cleaned = (f"CASE WHEN size({sg}) > 2 THEN concat(slice({sg}, 1, 1), "
+                   f"filter(slice({sg}, 2, size({sg}) - 2), {mid} -> {mid} != ''), "
+                   f"slice({sg}, -1, 1)) ELSE {sg} END") if squeeze else sg
+        resolved = (f"aggregate({cleaned}, CAST(array() AS array<string>), ({acc}, {s_}) -> "
+                    f"CASE WHEN {s_} = '..' THEN slice({acc}, 1, greatest(size({acc}) - 1, 0)) "
+                    f"WHEN {s_} = '.' THEN {acc} ELSE concat({acc}, array({s_})) END)")
+        tail = lambda res: (f"CASE WHEN element_at({sg}, -1) IN ('.', '..') "
+                            f"THEN concat({res}, array('')) ELSE {res} END")
+        joined = lambda t: f"coalesce(nullif(array_join({t}, '/'), ''), '/')"
+        return let(resolved, lambda res: let(joined(tail(res)), lambda j:
+                   f"CASE WHEN startswith({j}, '/') THEN {j} ELSE concat('/', {j}) END"))
+    return let(segs, body)
 
 
 def url_join_sql(base: str, ref: str) -> str:
     """``urllib.parse.urljoin(base, ref)`` for http(s) bases, as a SQL expression."""
     # leading C0 controls and blanks are stripped, tabs and line breaks removed
-    r = f"regexp_replace(regexp_replace({ref}, '^[\\\\x00-\\\\x20]+', ''), '[\\\\t\\\\r\\\\n]', '')"
-    scheme, netloc, path = _part(base, 2), _part(base, 4), _part(base, 5)
-    bquery = _part(base, 7)
-    rpath, rquery_part, rfrag_part = _part(r, 5), _part(r, 6), _part(r, 8)
-    auth = f"concat({scheme}, '://', {netloc})"
-    base_dir = f"split({path}, '/')"
-    base_parts = (f"CASE WHEN element_at({base_dir}, -1) != '' "
-                  f"THEN slice({base_dir}, 1, size({base_dir}) - 1) ELSE {base_dir} END")
-    abs_path = remove_dots_sql(f"split({rpath}, '/')", squeeze=False)
-    rel_path = remove_dots_sql(f"concat({base_parts}, split({rpath}, '/'))", squeeze=True)
-    query = f"CASE WHEN {rquery_part} != '' THEN {rquery_part} ELSE '' END"
-    return (
-        f"(CASE WHEN {r} = '' THEN {base} "
-        f"WHEN {r} RLIKE '^[a-zA-Z][a-zA-Z0-9+.-]*:' AND "
-        f"lower({_part(r, 2)}) != lower({scheme}) THEN {r} "
-        f"WHEN {r} RLIKE '^[a-zA-Z][a-zA-Z0-9+.-]*://' THEN "
-        f"concat(lower({_part(r, 2)}), substring({r}, length({_part(r, 2)}) + 1)) "
-        f"WHEN {r} RLIKE '^//' THEN concat({scheme}, ':', {r}) "
-        f"WHEN {rpath} = '' THEN concat({auth}, {path}, "
-        f"CASE WHEN {rquery_part} != '' THEN {rquery_part} "
-        f"WHEN {bquery} != '' OR {_part(base, 6)} != '' THEN concat('?', {bquery}) ELSE '' END, "
-        f"{rfrag_part}) "
-        f"WHEN {rpath} RLIKE '^/' THEN concat({auth}, {abs_path}, {query}, {rfrag_part}) "
-        f"ELSE concat({auth}, {rel_path}, {query}, {rfrag_part}) END)")
+    clean = f"regexp_replace(regexp_replace({ref}, '^[\\\\x00-\\\\x20]+', ''), '[\\\\t\\\\r\\\\n]', '')"
+
+    def with_parts(b, r, p):
+        auth = f"concat({b}.scheme, '://', {b}.netloc)"
+        base_dir = f"split({b}.path, '/')"
+        base_parts = (f"CASE WHEN element_at({base_dir}, -1) != '' "
+                      f"THEN slice({base_dir}, 1, size({base_dir}) - 1) ELSE {base_dir} END")
+        abs_path = remove_dots_sql(f"split({p}.path, '/')", squeeze=False)
+        rel_path = remove_dots_sql(f"concat({base_parts}, split({p}.path, '/'))", squeeze=True)
+        return (
+            f"CASE WHEN {r} = '' THEN {base} "
+            f"WHEN {r} RLIKE '^[a-zA-Z][a-zA-Z0-9+.-]*:' AND "
+            f"lower({p}.scheme) != lower({b}.scheme) THEN {r} "
+            f"WHEN {r} RLIKE '^[a-zA-Z][a-zA-Z0-9+.-]*://' THEN "
+            f"concat(lower({p}.scheme), substring({r}, length({p}.scheme) + 1)) "
+            f"WHEN {r} RLIKE '^//' THEN concat({b}.scheme, ':', {r}) "
+            f"WHEN {p}.path = '' THEN concat({auth}, {b}.path, "
+            f"CASE WHEN {p}.qpart != '' THEN {p}.qpart "
+            f"WHEN {b}.qpart != '' THEN {b}.qpart ELSE '' END, {p}.fpart) "
+            f"WHEN {p}.path RLIKE '^/' THEN concat({auth}, {abs_path}, {p}.qpart, {p}.fpart) "
+            f"ELSE concat({auth}, {rel_path}, {p}.qpart, {p}.fpart) END")
+
+    return let(_parts_sql(base), lambda b: let(clean, lambda r: let(
+        _parts_sql(r), lambda p: with_parts(b, r, p))))
 
 
 def url_join(base: Column | str, ref: Column | str) -> Column:
