@@ -14,7 +14,7 @@ import itertools
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PY_WS
+from .text import PY_WS, WS_LITERAL
 
 _ids = itertools.count()
 
@@ -29,15 +29,9 @@ def var(prefix: str = "v") -> str:
     return f"{prefix}{next(_ids)}"
 
 
-# The characters ``str.isspace`` accepts, as \\uXXXX escapes for a SQL literal.
-_WS_CHARS = ("\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
-             + "".join(chr(c) for c in range(0x2000, 0x200B)) + "\u2028\u2029\u202f\u205f\u3000")
-_WS_LITERAL = "'" + "".join(f"\\u{ord(ch):04x}" for ch in _WS_CHARS) + "'"
-
-
 def strip_sql(x: str) -> str:
     """``str.strip()`` of SQL expression ``x`` (a character-set trim, no regex)."""
-    return f"btrim({x}, {_WS_LITERAL})"
+    return f"btrim({x}, {WS_LITERAL})"
 
 
 def nullif_empty_sql(x: str) -> str:
