@@ -141,19 +141,42 @@ def q_links_detail_only(spark, d):
             .select("page_id", "pos", "abs_url"))
 
 
-def _discover_sql() -> str:
-    """Per-source link rules over regex anchors (class / ancestor selectors never
-    match here: the driver anchors carry no class and sit under nav/li only)."""
+def _sel_cond(s: dict, rich: bool) -> str | None:
+    """SQL for one selector over an anchors row (href, cls, in_main, in_card)."""
+    c = []
+    if s.get("class_eq"):
+        if not rich:
+            return None  # driver anchors carry no class attribute
+        c.append(f"coalesce(cls = {_q(s['class_eq'])}, false)")
+    if s.get("anc_tag"):
+        if not rich:
+            return None  # driver anchors sit under nav/li only
+        if s["anc_tag"] == "main" and not s.get("anc_class"):
+            c.append("in_main")
+        elif s["anc_tag"] == "div" and s.get("anc_class") == "course-item":
+            c.append("in_card")
+        else:
+            return None  # no such container on a rendered listing page
+    return " AND ".join(c) if c else "true"
+
+
+def _discover_sql(anchors_sql: str | None = None, src_expr: str | None = None,
+                  start_urls: str = "SELECT url, length(url) AS ulen FROM pages") -> str:
+    """Per-source link rules in SQL.  Over the driver pages (regex anchors) class
+    and ancestor selectors never match; over rendered listing pages the anchors
+    table says which anchors have a class / sit in <main> / in a course card."""
+    rich = anchors_sql is not None
     parts = []
     for i, r in enumerate(rules.SOURCE_RULES):
-        conds = [f"ulen % {len(SOURCES)} = {i}"]
+        conds = [f"ulen % {len(SOURCES)} = {i}"] if not rich else [f"source = {_q(r['source'])}"]
         sels = r.get("selectors")
         if sels is not None:
             alts = []
             for s in sels:
-                if s.get("class_eq") or s.get("anc_tag"):
-                    continue  # cannot match a bare <a href> under nav/li
-                c = []
+                base = _sel_cond(s, rich)
+                if base is None:
+                    continue
+                c = [] if base == "true" else [base]
                 if s.get("href_contains"):
                     c.append(f"strpos(href, {_q(s['href_contains'])}) > 0")
                 if s.get("href_prefix"):
@@ -191,13 +214,16 @@ def _discover_sql() -> str:
         if r.get("abs_any"):
             abs_conds.append(_any(u, r["abs_any"]))
         if r.get("exclude_start"):
-            abs_conds.append(f"NOT EXISTS (SELECT 1 FROM pages p WHERE length(p.url) % {len(SOURCES)} = {i} "
+            same = (f"p.ulen % {len(SOURCES)} = {i}" if not rich else f"p.source = {_q(r['source'])}")
+            abs_conds.append(f"NOT EXISTS (SELECT 1 FROM starts p WHERE {same} "
                              f"AND regexp_replace(p.url, '/+$', '') = regexp_replace({u}, '/+$', ''))")
         where = " AND ".join(conds + [chosen] + abs_conds)
         parts.append(f"SELECT page_id, {_q(r['source'])} AS source, pos AS apos, {u} AS url, "
                      f"{'true' if r.get('dedup') else 'false'} AS dd FROM resolved a WHERE {where}")
     union = "\nUNION ALL\n".join(parts)
-    return ("WITH " + _HREFS.strip() + f""",
+    head = ("WITH " + _HREFS.strip()) if not rich else ("WITH " + anchors_sql.strip())
+    return (head + f""",
+starts AS ({start_urls}),
 cand AS ({union}),
 firsts AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY apos) AS k FROM cand)
@@ -273,3 +299,60 @@ def q_partner_override(spark, d):
     """Partner logo alt text renames the university (no logos in the input)."""
     p = L.with_rules(_parsed(spark, d), L.rules_frame(spark))
     return L.partner_override(p).select("page_id", "university_name")
+
+
+# --- link discovery over listing pages rendered from the catalogue -----------------
+
+def _listing_anchors_sql() -> str:
+    from ..sources.listing import NAV, PAGE_LINKS
+    srcs = "[" + ", ".join(_q(s) for s in SOURCES) + "]"
+    host = "'https://www.university-' || CAST(suppkey AS VARCHAR) || '.example.ac.uk'"
+    nav = "\n".join(
+        f"  UNION ALL SELECT page_id, suppkey, {_q(h)}, CAST(NULL AS VARCHAR), {i + 1}, false, false FROM lnav"
+        for i, (h, _t) in enumerate(NAV))
+    return f"""
+lpages AS (SELECT l_suppkey, CAST(ceil(count(*) / {PAGE_LINKS}.0) AS BIGINT) AS npages
+           FROM facts GROUP BY l_suppkey),
+lcourse AS (
+  SELECT c.l_suppkey * 1000 + (c.l_partkey % p.npages) AS page_id, c.l_suppkey AS suppkey,
+         '/courses/' || CASE c.lvl WHEN 'undergraduate' THEN 'undergraduate'
+                                   WHEN 'research' THEN 'research-degrees' ELSE 'postgraduate' END
+           || '/' || CAST(c.l_partkey AS VARCHAR) AS href,
+         'course-link' AS cls, c.l_partkey AS o
+  FROM cbase2 c JOIN lpages p ON c.l_suppkey = p.l_suppkey
+),
+lnav AS (SELECT DISTINCT page_id, suppkey FROM lcourse),
+lall AS (
+  SELECT page_id, suppkey, href, cls,
+         {len(NAV)} + row_number() OVER (PARTITION BY page_id ORDER BY o) AS pos, true AS in_main, true AS in_card
+  FROM lcourse
+{nav}
+),
+resolved AS (
+  SELECT page_id, {host} || '/courses?page=' || CAST(page_id % 1000 AS VARCHAR) AS url,
+         {srcs}[suppkey % {len(SOURCES)} + 1] AS source, pos, href, cls, in_main, in_card,
+         CASE WHEN starts_with(href, '/') THEN {host} || href
+              WHEN starts_with(href, '#') THEN {host} || '/courses?page=' || CAST(page_id % 1000 AS VARCHAR) || href
+              ELSE href END AS abs_url
+  FROM lall
+)"""
+
+
+def _listing_discover_sql() -> str:
+    from .oracle_base import with_catalogue
+    inner = _discover_sql(anchors_sql="__ANCHORS__",
+                          start_urls="SELECT DISTINCT url, source FROM resolved")
+    rest = inner[len("WITH __ANCHORS__"):]  # ",\nstarts AS (...), cand AS ... SELECT ..."
+    return with_catalogue("", extra=_listing_anchors_sql()).rstrip() + rest
+
+
+@register("discover_course_links", _listing_discover_sql())
+def q_discover_course_links(spark, d):
+    """L1-L11 with every source's rule over listing pages rendered from the
+    catalogue (each university's pages carry its course links)."""
+    from ..sources.listing import listing_pages
+    pages = listing_pages(spark, d)
+    parsed = parsed_pages(pages)
+    with_r = L.with_rules(parsed, L.rules_frame(spark))
+    starts = pages.select("source", "url")
+    return L.discover_links(with_r, starts).select("page_id", "source", "pos", "url")
