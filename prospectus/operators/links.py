@@ -287,7 +287,7 @@ def pages_status_filter(pages: DataFrame, status: str = "status") -> DataFrame:
 def next_page_link(parsed: DataFrame, selector: dict | None) -> DataFrame:
     """First element matching the next-page selector, resolved; none if unset."""
     if not selector:
-        return parsed.select("page_id").limit(0).withColumn("next_url", F.lit(None).cast("string"))
+        return parsed.select("page_id").filter(F.lit(False)).withColumn("next_url", F.lit(None).cast("string"))
     from ..functions.selectors import first_index_sql
     ix = first_index_sql(selector)
     href = f"{elem_at_sql(ix)}.attrs['href']"

@@ -491,7 +491,8 @@ def q_pages_to_catalogue(spark, d):
     pages = rendered_pages(spark, d).withColumn("seq", F.col("page_id"))
     items, _bad = pages_to_items(pages, SCRAPED_AT)
     fillers = markdown_fields(markdown_pages(spark, d), keep=["url"])
-    empty = cat.courses(spark, d).limit(0).withColumn("raw_json", F.lit(None).cast("string"))
+    empty = (cat.courses(spark, d).filter(F.lit(False))  # an empty catalogue to start from
+             .withColumn("raw_json", F.lit(None).cast("string")))
     snap, _rej = items_to_catalogue(items, fillers, empty, RUN_TS)
     return snap.select("source_url", "name", "degree", "level", "department", "study_mode",
                        "duration_years", "fee_uk_yearly", "fee_intl_yearly", "ucas_code",
