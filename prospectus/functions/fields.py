@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -140,7 +138,3 @@ def needs_fallback(types: dict[str, str]) -> Column:
         x = falsy(F.col(f), types[f]).cast("int")
         n = x if n is None else n + x
     return n >= rules.FALLBACK_THRESHOLD
-
-
-def regex_escape_literal(s: str) -> str:
-    return re.escape(s)

@@ -14,7 +14,7 @@ import itertools
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import PY_WS, WS_LITERAL
+from .text import WS_LITERAL
 
 _ids = itertools.count()
 
@@ -134,15 +134,6 @@ def first_index(spec: dict) -> Column:
     return F.expr(first_index_sql(spec))
 
 
-def field_matches_sql(rules: list) -> str:
-    """One pass over the elements for all rules of a field: the elements that
-    match at least one rule, as (i, k = indices of the rules they match)."""
-    e, i, x = var("e"), var("i"), var("x")
-    arms = ", ".join(f"CASE WHEN {_cheap_guard(spec, e)} AND {predicate_sql(spec, e, i)} THEN {k} END"
-                     for k, (_css, spec) in enumerate(rules))
-    return (f"filter(transform(elems, ({e}, {i}) -> named_struct('i', {i}, 'k', "
-            f"array_compact(array({arms})))), {x} -> size({x}.k) > 0)")
-
 
 def all_matches_sql(rule_lists: list[list]) -> str:
     """One pass over the elements for every rule of every field.  Rules are
@@ -164,18 +155,6 @@ def first_index_from_matches_sql(matches_col: str, k: int) -> str:
     return f"try_element_at(filter({matches_col}, {x} -> array_contains({x}.k, {k})), 1).i"
 
 
-def first_text_from_matches(matches_col: str, n_rules: int, max_chars: int = 500,
-                            offset: int = 0) -> Column:
-    """E0 from a match list: rule k's first element is the first entry holding
-    k (rules numbered from ``offset``); the first rule whose element has
-    non-empty text wins."""
-    texts = []
-    for k in range(offset, offset + n_rules):
-        x = var("x")
-        ix = f"try_element_at(filter({matches_col}, {x} -> array_contains({x}.k, {k})), 1).i"
-        texts.append(text_of_index_sql(ix))
-    return F.expr(f"substring(coalesce({', '.join(texts)}), 1, {max_chars})")
-
 
 def text_of_index_sql(ix: str) -> str:
     """Non-empty ``get_text(' ', strip=True)`` of element ``ix`` or null."""

@@ -32,11 +32,6 @@ def nullif_empty(c) -> Column:
     return F.when(c != "", c)
 
 
-def first_group(c, pattern: str, group: int = 1) -> Column:
-    """First match of ``pattern`` (group ``group``), null when absent."""
-    c = col_(c)
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
-
 
 def clean_str(c) -> Column:
     """Falsy -> null; whitespace runs -> one blank; strip; '' -> null."""
@@ -57,11 +52,3 @@ def to_float(c) -> Column:
     """Parse as double or null (plain cast raises under ANSI mode)."""
     return col_(c).cast("string").try_cast("double")
 
-
-def truthy_str(c) -> Column:
-    c = col_(c)
-    return c.isNotNull() & (c != "")
-
-
-def left(c, n: int) -> Column:
-    return F.substring(col_(c), 1, n)

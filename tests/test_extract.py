@@ -1,7 +1,6 @@
 """Page -> raw fields (the reference's extractor cases, with our own HTML)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from prospectus.operators import extract as X
 from prospectus.operators.html import parse_html, parsed_pages
