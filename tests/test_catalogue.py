@@ -135,3 +135,19 @@ def test_ids_are_hashes_of_natural_keys(spark, sf_small):
     from prospectus.sources import catalogue as src
     u = src.universities(spark, sf_small).filter("name = 'Supplier#000000001'").first()
     assert u.id == hashlib.sha256(b"Supplier#000000001").hexdigest()
+
+
+def test_export_and_summary_writers(spark, cat):
+    import os
+    from prospectus.session import work_path
+    u, c = cat
+    out = work_path(spark, "test-export")
+    R.write_export(R.export_rows(u, c), out)
+    folders = sorted(d for d in os.listdir(out) if d.startswith("file_stem="))
+    assert folders == ["file_stem=Empty College", "file_stem=Test University"]
+    back = spark.read.json(out)
+    assert back.filter("file_stem = 'Test University'").count() == 3
+    path = work_path(spark, "test-summary")
+    R.write_summary(R.summary_lines(u, c), path)
+    text = [r.value for r in spark.read.text(path).collect()]
+    assert len(text) == R.summary_lines(u, c).count()
