@@ -167,33 +167,34 @@ def parse_into(out: _Columns, doc: str | None) -> None:
         out.t_parent.append(stack[-1] if stack else -1)
         out.t_kind.append(kind)
 
+    t_text, t_parent, t_kind = out.t_text, out.t_parent, out.t_kind
+    match = tok.match
     while pos < n:
-        m = tok.match(doc, pos)
+        m = match(doc, pos)
         if m is None:  # defensive; the last alternative always matches
             add_text(doc[pos:], "text")
             break
         pos = m.end()
-        g6 = m.group(6)
-        if g6 is not None:
-            add_text(unescape(g6) if "&" in g6 else g6, "text")
+        comment, cdata, slash, name, raw_attrs, text = m.groups()
+        if text is not None:
+            t_text.append(unescape(text) if "&" in text else text)
+            t_parent.append(stack[-1] if stack else -1)
+            t_kind.append("text")
             continue
-        if m.group(1) is not None:
-            add_text(m.group(1), "comment")
-            continue
-        if m.group(2) is not None:
-            add_text(m.group(2), "text")
-            continue
-        name = m.group(4)
         if name is None:
+            if comment is not None:
+                add_text(comment, "comment")
+            elif cdata is not None:
+                add_text(cdata, "text")
             continue  # doctype / PI
         name = name.lower()
-        if m.group(3):  # end tag: close up to the nearest open element of that name
+        if slash:  # end tag: close up to the nearest open element of that name
             for k in range(len(stack) - 1, -1, -1):
                 if tags[base + stack[k]] == name:
                     close_until(k)
                     break
             continue
-        if name in CLOSES_P:  # implied </p>
+        if name in CLOSES_P and stack:  # implied </p>
             for k in range(len(stack) - 1, -1, -1):
                 t = tags[base + stack[k]]
                 if t == "p":
@@ -210,10 +211,9 @@ def parse_into(out: _Columns, doc: str | None) -> None:
                     break
                 if t in LIST_SCOPE or t == "div":
                     break
-        seen = set()
-        raw_attrs = m.group(5)
         id_ = cls = None
-        if raw_attrs and raw_attrs.strip():
+        if raw_attrs and not raw_attrs.isspace():
+            seen = set()
             for a in _ATTR.finditer(raw_attrs):
                 key = a.group(1).lower()
                 if key in seen:
