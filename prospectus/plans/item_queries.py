@@ -14,7 +14,7 @@ from ..operators import upsert as U
 from ..operators.html import parsed_pages
 from ..operators.markdown import markdown_fields
 from ..sources import catalogue as cat
-from ..sources.rendered import markdown_pages, raw_from_catalogue
+from ..sources.rendered import course_rows, markdown_pages, raw_from_catalogue
 from ..sources.tables import read_table, scan_pages, spread
 from .oracle_base import with_catalogue
 from .registry import register
@@ -124,8 +124,8 @@ ITEM_COLS = ["url", "university_name", "university_location", "name", "degree",
              "deadline_main", "deadline_late", "entry_requirements", "ielts_score", "scraped_at"]
 
 
-def _items(spark, d):
-    raw = raw_from_catalogue(spark, d)
+def _items(spark, d, rows=None):
+    raw = raw_from_catalogue(spark, d, rows)
     return N.normalise(raw, scraped_at=SCRAPED_AT, keep=["url"])
 
 
@@ -311,8 +311,10 @@ SELECT url, name,
        ucas_code, entry_requirements, ielts_score
 FROM items""", extra=ITEMS_CTE))
 def q_fill_gaps(spark, d):
-    items = _items(spark, d)
-    fillers = markdown_fields(markdown_pages(spark, d), keep=["url"])
+    # items and fillers come from the same course rows: one catalogue computation
+    rows = course_rows(spark, d)
+    items = _items(spark, d, rows)
+    fillers = markdown_fields(markdown_pages(spark, d, rows), keep=["url"])
     filled = Q.fill_gaps(items, fillers)
     return filled.select("url", F.col("course.name").alias("name"),
                          F.col("course.degree").alias("degree"),

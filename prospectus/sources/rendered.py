@@ -111,16 +111,17 @@ def render_markdown(r=F.col) -> F.Column:
                        F.lit("\nEnglish: IELTS "), r("ielts_score").cast("string"), entry)
 
 
-def markdown_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def markdown_pages(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """``(url, md)``: one markdown document per course."""
-    return course_rows(spark, sf_dir).select(F.col("source_url").alias("url"),
+    rows = rows if rows is not None else course_rows(spark, sf_dir)
+    return rows.select(F.col("source_url").alias("url"),
                                              render_markdown().alias("md"))
 
 
-def raw_from_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_from_catalogue(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
     """Raw records as a source would deliver them (text fees, padded names,
     abbreviated levels); research courses list no degree, fees or long texts."""
-    rows = course_rows(spark, sf_dir)
+    rows = rows if rows is not None else course_rows(spark, sf_dir)
     taught = F.col("level") != "research"
     lvl = (F.when(F.col("level") == "undergraduate", F.lit("UG"))
            .when(F.col("level") == "postgraduate", F.lit("pg ")).otherwise(F.col("level")))
