@@ -151,3 +151,11 @@ def test_export_and_summary_writers(spark, cat):
     R.write_summary(R.summary_lines(u, c), path)
     text = [r.value for r in spark.read.text(path).collect()]
     assert len(text) == R.summary_lines(u, c).count()
+
+
+def test_like_wildcards_and_literal_mode(cat):
+    u, c = cat
+    # user text goes into ILIKE as is: '%' and '_' act as wildcards ...
+    assert C.search_filtered(c, u, degree="_Sc").count() == 2
+    # ... unless literal mode escapes them
+    assert C.search_filtered(c, u, degree="_Sc", literal=True).count() == 0
