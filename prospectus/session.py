@@ -40,14 +40,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (HDFS/S3/...) folder and is used
-    as is.  Only when it is unset (local runs, tests) do we create our own.
+    as is; a cluster session without it is an error, because a folder of the
+    driver's machine is not seen by executors.  A local session gets a
+    temporary folder.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="prospectus-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
     return d
 
 
