@@ -27,9 +27,9 @@ WEIGHTS = (5, 2, 1)
 MAX_REPEAT = 3
 SEED = "mix-1"
 #: ids per block of the running count: bounds what one window task holds
-ID_BLOCK = 1 << 18
+ID_BLOCK = 1 << 14
 #: rows of a per-(source, size) table up to which it is broadcast; a shuffle join beyond
-BROADCAST_ROWS = 500_000
+BROADCAST_ROWS = 100_000
 
 _SET = "\\x20\\x09-\\x0D"
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import chat, mixing
+from . import chat, langid, mixing, quality
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op3_chat": chat.op3_chat,
+    "op7_quality": quality.op7_quality,
+    "op9_langid": langid.op9_langid,
 }
 
 ORACLE_SQL = {
