@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "run_path", "written", "held_out", "total_bytes", "WORD_SPACE"]
+__all__ = ["read_table", "run_path", "written", "written_twice", "fold", "held_out", "total_bytes", "WORD_SPACE"]
 
 #: fixed values: the characters that separate words in every word-based contract
 WORD_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -28,10 +28,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage the way ``checkpoint()`` does, but keeps column pruning and
     filter push-down for the readers; a lost executor rereads the files.
     """
+    return written_twice(df, name)[0]
+
+
+def written_twice(df: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """Like ``written``, read as two frames that can be joined or cogrouped without ambiguous columns."""
     spark = df.sparkSession
     path = run_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return tuple(spark.read.schema(df.schema).parquet(path) for _ in range(2))
 
 
 def fold(doc_id: Column | str) -> Column:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, held_out, read_table
+from .common import fold, held_out, read_table, written
 
 BUCKETS = 1 << 17
 ORDERS = (1, 2, 3)
@@ -108,6 +108,7 @@ def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
               .mapInArrow(_count, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     # at most BUCKETS rows a language, whatever the number of documents
+    counts = written(counts, "langid-counts")
     by_lang = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))
     names = sorted(r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(names) > MAX_LANGUAGES:

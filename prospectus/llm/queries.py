@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from . import chat, langid, mixing, quality
+from . import chat, decontaminate, langid, minhash, mixing, pq, quality, token_output
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
     "op3_chat": chat.op3_chat,
+    "op4_decontaminate": decontaminate.op4_decontaminate,
+    "op5_minhash": minhash.op5_minhash,
+    "op6_tokens": token_output.op6_tokens,
     "op7_quality": quality.op7_quality,
     "op9_langid": langid.op9_langid,
+    "op10_vectors": pq.op10_vectors,
 }
 
 ORACLE_SQL = {
