@@ -118,6 +118,10 @@ def canonical_turns(df: DataFrame) -> DataFrame:
     return df.select(conv.alias("conv_id"), F.expr(lay.table_sql.format("")).alias("turns"))
 
 
+def _under(keys: Column, parent: str) -> Column:
+    return F.transform(keys, lambda k: F.concat(F.lit(parent + "[]."), k))
+
+
 def json_paths(record: Column) -> Column:
     """Sorted field paths of a JSON record that layouts know, two levels deep."""
     top = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
@@ -125,8 +129,7 @@ def json_paths(record: Column) -> Column:
     nested = []
     for p in sorted({p.split("[")[0] for p in _KNOWN if "[" in p}):
         keys = F.coalesce(F.json_object_keys(F.get_json_object(record, f"$.{p}[0]")), F.array().cast("array<string>"))
-        paths = F.transform(keys, lambda k, p=p: F.concat(F.lit(p + "[]."), k))
-        nested.append(F.filter(paths, lambda k: k.isin(sorted(_KNOWN))))
+        nested.append(F.filter(_under(keys, p), lambda k: k.isin(sorted(_KNOWN))))
     return F.array_sort(F.concat(flat, *nested))
 
 

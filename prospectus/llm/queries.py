@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, minhash, mixing, pq, quality, token_output
+from . import chat, decontaminate, langid, minhash, mixing, pii, pq, quality, token_output
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_minhash": minhash.op5_minhash,
     "op6_tokens": token_output.op6_tokens,
     "op7_quality": quality.op7_quality,
+    "op8_pii": pii.op8_pii,
     "op9_langid": langid.op9_langid,
     "op10_vectors": pq.op10_vectors,
 }
