@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "run_path", "written", "written_twice", "fold", "held_out", "total_bytes", "WORD_SPACE"]
+__all__ = ["read_table", "run_path", "written", "written_twice", "fold", "held_out", "WORD_SPACE"]
 
 #: fixed values: the characters that separate words in every word-based contract
 WORD_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -49,6 +49,3 @@ def held_out(doc_id: Column | str) -> Column:
     """Whether a row is in the held-out fold; a null id is not, and is never learned from."""
     return F.coalesce(fold(doc_id) == 1, F.lit(False))
 
-
-def total_bytes(df: DataFrame, col: str) -> int:
-    return df.agg(F.sum(F.octet_length(col))).first()[0] or 0

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, minhash, mixing, pii, pq, quality, token_output
+from . import chat, decontaminate, langid, minhash, mixing, pii, pq, quality, suffix_dedup, token_output
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_chat": chat.op3_chat,
     "op4_decontaminate": decontaminate.op4_decontaminate,
     "op5_minhash": minhash.op5_minhash,
