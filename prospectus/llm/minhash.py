@@ -8,12 +8,15 @@ coordinates make the buckets; links are confirmed on the full shingle sets
 (exact Jaccard, in integers).
 
 Texts of equal word sequence form a class and stand for one document, so
-thousands of copies cost one signature row each and no pair.  In a bucket the
-smallest class is compared with the others first.  Buckets whose members are
-then still in different components have just those members compared that
-components separate, so every bucket pair is decided and no pair inside a
-component is made: the components are those of all links in all buckets, without
-a cap on the size of a bucket.
+thousands of copies cost one signature row each and no pair.  In each bucket one
+member, another for each band, is compared with the others first: the members of
+a large group meet up to ``BANDS`` such leaders and mostly end in one component.
+Buckets whose members are then still in different components are joined to
+families, and a family's documents are compared block by block, on their full sets
+and inside the task: no candidate pair is written, only links.  So every bucket
+pair is decided, without a cap on the size of a bucket.  This last step alone is
+quadratic, in the documents of a family of near copies most of which miss the
+threshold.
 
 A pair at the threshold shares a band with probability 1 - (1 - s**ROWS)**BANDS,
 over 0.9999995 for s = 0.85.
@@ -41,6 +44,10 @@ RING = 1 << 20
 BANDS, ROWS = 20, 4
 #: shingles whose windows are held at once
 CHUNK = 1 << 16
+#: ids of documents with candidates up to which they are broadcast; a shuffle join beyond
+BROADCAST_IDS = 1_000_000
+#: documents of a family per block, and shingles per matrix product
+BLOCK, COLUMNS = 512, 4096
 
 _tables: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -128,10 +135,8 @@ def _confirm(k: int, percent: int):
     return run
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of ids -> those whose full sets reach the threshold."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    own = written(texts.join(ids, "id", "left_semi").dropDuplicates(["id"]), "minhash-texts")
+def confirm(pairs: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of ids -> those whose full sets reach the threshold; own: (id, text)."""
     full = (pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
             .join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
     return full.mapInArrow(_confirm(k, percent), "a long, b long")
@@ -147,37 +152,38 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     texts = docs.select("doc_id", "text")
     sketch = written(texts.mapInArrow(_sketch(k), "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"),
                      "minhash-sketch")
-    classes = sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("class_id"))
-    members = written(sketch.drop("bands").join(classes, ["h1", "h2"], "left").withColumn(
-        "class_id", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))), "minhash-members")
+    classes = written(sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2")
+                      .agg(F.min("doc_id").alias("class_id")), "minhash-classes")
     reps = (sketch.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "h1", "h2"], "left_semi")
             .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "h1", "h2", "bands")
             .dropDuplicates(["id", "h1", "h2"]))
-    cells = written(reps.select("id", "n", F.explode("bands").alias("band")), "minhash-cells")
-    shared = cells.groupBy("band").agg(F.count("*").alias("c"), F.min(F.struct("id", "n")).alias("first")).filter("c > 1")
-    cells = written(cells.join(shared.select("band", "first"), "band"), "minhash-shared")
+    cells = reps.select("id", "n", F.explode("bands").alias("band")).withColumn("turn", F.xxhash64("id", "band"))
+    shared = cells.groupBy("band").agg(F.count("*").alias("c"), F.min("turn").alias("first")).filter("c > 1")
+    cells = written(cells.join(shared.select("band", "first"), "band"), "minhash-cells")
 
     fits = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
-    ids = texts.withColumnRenamed("doc_id", "id")
-    star = (cells.filter(F.col("first.id") < F.col("id")).filter(fits(F.col("first.n"), F.col("n")))
-            .select(F.col("first.id").alias("a"), F.col("id").alias("b")).distinct())
-    links = written(confirm(star, ids, k, percent), "minhash-links")
+    pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    own = _texts_of(texts, cells.select("id").distinct())
+    lead = cells.filter("turn = first").select("band", F.col("id").alias("a"), F.col("n").alias("na"))
+    star = written(cells.join(lead, "band").withColumnRenamed("id", "b").filter("a != b")
+                   .filter(fits(F.col("na"), F.col("n"))).select(*pair).distinct(), "minhash-star")
+    links = written(confirm(star, own, k, percent), "minhash-links")
     # rows that repeat an id with other texts belong to that id: link their classes
+    members = sketch.drop("bands").join(classes, ["h1", "h2"], "left").withColumn(
+        "class_id", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")))
+    members = written(members, "minhash-members")
     same_id = (members.filter("n_shingles > 0 and doc_id != class_id")
                .join(cells.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
                .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
     found = components(links.union(same_id), "minhash-components")
-    placed = cells.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    placed = written(placed.select("band", "id", "n", "component"), "minhash-placed")
-    apart = (placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-             .filter("lo < hi").select("band"))
-    open_cells = written(placed.join(apart, "band", "left_semi"), "minhash-open")
-    left = open_cells.select("band", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = open_cells.select("band", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    rest = (left.join(right, "band").filter("ca < cb").filter(fits(F.col("na"), F.col("nb")))
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-            .join(star, ["a", "b"], "left_anti"))
-    more = written(confirm(written(rest, "minhash-rest"), ids, k, percent), "minhash-more")
+    placed = written(cells.select("band", "id", "n").join(found, "id", "left")
+                     .withColumn("component", F.coalesce("component", "id")), "minhash-placed")
+    apart = (placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("a"))
+             .filter("lo < hi").select("band", "a"))
+    still_open = written(placed.join(apart, "band"), "minhash-open")
+    family = components(still_open.select("a", F.col("id").alias("b")), "minhash-families").withColumnRenamed("component", "family")
+    rest = still_open.select("id", "component").distinct().join(family, "id").join(own, "id")
+    more = written(_between(written(rest, "minhash-rest"), k, percent), "minhash-more")
     joined = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "minhash-components")
 
     out = members.join(joined.withColumnRenamed("id", "class_id"), "class_id", "left")
@@ -186,6 +192,68 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
                       F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
 
 
+def _blocks_linked(k: int, percent: int):
+    """Links between two blocks of a family whose documents are in different components."""
+
+    def run(t: pa.Table) -> pa.Table:
+        ids, comp = t["id"].to_numpy(), t["component"].to_numpy()
+        # both blocks of a pair, or the one block twice
+        left = np.flatnonzero(t["block"].to_numpy() == t["p"][0].as_py())
+        right = np.flatnonzero(t["block"].to_numpy() == t["q"][0].as_py())
+        texts = t["text"].cast(pa.binary()).to_pylist()
+        sets, sizes = [], []
+        for lo, hi in textnum.slices(texts):
+            h, off, _ = textnum.words(texts[lo:hi])
+            s, ends = textnum.shingles(h, off, k)
+            sets.append(s)
+            sizes.append(np.diff(ends))
+        n = np.concatenate(sizes)
+        doc = np.repeat(np.arange(len(n)), n)
+        value, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        often = (count > 1)[at]
+        doc, at = doc[often], (np.cumsum(count > 1) - 1)[at[often]]
+        order = np.argsort(at, kind="stable")
+        doc, at = doc[order], at[order]
+        inter = np.zeros((len(left), len(right)), dtype=np.float32)
+        for lo in range(0, int((count > 1).sum()), COLUMNS):  # counts below 2**24 are exact in float32
+            a, z = np.searchsorted(at, [lo, lo + COLUMNS])
+            m = np.zeros((len(n), COLUMNS), dtype=np.float32)
+            m[doc[a:z], at[a:z] - lo] = 1
+            inter += m[left] @ m[right].T
+        both = inter.astype(np.int64)
+        union = n[left][:, None] + n[right][None, :] - both
+        i, j = np.nonzero((100 * both >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
+        a, b = ids[left[i]], ids[right[j]]
+        # one link is enough for two components
+        pair = np.column_stack((np.minimum(comp[left[i]], comp[right[j]]), np.maximum(comp[left[i]], comp[right[j]])))
+        _, one = np.unique(pair, axis=0, return_index=True)
+        return pa.table({"a": pa.array(a[one], pa.int64()), "b": pa.array(b[one], pa.int64())})
+
+    return run
+
+
+def _between(rest: DataFrame, k: int, percent: int) -> DataFrame:
+    """rest (id, component, family, text) -> links between components of a family.
+
+    A family is cut into blocks; each pair of blocks is a group of bounded size whose
+    intersections are counted by matrix products, so no pair leaves a task but links.
+    """
+    blocks = rest.groupBy("family").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    dealt = (rest.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .select("family", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id",
+                     "component", "text"))
+    return dealt.groupBy("family", "p", "q").applyInArrow(_blocks_linked(k, percent), "a long, b long")
+
+
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the given ids, written; few ids are broadcast, so that the texts stay where they are."""
+    ids = written(ids, "minhash-ids")
+    small = ids.count() <= BROADCAST_IDS
+    own = texts.withColumnRenamed("doc_id", "id").join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    return written(own.dropDuplicates(["id"]), "minhash-texts")
+
+
 def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its component."""
     gone = near_duplicates(docs, k, percent).filter("not kept").select("doc_id").distinct()
