@@ -14,7 +14,8 @@ They seed the extraction of identifiers of unknown form:
    without surrounding punctuation, where they touch no base span.
 
 Occurrences of patterns are counted over all texts, but only for patterns with
-``MIN_SEEDS`` distinct instances.  All steps are DataFrame functions: the patterns
+``MIN_SEEDS`` distinct instances that could still reach ``MIN_CONFIDENCE`` after a
+count over the texts that have identifiers.  All steps are DataFrame functions: the patterns
 run on the JVM (possessive, so that they are linear and need no stack), the
 graph is joins and partial aggregates, and a hot passage adds to its pattern
 before the shuffle.
@@ -176,9 +177,14 @@ def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
                      F.col("t.core.upto").alias("upto")))
     edges = written(edges, "pii-edges")
     links = written(edges.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("kind").alias("kind")), "pii-links")
-    wanted = links.groupBy("pattern").agg(F.count("*").alias("c")).filter(F.col("c") >= MIN_SEEDS).select("pattern")
+    wanted = written(links.groupBy("pattern").agg(F.count("*").alias("c"), F.sum("n").alias("followed"))
+                     .filter(F.col("c") >= MIN_SEEDS).select("pattern", "followed"), "pii-wanted")
+    # occurrences in texts with identifiers bound the confidence from above: most common word pairs end here
+    near = pattern_totals(docs.filter(F.rlike("text", F.lit("[0-9@]"))), wanted.select("pattern"))
+    wanted = written(wanted.join(near, "pattern").filter(F.col("followed") >= MIN_CONFIDENCE * F.col("total"))
+                     .select("pattern"), "pii-wanted")
     links = written(links.join(wanted, "pattern", "left_semi"), "pii-links")
-    totals = written(pattern_totals(docs, written(wanted, "pii-wanted")), "pii-totals")
+    totals = written(pattern_totals(docs, wanted), "pii-totals")
     graph = written(links.join(totals, "pattern"), "pii-graph")
     seeds = graph.groupBy("instance").agg(F.max("kind").alias("seed"))
     belief = seeds.select("instance", F.when(F.col("seed").isNotNull(), 1.0).otherwise(0.0).alias("belief"))
