@@ -42,10 +42,12 @@ from . import textnum
 from .common import read_table, written
 
 LENGTH = 50
-GRAM = 20
+GRAM = 26
 #: input bytes per group of minimizers, and bytes suffix-sorted at once
-GROUP_BYTES = 8 << 20
-SORT_BYTES = 1 << 19
+GROUP_BYTES = 2 << 20
+SORT_BYTES = 1 << 18
+#: input bytes per part in which answers are gathered by row
+PART_BYTES = 8 << 20
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -240,26 +242,51 @@ def _bytes(col: pa.ChunkedArray) -> bytes:
     return b"".join(col.to_pylist())
 
 
-def _answer_minimizers(t: pa.Table) -> pa.Table:
+_PACKED = "part int, rows binary, counts binary, first binary, second binary"
+
+
+def _pack(rows: np.ndarray, first: np.ndarray, second: np.ndarray, parts: int) -> pa.Table:
+    """Values of many rows as one record per part of the rows."""
+    out = []
+    for part, at in _split(rows % parts):
+        at = at[np.argsort(rows[at], kind="stable")]
+        value, count = np.unique(rows[at], return_counts=True)
+        out.append((part, value.tobytes(), count.tobytes(), first[at].tobytes(), second[at].tobytes()))
+    return _table(out, _PACKED)
+
+
+def _by_row(t: pa.Table) -> pa.Table:
+    """Packed records of one part -> one record per row."""
+    rows, counts, first, second = (np.frombuffer(_bytes(t[c]), dtype=np.int64) for c in ("rows", "counts", "first", "second"))
+    second = second if len(second) else first
+    rows = np.repeat(rows, counts)
+    order = np.argsort(rows, kind="stable")
+    cut = np.flatnonzero(rows[order][1:] != rows[order][:-1]) + 1
+    return _table([(int(rows[p[0]]), first[p].tobytes(), second[p].tobytes()) for p in np.split(order, cut) if len(p)],
+                  "row long, first binary, second binary")
+
+
+def _answer_minimizers(parts: int):
     """Rows and their minimizers that another row has too."""
-    local = t.filter(pc.equal(t["kind"], 1))
-    out = list(zip(local["row"].to_pylist(), local["hashes"].to_pylist()))
-    met = t.filter(pc.equal(t["kind"], 0))
-    h = np.frombuffer(_bytes(met["hashes"]), dtype=np.uint64)
-    row = np.repeat(np.frombuffer(_bytes(met["rows"]), dtype=np.int64), np.frombuffer(_bytes(met["counts"]), dtype=np.uint32))
-    order = np.argsort(h, kind="stable")
-    h, row = h[order], row[order]
-    if len(h):
-        same = h[1:] == h[:-1]
+
+    def run(t: pa.Table) -> pa.Table:
+        local = t.filter(pc.equal(t["kind"], 1))
+        known = [np.frombuffer(x, dtype=np.uint64) for x in local["hashes"].to_pylist()]
+        known_rows = np.repeat(local["row"].to_numpy(), np.fromiter(map(len, known), dtype=np.int64, count=len(known)))
+        met = t.filter(pc.equal(t["kind"], 0))
+        h = np.frombuffer(_bytes(met["hashes"]), dtype=np.uint64)
+        row = np.repeat(np.frombuffer(_bytes(met["rows"]), dtype=np.int64),
+                        np.frombuffer(_bytes(met["counts"]), dtype=np.uint32))
+        order = np.argsort(h, kind="stable")
+        h, row = h[order], row[order]
         many = np.zeros(len(h), dtype=bool)
-        many[1:] |= same
-        many[:-1] |= same
+        many[1:] |= h[1:] == h[:-1]
+        many[:-1] |= h[1:] == h[:-1]
         at = np.flatnonzero(many & (row != 0))
-        h, row = h[at], row[at]
-        order = np.argsort(row, kind="stable")
-        cut = np.flatnonzero(row[order][1:] != row[order][:-1]) + 1
-        out += [(int(row[p[0]]), h[p].tobytes()) for p in np.split(order, cut) if len(p)]
-    return _table(out, "row long, hashes binary")
+        rows, hashes = np.concatenate((known_rows, row[at])), np.concatenate([*known, h[at]]).view(np.int64)
+        return _pack(rows, hashes, np.zeros((len(rows), 0), dtype=np.int64), parts)
+
+    return run
 
 
 _RUNS = "kind int, bucket int, row long, hashes binary, rows binary, ids binary, starts binary, sizes binary, data binary"
@@ -278,7 +305,7 @@ def _send_runs(buckets: int, length: int):
                 at_doc = np.searchsorted(doc, np.arange(hi - lo + 1))
                 for d in range(hi - lo):
                     a, z = at_doc[d], at_doc[d + 1]
-                    own = np.frombuffer(b"".join(known[lo + d]), dtype=np.uint64)
+                    own = np.frombuffer(known[lo + d], dtype=np.uint64)
                     for i in np.flatnonzero(np.isin(h[a:z], own)) + a:
                         s, e = int(first[i]), int(last[i])
                         found.append((ids[lo + d], rows[lo + d], int(h[i]), s, texts[lo + d][s:e + length]))
@@ -323,51 +350,60 @@ def _repeats(data: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray
     return [flag[b:b + w] for b, w in zip(begin, windows)]
 
 
-def _judge_runs(length: int):
-    """Window starts to remove, by row: row, starts, ends (first and last start of each stretch)."""
+def _judge_runs(length: int, parts: int):
+    """Window starts to remove, packed by row: first and last start of each stretch."""
 
     def run(t: pa.Table) -> pa.Table:
         local = t.filter(pc.equal(t["kind"], 1))
-        out = list(zip(local["row"].to_pylist(), local["starts"].to_pylist(), local["sizes"].to_pylist()))
+        known = [np.frombuffer(_bytes(local[c]), dtype=np.int64) for c in ("starts", "sizes")]
+        known_rows = np.repeat(local["row"].to_numpy(), [len(x) // 8 for x in local["starts"].to_pylist()])
         met = t.filter(pc.equal(t["kind"], 0))
         h = np.frombuffer(_bytes(met["hashes"]), dtype=np.uint64)
         row, ids, start, size = (np.frombuffer(_bytes(met[c]), dtype=np.int64) for c in ("rows", "ids", "starts", "sizes"))
         data = _bytes(met["data"])
         begin = np.concatenate(([0], np.cumsum(size)))
-        order = np.lexsort((start, row, ids, h)).tolist()
-        gone: dict[int, list[tuple[int, int]]] = {}
-        part: list[int] = []
-        held = 0
+        gone: list[tuple[int, int, int]] = []
+        texts: list[bytes] = []  # distinct byte strings to be sorted, with their smallest id and their runs
+        who: list[int] = []
+        users: list[list[int]] = []
+
+        def add(i: int, first: int, last: int) -> None:
+            s = int(start[i])
+            gone.append((int(row[i]), s + first, s + last))
 
         def judge() -> None:
-            seen: dict[bytes, int] = {}
-            texts, who, alias = [], [], []
-            for i in part:
-                b = data[begin[i]:begin[i + 1]]
-                if b not in seen:
-                    seen[b] = len(texts)
-                    texts.append(b)
-                    who.append(ids[i])
-                alias.append(seen[b])
-            flags = _repeats(texts, np.array(who, dtype=np.int64), length)
-            for i, k in zip(part, alias):
-                f = np.ones_like(flags[k]) if ids[i] > who[k] else flags[k]
+            for k, f in enumerate(_repeats(texts, np.array(who, dtype=np.int64), length)):
                 if f.any():
                     edge = np.flatnonzero(np.diff(np.concatenate(([0], f.view(np.int8), [0]))))
-                    s = int(start[i])
-                    gone.setdefault(int(row[i]), []).extend(
-                        (s + int(a), s + int(z) - 1) for a, z in zip(edge[0::2], edge[1::2]))
-
-        for i in order:  # by minimizer: a minimizer's runs are always sorted together
-            if part and held >= SORT_BYTES and h[i] != h[part[-1]]:
-                judge()
-                part, held = [], 0
-            part.append(i)
-            held += int(size[i])
-        if part:
+                    for i in users[k]:
+                        for a, z in zip(edge[0::2].tolist(), edge[1::2].tolist()):
+                            add(i, a, z - 1)
+
+        held = 0
+        by_hash = np.lexsort((start, row, ids, h))
+        cut = np.flatnonzero(h[by_hash][1:] != h[by_hash][:-1]) + 1
+        for part in np.split(by_hash, cut) if len(h) else ():
+            seen: dict[bytes, list[int]] = {}
+            for i in part.tolist():  # ascending ids: the first of equal runs owns them
+                own = seen.setdefault(data[begin[i]:begin[i + 1]], [])
+                if own and ids[i] > ids[own[0]]:
+                    add(i, 0, int(size[i]) - length)
+                else:
+                    own.append(i)
+            if len(seen) > 1:  # a minimizer with one distinct run has nothing to be sorted
+                for b, own in seen.items():
+                    texts.append(b)
+                    who.append(int(ids[own[0]]))
+                    users.append(own)
+                    held += len(b)
+                if held >= SORT_BYTES:  # all runs of a minimizer are sorted together
+                    judge()
+                    held, texts, who, users = 0, [], [], []
+        if texts:
             judge()
-        out += [(r, np.array([g[0] for g in v]).tobytes(), np.array([g[1] for g in v]).tobytes()) for r, v in gone.items()]
-        return _table(out, "row long, starts binary, ends binary")
+        found = np.array(gone, dtype=np.int64).reshape(-1, 3)
+        return _pack(np.concatenate((known_rows, found[:, 0])), np.concatenate((known[0], found[:, 1])),
+                     np.concatenate((known[1], found[:, 2])), parts)
 
     return run
 
@@ -377,9 +413,9 @@ def _cut(length: int):
         for b in batches:
             out = []
             texts = b.column("text").cast(pa.binary()).to_pylist()
-            for r, t, s, e in zip(b.column("row").to_pylist(), texts, b.column("starts").to_pylist(), b.column("ends").to_pylist()):
-                first = np.frombuffer(b"".join(s), dtype=np.int64)
-                last = np.frombuffer(b"".join(e), dtype=np.int64) + length
+            for r, t, s, e in zip(b.column("row").to_pylist(), texts, b.column("first").to_pylist(), b.column("second").to_pylist()):
+                first = np.frombuffer(s, dtype=np.int64)
+                last = np.frombuffer(e, dtype=np.int64) + length
                 step = np.zeros(len(t) + 1, dtype=np.int64)
                 np.add.at(step, first, 1)
                 np.add.at(step, last, -1)
@@ -414,16 +450,17 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     spark = docs.sparkSession
     size = classes.agg(F.sum("size")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    one_row = "row long, first binary, second binary"
     answers = written(reps.mapInArrow(_send_minimizers(buckets, length), _MET).groupBy("bucket")
-                      .applyInArrow(_answer_minimizers, "row long, hashes binary"), "suffix-shared")
-    known = answers.groupBy("row").agg(F.collect_list("hashes").alias("hashes"))
-    gone = written(reps.join(known, "row").mapInArrow(_send_runs(buckets, length), _RUNS).groupBy("bucket")
-                   .applyInArrow(_judge_runs(length), "row long, starts binary, ends binary"), "suffix-gone")
-    cuts = gone.groupBy("row").agg(F.collect_list("starts").alias("starts"), F.collect_list("ends").alias("ends"))
-    ids = written(gone.select("row").distinct(), "suffix-cut-rows")
+                      .applyInArrow(_answer_minimizers(parts), _PACKED).groupBy("part").applyInArrow(_by_row, one_row),
+                      "suffix-shared").select("row", F.col("first").alias("hashes"))
+    gone = written(reps.join(answers, "row").mapInArrow(_send_runs(buckets, length), _RUNS).groupBy("bucket")
+                   .applyInArrow(_judge_runs(length, parts), _PACKED).groupBy("part").applyInArrow(_by_row, one_row), "suffix-gone")
+    ids = gone.select("row")
     cut_rows = reps.join(F.broadcast(ids), "row", "left_semi") if ids.count() <= 1_000_000 else reps
     schema = "row long, n_removed long, n_spans long, kept binary, sha string"
-    done = cut_rows.dropDuplicates(["row"]).join(cuts, "row").mapInArrow(_cut(length), schema)
+    done = cut_rows.dropDuplicates(["row"]).join(gone, "row").mapInArrow(_cut(length), schema)
     done = written(done if keep_text else done.drop("kept"), "suffix-cut")
     out = (narrow.join(classes.select("sha", "least"), "sha", "left").withColumn("row", key)
            .join(done.withColumnRenamed("sha", "cut_sha"), "row", "left"))
