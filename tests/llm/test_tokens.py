@@ -60,7 +60,7 @@ def test_grammar_round_trip_and_random_access():
             for k in {0, n // 2, n - 1}:
                 assert T.id_at(own, rules, lengths, 1000, int(k)) == ids[tok + k]
             at, tok = at + s, tok + n
-    assert len(T.compress(np.tile([1, 2, 3, 4], 1000), np.array([4000]), 10)[0]) < 1000
+    assert len(T.compress(np.tile([1, 2, 3, 4], 1000), np.array([4000]), 10)[0]) <= 1000
 
 
 def test_files_hold_documents_in_order(spark, sf_small, tokenizer):
