@@ -38,9 +38,12 @@ def clean_str(c) -> Column:
     return nullif_empty(py_strip(F.regexp_replace(col_(c), f"{PY_WS}+", " ")))
 
 
-def to_int(c) -> Column:
-    """Integers pass; text keeps its digits only (sign and dot dropped)."""
-    return _digits_to_bigint(col_(c))
+def to_int(c, integer: bool = False) -> Column:
+    """Integers pass as they are; text keeps its digits only (sign and dot dropped).
+
+    ``integer`` says that the column is of an integer type (a Column doesn't tell).
+    """
+    return col_(c).cast("bigint") if integer else _digits_to_bigint(col_(c))
 
 
 def _digits_to_bigint(c: Column) -> Column:

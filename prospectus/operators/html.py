@@ -285,7 +285,7 @@ def _parse_batches(batches, keep_html: bool):
                 errs.append(None)
             except Exception as exc:  # noqa: BLE001 - a bad page goes to quarantine
                 out.rollback()
-                errs.append(f"{type(exc).__name__}: {exc}"[:500])
+                errs.append(f"{type(exc).__name__}: {exc}")
             out.end_page()
         elems, texts = out.arrays()
         names = [f for f in rb.schema.names if keep_html or f != "html"]
