@@ -16,8 +16,8 @@ of a document without expanding the others.  Spark's committer makes sure that
 each block is there once, also after lost executors.
 
 The tokenizer is the library's; as a text falls into pieces that it treats alone
-(at a blank that follows no white space), ids of short pieces are remembered in a
-dictionary of bounded size.
+(at a blank that follows no white space), the ids of short pieces are remembered in
+a dictionary of bounded size, and unknown pieces are encoded many at a time.
 
 Defined cases: a null or empty text has only the end id; null ids come first;
 rows that repeat an id are documents of their own, ordered by their texts' hash;
@@ -42,15 +42,19 @@ BLOCK_IDS = 1 << 19
 #: texts encoded in one go
 SLICE_CHARS = 1 << 19
 #: pieces remembered by a worker, and their longest
-MEMO_PIECES, MEMO_CHARS = 150_000, 40
-ROUNDS = 5
+MEMO_PIECES, MEMO_CHARS = 500_000, 40
+ROUNDS = 3
 #: a pair must occur this often in a block to become a rule, and rules per block and round
-MIN_PAIRS, MAX_RULES = 48, 2048
+MIN_PAIRS, MAX_RULES = 100, 2048
 _BINS = 1 << 18
 
 
 class Encoder:
-    """ids of texts, by the tokenizers library, with remembered pieces."""
+    """ids of texts, by the tokenizers library, with remembered pieces.
+
+    ``memo`` has the ids of a blank followed by the key; keys are not empty and do
+    not end with white space, so the next blank always begins a new piece.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -58,32 +62,60 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {}
-
-    @staticmethod
-    def pieces(text: str) -> list[str]:
-        """Cut before each blank that follows a character other than white space."""
-        parts = text.split(" ")
-        out = [parts[0]]
-        for p in parts[1:]:
-            if out[-1][-1:].isspace():
-                out[-1] += " " + p
-            else:
-                out.append(" " + p)
+        # a special token between pieces lets many be encoded as one text
+        special = [(i, t.content) for i, t in self.tokenizer.get_added_tokens_decoder().items()
+                   if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.mark = special[0] if special else None
+
+    def _library(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype="<u4").tobytes()
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _many(self, keys: list[str]) -> list[bytes]:
+        """ids of each key after a blank."""
+        if not self.mark:
+            return self._library([" " + k for k in keys])
+        number, mark = self.mark
+        out: list[bytes] = []
+        for lo in range(0, len(keys), 512):
+            part = keys[lo:lo + 512]
+            ids = np.frombuffer(self._library([" " + (mark + " ").join(part)])[0], dtype="<u4")
+            cut = np.flatnonzero(ids == number)
+            if len(cut) != len(part) - 1:  # a piece holds the mark itself
+                out += self._library([" " + k for k in part])
+                continue
+            raw, lo_at = ids.tobytes(), 0
+            for c in cut.tolist():
+                out.append(raw[4 * lo_at:4 * c])
+                lo_at = c + 1
+            out.append(raw[4 * lo_at:])
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        cut = [self.pieces(t) for t in texts]
-        if len(self.memo) > MEMO_PIECES:
-            self.memo.clear()
-        new = list({p for c in cut for p in c if p not in self.memo})
-        known = self.memo
-        if new:
-            got = {p: np.array(e.ids, dtype="<u4").tobytes()
-                   for p, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-            self.memo.update((p, b) for p, b in got.items() if len(p) <= MEMO_CHARS)
-            known = self.memo if all(p in self.memo for p in new) else self.memo | got
-        return [b"".join([known[p] for p in c]) for c in cut]
+        look = self.memo.get
+        cut = [t.split(" ") for t in texts]
+        got = [[look(p) for p in c] for c in cut]
+        gaps = [[k for k, b in enumerate(g) if b is None] for g in got]
+        whole = self._library([c[0] for c in cut])  # what comes before the first blank
+        new: dict[str, bytes] = {}
+        for i, (c, gap) in enumerate(zip(cut, gaps)):
+            own = [c[k] for k in gap if k]
+            if any(not p or p[-1].isspace() for p in own):
+                whole[i], got[i] = self._library([texts[i]])[0], []
+            else:
+                new.update(dict.fromkeys(own))
+        keys = list(new)
+        new = dict(zip(keys, self._many(keys)))
+        room = MEMO_PIECES - len(self.memo)
+        self.memo.update((p, new[p]) for p in keys[:max(room, 0)] if len(p) <= MEMO_CHARS)
+        for i, (c, g, gap) in enumerate(zip(cut, got, gaps)):
+            if g:
+                for k in gap:
+                    g[k] = new[c[k]] if k else b""
+                g[0] = whole[i]
+                whole[i] = b"".join(g)
+        return whole
 
 
 _encoders: dict[str, Encoder] = {}
