@@ -45,9 +45,10 @@ def _letter_table() -> np.ndarray:
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points of all texts, blanks for non-letters, each text followed by three blanks; offsets."""
+    """Code points of all texts, blanks for non-letters; each text has a blank before and two after it, so that
+    no n-gram with a letter and single blanks belongs to two texts; offsets."""
     low = [t.lower() for t in texts]
-    arr = np.frombuffer("   ".join([*low, ""]).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    arr = np.frombuffer((" " + "   ".join(low) + "  ").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     ends = np.cumsum([0] + [len(t) + 3 for t in low])
     letter = _letter_table()[arr]
     return np.where(letter, arr, np.uint32(32)), ends

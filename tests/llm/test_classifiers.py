@@ -72,7 +72,8 @@ def test_quality_edge_rows(spark):
     got = quality.score_documents(docs, none).collect()
     assert len(got) == 5 and {(r.score, r.predicted) for r in got} == {(0.5, 1)}
     assert quality.score_documents(spark.createDataFrame([], docs.schema), none).count() == 0
-    one = spark.createDataFrame([(2, 1, None), (3, 1, 0), (3, None, 0), (None, 0, 0)], none.schema)
+    learned = [i for i in (1, 2, 3) if zlib.crc32(str(i).encode()) % 3 != 1]
+    one = spark.createDataFrame([(i, 1, None) for i in learned] + [(learned[0], None, 0), (None, 0, 0)], none.schema)
     assert all(r.score == 1.0 for r in quality.score_documents(docs, one).collect())
     kept = quality.keep_good(docs, none)
     assert kept.columns == docs.columns and kept.count() == 5
