@@ -220,6 +220,19 @@ def with_rules(parsed: DataFrame, rule_table: DataFrame, source_col: str = "sour
             .drop("_rule_source"))
 
 
+def with_one_rule(parsed: DataFrame, spec: dict) -> DataFrame:
+    """One source's rule on every page, as literals (no join)."""
+    values = dict(zip(RULE_SCHEMA.names, rule_rows([spec])[0]))
+    cols = {"source": F.lit(values["source"])}
+    for f in RULE_SCHEMA.fields[1:]:
+        v = values[f.name]
+        if isinstance(v, list):
+            v = F.array(*[F.struct(*[F.lit(x).cast("string") for x in e]) if isinstance(e, tuple) else F.lit(e)
+                          for e in v])
+        cols[f.name] = (v if isinstance(v, Column) else F.lit(v)).cast(f.dataType)
+    return parsed.withColumns(cols)
+
+
 def discover_links(parsed_with_rules: DataFrame, start_urls: DataFrame | None = None) -> DataFrame:
     """(page_id, source, pos, url) for every course link of every listing page.
 
@@ -231,13 +244,13 @@ def discover_links(parsed_with_rules: DataFrame, start_urls: DataFrame | None =
                      F.posexplode(F.expr(discover_sql("url"))).alias("pos", "url"))
              .withColumn("pos", F.col("pos") + 1))
     if start_urls is not None:
-        starts = (start_urls.select(F.col("source").alias("_s_source"),
-                                    F.regexp_replace("url", "/+$", "").alias("_s_url"))
-                  .distinct())
-        hit = (links.join(starts, (links.source == starts._s_source)
-                          & (F.regexp_replace(links.url, "/+$", "") == starts._s_url)
-                          & links.r_exclude_start, "left_anti"))
-        links = hit
+        starts = start_urls.select(F.col("source").alias("_s_source"),
+                                   F.regexp_replace("url", "/+$", "").alias("_s_url"))
+        # a null key meets nothing: links of other sources pass by without being compared
+        key = F.when(links.r_exclude_start, F.regexp_replace(links.url, "/+$", ""))
+        links = links.withColumn("_key", key)
+        links = links.join(starts, (links._key == starts._s_url) & (links.source == starts._s_source),
+                           "left_anti").drop("_key")
     return links.drop("r_exclude_start")
 
 
@@ -267,18 +280,6 @@ def include_exclude(links: DataFrame, includes: list[str], excludes: list[str],
     return links.filter(inc & ~exc)
 
 
-def first_per_page(links: DataFrame, key: str = "abs_url") -> DataFrame:
-    """L7 on an exploded table: first occurrence per (page, key) by position.
-
-    An aggregate (partial, map-side) rather than a window: a page with a very
-    large number of duplicate links costs no single skewed sort.
-    """
-    cols = [c for c in links.columns if c not in ("page_id", key)]
-    return (links.groupBy("page_id", key)
-            .agg(F.min_by(F.struct(*cols), F.col("pos")).alias("_r"))
-            .select("page_id", key, "_r.*"))
-
-
 def pages_status_filter(pages: DataFrame, status: str = "status") -> DataFrame:
     """Drop pages fetched with the blocked status (403)."""
     return pages.filter(F.col(status).isNull() | (F.col(status) != rules.BLOCKED_STATUS))

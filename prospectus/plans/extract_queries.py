@@ -17,7 +17,7 @@ from ..functions.text import py_strip
 from ..operators import extract as X
 from ..operators.html import parsed_pages
 from ..sources.rendered import rendered_pages
-from ..sources.tables import scan_pages, spread
+from ..sources.tables import scan_pages
 from .oracle_base import with_catalogue
 from .registry import register
 
@@ -160,7 +160,7 @@ trim(replace(replace(replace(replace(replace(
 SELECT page_id, {_H1_SQL} AS name FROM pages""")
 def q_first_match(spark, d):
     """E0 on raw pages: the name rules (h1 variants) pick the first h1."""
-    p = parsed_pages(spread(scan_pages(spark, d)))
+    p = parsed_pages(scan_pages(spark, d))
     return p.select("page_id", S.first_text(rules.SELECTOR_RULES["name"]).alias("name"))
 
 
@@ -173,7 +173,7 @@ def q_scan_pages(spark, d):
           "SELECT page_id, CAST(NULL AS VARCHAR) AS parse_error FROM pages WHERE false")
 def q_extract_quarantine(spark, d):
     """Pages the tokenizer could not handle (none in the input)."""
-    raw = X.extract_fields(parsed_pages(spread(scan_pages(spark, d))), keep=["page_id"])
+    raw = X.extract_fields(parsed_pages(scan_pages(spark, d)), keep=["page_id"])
     _ok, bad = X.split_quarantine(raw)
     return bad.select("page_id", "parse_error")
 
@@ -185,5 +185,5 @@ SELECT page_id,
     '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&#39;', ''''), '&amp;', '&')) AS title
 FROM pages""")
 def q_page_titles(spark, d):
-    p = X.stage_inputs(parsed_pages(spread(scan_pages(spark, d))), keep=["page_id"])
+    p = X.stage_inputs(parsed_pages(scan_pages(spark, d)), keep=["page_id"])
     return p.select("page_id", py_strip(X.title_text()).alias("title"))

@@ -15,7 +15,7 @@ from ..operators.html import parsed_pages
 from ..operators.markdown import markdown_fields
 from ..sources import catalogue as cat
 from ..sources.rendered import course_rows, markdown_pages, raw_from_catalogue
-from ..sources.tables import read_table, scan_pages, spread
+from ..sources.tables import read_table, scan_pages
 from .oracle_base import with_catalogue
 from .registry import register
 
@@ -280,7 +280,7 @@ def _sql_reason(name: str, url: str) -> str:
 
 
 def _page_items(spark, d):
-    p = X.stage_inputs(parsed_pages(spread(scan_pages(spark, d))), keep=["page_id", "url"])
+    p = X.stage_inputs(parsed_pages(scan_pages(spark, d)), keep=["page_id", "url"])
     return p.select("page_id", F.col("_txt_name").alias("name"), "url")
 
 

@@ -1,9 +1,11 @@
-"""Registered link-discovery queries (L1-L14) over the driver ``pages`` table.
-
-Pages carry no source column; each page is given one of the 18 sources by a
-deterministic rule on its URL (``length(url) % 18``), so every source's rule
-runs on some pages.  Oracle hrefs come from a regular expression over the
-HTML (the driver pages' anchors carry only an ``href`` attribute).
+"""Registered link-discovery queries.
+
+Listing all links, resolving them, first-wins dedup, the status filter and the
+next-page link run on the driver ``pages`` table; their oracle hrefs come from a
+regular expression over the HTML (those anchors carry only an ``href``).  The
+rules that need course links run on the listing pages rendered from the
+catalogue (``sources.listing``), whose links take every form the 18 source
+rules tell apart; their oracle restates the anchors in SQL.
 """
 
 from __future__ import annotations
@@ -13,22 +15,20 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..operators import links as L
 from ..operators.html import parsed_pages
-from ..sources.tables import scan_pages, spread
+from ..sources.listing import LINK_FORMS, NAV, OPEN_DAY, PAGE_LINKS, SOURCES, listing_pages, start_urls
+from ..sources.tables import scan_pages
+from .oracle_base import with_catalogue
 from .registry import register
 
-SOURCES = [r["source"] for r in rules.SOURCE_RULES]
-LSBU = next(r for r in rules.SOURCE_RULES if r["source"] == "lsbu")
 MIDDLESEX = next(r for r in rules.SOURCE_RULES if r["source"] == "middlesex")
 
 
-def source_of(url_col: str = "url"):
-    return F.element_at(F.array(*[F.lit(s) for s in SOURCES]),
-                        (F.length(url_col) % len(SOURCES) + 1).cast("int"))
+def _parsed(spark, d):
+    return parsed_pages(scan_pages(spark, d))
 
 
-def _parsed(spark, d):
-    p = spread(scan_pages(spark, d)).withColumn("source", source_of())
-    return parsed_pages(p)
+def _listed(spark, d):
+    return parsed_pages(listing_pages(spark, d))
 
 
 def _q(s: str) -> str:
@@ -37,7 +37,7 @@ def _q(s: str) -> str:
 
 _HREFS = """
 anchors AS (
-  SELECT page_id, url, length(url) AS ulen, unnest(generate_series(1, len(hs))) AS pos, unnest(hs) AS href
+  SELECT page_id, url, unnest(generate_series(1, len(hs))) AS pos, unnest(hs) AS href
   FROM (SELECT page_id, url,
                list_transform(regexp_extract_all(html, '<a\\s[^>]*href="([^"]*)"', 1),
                  lambda h: replace(replace(replace(replace(replace(h, '&quot;', '"'), '&copy;', '©'),
@@ -61,38 +61,90 @@ def _any(h: str, words) -> str:
     return "(" + " OR ".join(f"strpos({h}, {_q(w)}) > 0" for w in words) + ")" if words else "false"
 
 
+def _listing_anchors_sql() -> str:
+    """The anchors of the rendered listing pages, in document order, and what they resolve to."""
+    srcs = "[" + ", ".join(_q(s) for s in SOURCES) + "]"
+    host = "'https://www.university-' || CAST(suppkey AS VARCHAR) || '.example.ac.uk'"
+    path = "'/courses/undergraduate/page-' || CAST({} AS VARCHAR)"
+    fixed = [(_q(h), "CAST(NULL AS VARCHAR)", "false") for h, _t in NAV] + [
+        (path.format("(page_no + 1) % npages"), "'next'", "true"),
+        (path.format("page_no") + " || '/'", "CAST(NULL AS VARCHAR)", "true"),
+        (_q(OPEN_DAY), "'course-link'", "true"), (_q(OPEN_DAY), "'course-link'", "true")]
+    fixed_rows = "\n".join(
+        f"  UNION ALL SELECT suppkey, page_no, {h}, {c}, {i + 1}, {m}, false FROM lpage"
+        for i, (h, c, m) in enumerate(fixed))
+    n = len(LINK_FORMS)
+    sec = ("CASE WHEN lvl = 'undergraduate' THEN 'undergraduate' WHEN lvl = 'research' "
+           "THEN 'research-degrees' ELSE 'postgraduate' END || '/' || ")
+    hrefs = " ".join(f"WHEN {i} THEN {_q(p)} || {sec if s else ''}CAST(c.l_partkey AS VARCHAR) || {_q(x)}"
+                     for i, (p, s, x, _c, _d) in enumerate(LINK_FORMS))
+    classes = " ".join(f"WHEN {i} THEN {_q(c)}" for i, (_p, _s, _x, c, _d) in enumerate(LINK_FORMS) if c)
+    cards = ", ".join(str(i) for i, f in enumerate(LINK_FORMS) if f[4])
+    return f"""
+lpages AS (SELECT l_suppkey, CAST(ceil(count(*) / {PAGE_LINKS}.0) AS BIGINT) AS npages
+           FROM facts GROUP BY l_suppkey),
+lcourse AS (
+  SELECT c.l_suppkey AS suppkey, c.l_partkey % p.npages AS page_no, p.npages,
+         CASE c.l_partkey % {n} {hrefs} END AS href, CASE c.l_partkey % {n} {classes} END AS cls,
+         c.l_partkey % {n} IN ({cards}) AS in_card, c.l_partkey AS o
+  FROM cbase2 c JOIN lpages p ON c.l_suppkey = p.l_suppkey
+),
+lpage AS (SELECT DISTINCT suppkey, page_no, npages FROM lcourse),
+lall AS (
+  SELECT suppkey, page_no, href, cls,
+         {len(fixed)} + row_number() OVER (PARTITION BY suppkey, page_no ORDER BY o) AS pos,
+         true AS in_main, in_card
+  FROM lcourse
+{fixed_rows}
+),
+listed AS (
+  SELECT suppkey || '-' || page_no AS page_id, {host} || {path.format("page_no")} AS url,
+         {srcs}[suppkey % {len(SOURCES)} + 1] AS source, suppkey, pos, href, cls, in_main, in_card
+  FROM lall
+),
+resolved AS (
+  SELECT *, CASE WHEN starts_with(href, '/') THEN {host} || href
+                 WHEN href = '' OR starts_with(href, '#') THEN url || href
+                 ELSE href END AS abs_url
+  FROM listed
+)"""
+
+
+_LISTED = with_catalogue("", extra=_listing_anchors_sql()).rstrip()
+
+
 @register("links_all", "WITH " + _HREFS.strip() + " SELECT page_id, pos, href FROM anchors")
 def q_links_all(spark, d):
     return L.links_all(_parsed(spark, d)).select("page_id", "pos", "href")
 
 
-@register("links_scheme_filter", "WITH " + _HREFS.strip()
-          + f" SELECT page_id, pos, href FROM anchors WHERE {_scheme_ok('href')}")
+@register("links_scheme_filter", _LISTED
+          + f" SELECT page_id, pos, href FROM listed WHERE {_scheme_ok('href')}")
 def q_links_scheme(spark, d):
-    return L.scheme_filter(L.links_all(_parsed(spark, d))).select("page_id", "pos", "href")
+    return L.scheme_filter(L.links_all(_listed(spark, d))).select("page_id", "pos", "href")
 
 
 ST_GEORGES = next(r for r in rules.SOURCE_RULES if r["source"] == "st_georges")
 
 
-@register("links_include_exclude", "WITH " + _HREFS.strip() + f"""
-SELECT page_id, pos, href FROM anchors
+@register("links_include_exclude", _LISTED + f"""
+SELECT page_id, pos, href FROM listed
 WHERE {_scheme_ok('href')} AND {_any('href', ST_GEORGES['includes'])}
   AND NOT {_any('href', ST_GEORGES['excludes'])}""")
 def q_links_include_exclude(spark, d):
-    links = L.scheme_filter(L.links_all(_parsed(spark, d)))
+    links = L.scheme_filter(L.links_all(_listed(spark, d)))
     return L.include_exclude(links, ST_GEORGES["includes"], ST_GEORGES["excludes"]).select(
         "page_id", "pos", "href")
 
 
-def _resolved(spark, d):
-    links = L.links_all(_parsed(spark, d))
+def _resolved(parsed):
+    links = L.links_all(parsed)
     return links.withColumn("abs_url", L.url_join("url", "href"))
 
 
 @register("links_resolve", "WITH " + _HREFS.strip() + " SELECT page_id, pos, href, abs_url FROM resolved")
 def q_links_resolve(spark, d):
-    return _resolved(spark, d).select("page_id", "pos", "href", "abs_url")
+    return _resolved(_parsed(spark, d)).select("page_id", "pos", "href", "abs_url")
 
 
 @register("links_dedup", "WITH " + _HREFS.strip() + """
@@ -105,34 +157,33 @@ def q_links_dedup(spark, d):
             .withColumn("pos", F.col("pos") + 1))
 
 
-@register("links_canonical", "WITH " + _HREFS.strip() + """
+@register("links_canonical", _LISTED + """
 SELECT page_id, pos, regexp_replace(split_part(abs_url, '#', 1), '/+$', '') AS canonical_url
 FROM resolved""")
 def q_links_canonical(spark, d):
-    return _resolved(spark, d).select("page_id", "pos", L.canonical("abs_url").alias("canonical_url"))
+    return _resolved(_listed(spark, d)).select("page_id", "pos", L.canonical("abs_url").alias("canonical_url"))
 
 
-@register("links_exclude_start", "WITH " + _HREFS.strip() + """
+@register("links_exclude_start", _LISTED + """
 SELECT r.page_id, r.pos, r.abs_url FROM resolved r
-WHERE NOT EXISTS (SELECT 1 FROM pages p
+WHERE NOT EXISTS (SELECT 1 FROM listed p
                   WHERE regexp_replace(p.url, '/+$', '') = regexp_replace(r.abs_url, '/+$', ''))""")
 def q_links_exclude_start(spark, d):
     """Links that point back at any listing page (start URL) are dropped."""
-    links = _resolved(spark, d)
-    starts = (scan_pages(spark, d).select(F.regexp_replace("url", "/+$", "").alias("_start"))
-              .distinct())
+    links = _resolved(_listed(spark, d))
+    starts = start_urls(spark, d).select(F.regexp_replace("url", "/+$", "").alias("_start"))
     return (links.join(starts, F.regexp_replace(links.abs_url, "/+$", "") == starts._start,
                        "left_anti")
             .select("page_id", "pos", "abs_url"))
 
 
-@register("links_detail_only", "WITH " + _HREFS.strip() + f"""
+@register("links_detail_only", _LISTED + f"""
 SELECT page_id, pos, abs_url FROM resolved
 WHERE strpos(abs_url, '/courses/') > 0 AND strpos(abs_url, '?') = 0 AND strpos(abs_url, '#') = 0
   AND {_any('abs_url', MIDDLESEX['abs_any'])}""")
 def q_links_detail_only(spark, d):
     """Detail-page URL tests on resolved links."""
-    r = _resolved(spark, d)
+    r = _resolved(_listed(spark, d))
     a = F.col("abs_url")
     anyc = F.lit(False)
     for t in MIDDLESEX["abs_any"]:
@@ -141,51 +192,35 @@ def q_links_detail_only(spark, d):
             .select("page_id", "pos", "abs_url"))
 
 
-def _sel_cond(s: dict, rich: bool) -> str | None:
-    """SQL for one selector over an anchors row (href, cls, in_main, in_card)."""
+def _sel_cond(s: dict) -> str | None:
+    """SQL for one selector over an anchors row; None where no listing page has such a container."""
     c = []
     if s.get("class_eq"):
-        if not rich:
-            return None  # driver anchors carry no class attribute
         c.append(f"coalesce(cls = {_q(s['class_eq'])}, false)")
     if s.get("anc_tag"):
-        if not rich:
-            return None  # driver anchors sit under nav/li only
         if s["anc_tag"] == "main" and not s.get("anc_class"):
             c.append("in_main")
         elif s["anc_tag"] == "div" and s.get("anc_class") == "course-item":
             c.append("in_card")
         else:
-            return None  # no such container on a rendered listing page
-    return " AND ".join(c) if c else "true"
+            return None
+    if s.get("href_contains"):
+        c.append(f"strpos(href, {_q(s['href_contains'])}) > 0")
+    if s.get("href_prefix"):
+        c.append(f"starts_with(href, {_q(s['href_prefix'])})")
+    return "(" + " AND ".join(c) + ")"
+
 
+def _selected(selectors: list[dict]) -> str:
+    alts = [c for c in (_sel_cond(s) for s in selectors) if c]
+    return "(" + " OR ".join(alts) + ")" if alts else "false"
 
-def _discover_sql(anchors_sql: str | None = None, src_expr: str | None = None,
-                  start_urls: str = "SELECT url, length(url) AS ulen FROM pages") -> str:
-    """Per-source link rules in SQL.  Over the driver pages (regex anchors) class
-    and ancestor selectors never match; over rendered listing pages the anchors
-    table says which anchors have a class / sit in <main> / in a course card."""
-    rich = anchors_sql is not None
+
+def _discover_sql(with_starts: bool) -> str:
+    """Every source's link rule over the anchors of the listing pages."""
     parts = []
-    for i, r in enumerate(rules.SOURCE_RULES):
-        conds = [f"ulen % {len(SOURCES)} = {i}"] if not rich else [f"source = {_q(r['source'])}"]
-        sels = r.get("selectors")
-        if sels is not None:
-            alts = []
-            for s in sels:
-                base = _sel_cond(s, rich)
-                if base is None:
-                    continue
-                c = [] if base == "true" else [base]
-                if s.get("href_contains"):
-                    c.append(f"strpos(href, {_q(s['href_contains'])}) > 0")
-                if s.get("href_prefix"):
-                    c.append(f"starts_with(href, {_q(s['href_prefix'])})")
-                alts.append("(" + " AND ".join(c or ["true"]) + ")")
-            sel_cond = "(" + " OR ".join(alts) + ")" if alts else "false"
-        else:
-            sel_cond = "true"
-        keep = [sel_cond]
+    for r in rules.SOURCE_RULES:
+        keep = [_selected(r["selectors"]) if r.get("selectors") is not None else "true"]
         if r.get("href_any"):
             keep.append(_any("href", r["href_any"]))
         if r.get("drop_schemes"):
@@ -196,11 +231,12 @@ def _discover_sql(anchors_sql: str | None = None, src_expr: str | None = None,
             keep.append("NOT " + _any("href", r["excludes"]))
         if r.get("href_not"):
             keep.append(f"href <> {_q(r['href_not'])}")
-        chosen = " AND ".join(keep)
+        chosen, late = "(" + " AND ".join(keep) + ")", "0"
         pat = r.get("url_patterns")
-        if pat:
-            pc = " AND ".join(f"strpos(href, {_q(w)}) > 0" for w in pat["all"]) + " AND " + _any("href", pat["any"])
-            chosen = f"(({chosen}) OR ({pc}))"
+        if pat:  # links found only by the URL patterns follow those of the selectors
+            late = f"CASE WHEN {chosen} THEN 0 ELSE 1 END"
+            chosen = "(" + chosen + " OR (" + " AND ".join(
+                [f"strpos(href, {_q(w)}) > 0" for w in pat["all"]] + [_any("href", pat["any"])]) + "))"
         u = "abs_url"
         if r.get("canonical"):
             u = "regexp_replace(split_part(abs_url, '#', 1), '/+$', '')"
@@ -213,64 +249,69 @@ def _discover_sql(anchors_sql: str | None = None, src_expr: str | None = None,
             abs_conds.append(f"strpos({u}, '?') = 0 AND strpos({u}, '#') = 0")
         if r.get("abs_any"):
             abs_conds.append(_any(u, r["abs_any"]))
-        if r.get("exclude_start"):
-            same = (f"p.ulen % {len(SOURCES)} = {i}" if not rich else f"p.source = {_q(r['source'])}")
-            abs_conds.append(f"NOT EXISTS (SELECT 1 FROM starts p WHERE {same} "
-                             f"AND regexp_replace(p.url, '/+$', '') = regexp_replace({u}, '/+$', ''))")
-        where = " AND ".join(conds + [chosen] + abs_conds)
-        parts.append(f"SELECT page_id, {_q(r['source'])} AS source, pos AS apos, {u} AS url, "
+        dropped = "false"
+        if r.get("exclude_start") and with_starts:
+            dropped = f"regexp_replace({u}, '/+$', '') IN (SELECT url FROM starts WHERE source = {_q(r['source'])})"
+        where = " AND ".join([f"source = {_q(r['source'])}", chosen] + abs_conds)
+        parts.append(f"SELECT page_id, source, {late} AS late, pos AS apos, {u} AS url, {dropped} AS dropped, "
                      f"{'true' if r.get('dedup') else 'false'} AS dd FROM resolved a WHERE {where}")
     union = "\nUNION ALL\n".join(parts)
-    head = ("WITH " + _HREFS.strip()) if not rich else ("WITH " + anchors_sql.strip())
-    return (head + f""",
-starts AS ({start_urls}),
+    return _LISTED + f""",
+starts AS (SELECT DISTINCT url, source FROM listed),
 cand AS ({union}),
 firsts AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY apos) AS k FROM cand)
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY page_id, url ORDER BY late, apos) AS k FROM cand)
   WHERE NOT dd OR k = 1
-)
-SELECT page_id, source, row_number() OVER (PARTITION BY page_id ORDER BY apos) AS pos, url
-FROM firsts""")
+),
+placed AS (SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY late, apos) AS pos FROM firsts)
+SELECT page_id, source, pos, url FROM placed WHERE NOT dropped"""
+
+
+def _ruled(spark, d, only: list[dict] | None = None):
+    return L.with_rules(_listed(spark, d), L.rules_frame(spark, only))
 
 
-@register("discover_links", _discover_sql())
+@register("discover_links", _discover_sql(with_starts=False))
 def q_discover_links(spark, d):
-    """L1-L11 with every source's rule (the course-link job of all listing pages)."""
-    parsed = _parsed(spark, d)
-    with_r = L.with_rules(parsed, L.rules_frame(spark))
-    starts = scan_pages(spark, d).select(source_of().alias("source"), "url")
-    return L.discover_links(with_r, starts).select("page_id", "source", "pos", "url")
+    """L1-L8, L10, L11 with every source's rule: what each listing page yields by itself."""
+    return L.discover_links(_ruled(spark, d)).select("page_id", "source", "pos", "url")
 
 
-@register("links_by_selector", "WITH " + _HREFS.strip() + """
-SELECT page_id, pos, href FROM anchors
-WHERE strpos(href, '/course/') > 0 OR strpos(href, '/courses/') > 0""")
+@register("discover_course_links", _discover_sql(with_starts=True))
+def q_discover_course_links(spark, d):
+    """L1-L11 with every source's rule: the course-link job of all listing pages."""
+    return L.discover_links(_ruled(spark, d), start_urls(spark, d)).select("page_id", "source", "pos", "url")
+
+
+BROOKES = next(r for r in rules.SOURCE_RULES if r["source"] == "brookes")
+QUB = next(r for r in rules.SOURCE_RULES if r["source"] == "qub")
+
+
+@register("links_by_selector", _LISTED + f"""
+SELECT page_id, pos, href FROM (
+  SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pos
+  FROM listed WHERE {_selected(BROOKES['selectors'])})
+WHERE {_any('href', BROOKES['href_any'])}""")
 def q_links_by_selector(spark, d):
-    """L2: brookes-style selector union, then the href post-filter."""
-    brookes = next(r for r in rules.SOURCE_RULES if r["source"] == "brookes")
-    p = _parsed(spark, d).withColumn("r_sel", F.lit(None))
-    sel_rows = L.rule_rows([brookes])[0][3]
-    sels = F.array(*[F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(
-        ("href_contains", "href_prefix", "class_eq", "anc_tag", "anc_class"), s)]) for s in sel_rows])
-    p = p.withColumn("r_sel", sels)
-    out = (p.select("page_id", F.posexplode(F.expr(L.hrefs_sql("r_sel"))).alias("pos", "href"))
+    """L2: a selector union (positions count its anchors), then the href post-filter."""
+    names = ("href_contains", "href_prefix", "class_eq", "anc_tag", "anc_class")
+    sels = F.array(*[F.struct(*[F.lit(v).cast("string").alias(k) for k, v in zip(names, s)])
+                     for s in L.rule_rows([BROOKES])[0][3]])
+    out = (_listed(spark, d).withColumn("r_sel", sels)
+           .select("page_id", F.posexplode(F.expr(L.hrefs_sql("r_sel"))).alias("pos", "href"))
            .withColumn("pos", F.col("pos") + 1))
-    # positions count anchors matched by the selector union, as the union yields them
     return out.filter(F.col("href").contains("/course/") | F.col("href").contains("/courses/"))
 
 
-@register("links_union_strategies", "WITH " + _HREFS.strip() + """
+@register("links_union_strategies", _LISTED + f"""
 SELECT DISTINCT page_id, abs_url FROM resolved
-WHERE strpos(href, '/courses/undergraduate/') > 0 OR strpos(href, '/courses/postgraduate-taught/') > 0
-   OR strpos(href, '/courses/postgraduate-research/') > 0
+WHERE {_selected(QUB['selectors'])}
    OR (strpos(href, '/courses/') > 0 AND (strpos(href, '/undergraduate/') > 0
        OR strpos(href, '/postgraduate-') > 0))""")
 def q_links_union(spark, d):
-    """Selector strategy union URL-pattern strategy, as a set."""
-    qub = next(r for r in rules.SOURCE_RULES if r["source"] == "qub")
-    p = L.with_rules(_parsed(spark, d).withColumn("source", F.lit("qub")),
-                     L.rules_frame(spark, [qub]))
-    return (L.discover_links(p).select("page_id", F.col("url").alias("abs_url")).distinct())
+    """Selector strategy union URL-pattern strategy, as a set (its dedup is per page)."""
+    links = L.discover_links(L.with_one_rule(_listed(spark, d), QUB))
+    return links.select("page_id", F.col("url").alias("abs_url"))
 
 
 _STATUS = "CASE WHEN strpos(html, '</html>') > 0 THEN 200 ELSE 403 END"
@@ -292,67 +333,10 @@ def q_links_next_page(spark, d):
     return L.next_page_link(_parsed(spark, d), {"tag": "a", "attr": "href"})
 
 
-@register("partner_override", "SELECT page_id, [" + ", ".join(
-    _q(r["university_name"]) for r in rules.SOURCE_RULES) + f"][length(url) % {len(SOURCES)} + 1] "
-    "AS university_name FROM pages")
+@register("partner_override", _LISTED + " SELECT DISTINCT page_id, CASE WHEN suppkey % 3 = 0 "
+          + "THEN 'OIEG - Partner ' || suppkey ELSE [" + ", ".join(
+    _q(r["university_name"]) for r in rules.SOURCE_RULES) + f"][suppkey % {len(SOURCES)} + 1] END "
+    "AS university_name FROM listed")
 def q_partner_override(spark, d):
-    """Partner logo alt text renames the university (no logos in the input)."""
-    p = L.with_rules(_parsed(spark, d), L.rules_frame(spark))
-    return L.partner_override(p).select("page_id", "university_name")
-
-
-# --- link discovery over listing pages rendered from the catalogue -----------------
-
-def _listing_anchors_sql() -> str:
-    from ..sources.listing import NAV, PAGE_LINKS
-    srcs = "[" + ", ".join(_q(s) for s in SOURCES) + "]"
-    host = "'https://www.university-' || CAST(suppkey AS VARCHAR) || '.example.ac.uk'"
-    nav = "\n".join(
-        f"  UNION ALL SELECT page_id, suppkey, {_q(h)}, CAST(NULL AS VARCHAR), {i + 1}, false, false FROM lnav"
-        for i, (h, _t) in enumerate(NAV))
-    return f"""
-lpages AS (SELECT l_suppkey, CAST(ceil(count(*) / {PAGE_LINKS}.0) AS BIGINT) AS npages
-           FROM facts GROUP BY l_suppkey),
-lcourse AS (
-  SELECT c.l_suppkey * 1000 + (c.l_partkey % p.npages) AS page_id, c.l_suppkey AS suppkey,
-         '/courses/' || CASE c.lvl WHEN 'undergraduate' THEN 'undergraduate'
-                                   WHEN 'research' THEN 'research-degrees' ELSE 'postgraduate' END
-           || '/' || CAST(c.l_partkey AS VARCHAR) AS href,
-         'course-link' AS cls, c.l_partkey AS o
-  FROM cbase2 c JOIN lpages p ON c.l_suppkey = p.l_suppkey
-),
-lnav AS (SELECT DISTINCT page_id, suppkey FROM lcourse),
-lall AS (
-  SELECT page_id, suppkey, href, cls,
-         {len(NAV)} + row_number() OVER (PARTITION BY page_id ORDER BY o) AS pos, true AS in_main, true AS in_card
-  FROM lcourse
-{nav}
-),
-resolved AS (
-  SELECT page_id, {host} || '/courses?page=' || CAST(page_id % 1000 AS VARCHAR) AS url,
-         {srcs}[suppkey % {len(SOURCES)} + 1] AS source, pos, href, cls, in_main, in_card,
-         CASE WHEN starts_with(href, '/') THEN {host} || href
-              WHEN starts_with(href, '#') THEN {host} || '/courses?page=' || CAST(page_id % 1000 AS VARCHAR) || href
-              ELSE href END AS abs_url
-  FROM lall
-)"""
-
-
-def _listing_discover_sql() -> str:
-    from .oracle_base import with_catalogue
-    inner = _discover_sql(anchors_sql="__ANCHORS__",
-                          start_urls="SELECT DISTINCT url, source FROM resolved")
-    rest = inner[len("WITH __ANCHORS__"):]  # ",\nstarts AS (...), cand AS ... SELECT ..."
-    return with_catalogue("", extra=_listing_anchors_sql()).rstrip() + rest
-
-
-@register("discover_course_links", _listing_discover_sql())
-def q_discover_course_links(spark, d):
-    """L1-L11 with every source's rule over listing pages rendered from the
-    catalogue (each university's pages carry its course links)."""
-    from ..sources.listing import listing_pages
-    pages = listing_pages(spark, d)
-    parsed = parsed_pages(pages)
-    with_r = L.with_rules(parsed, L.rules_frame(spark))
-    starts = pages.select("source", "url")
-    return L.discover_links(with_r, starts).select("page_id", "source", "pos", "url")
+    """Partner logo alt text renames the university."""
+    return L.partner_override(_ruled(spark, d)).select("page_id", "university_name")

@@ -85,11 +85,9 @@ def render_html(r=F.col) -> F.Column:
 def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(page_id, url, html, university_name, university_location)`` per course."""
     rows = course_rows(spark, sf_dir)
-    # Parsing is CPU work per page: spread the (narrow) course rows over a
-    # fixed number of partitions before the html is generated, so AQE cannot
-    # coalesce the tiny pre-render shuffle into a single parsing task.
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "id")
+    # Parsing is CPU work per page: the narrow course rows are rebalanced before
+    # the html is generated, into as many parts as AQE finds their size needs.
+    rows = rows.hint("rebalance")
     return rows.select(
         F.col("id").alias("page_id"), F.col("source_url").alias("url"),
         render_html().alias("html"), "university_name", "university_location")

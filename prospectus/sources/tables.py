@@ -23,17 +23,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scan_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page source, ``(page_id, url, html)``."""
     return read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than task slots.
-
-    Page parsing is CPU-bound per row; a large page table already arrives in
-    many file splits and is left alone (no shuffle).  Only a small input (one
-    file, one split) is spread so every core gets pages.
-    """
-    spark = df.sparkSession
-    slots = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from prospectus import rules
 from prospectus.operators import links as L
 from prospectus.operators.html import parsed_pages
+from prospectus.sources import listing
 
 BASES = ["http://a.example/b/c/d;p?q", "https://h.example/x/y/", "http://h.example",
          "https://h.example/en/25#top", "http://h.example/fr/825?page=2&ref=x"]
@@ -84,3 +85,43 @@ def test_rule_table_is_complete():
     assert len(rules.SOURCE_RULES) == 18
     st = next(r for r in rules.SOURCE_RULES if r["source"] == "st_georges")
     assert len(st["includes"]) == 76 and len(st["excludes"]) == 21
+
+
+def _tables(spark, folder, keys):
+    spark.createDataFrame(keys, "l_partkey long, l_suppkey long").write.parquet(f"{folder}/lineitem.parquet")
+    parts = sorted({k for k, _ in keys})
+    spark.createDataFrame([(k, f"course {k}", k % 50) for k in parts],
+                          "p_partkey long, p_name string, p_size int").write.parquet(f"{folder}/part.parquet")
+
+
+def test_listing_pages_of_a_very_large_university(spark, tmp_path):
+    """More than a thousand pages of one university stay its own, each with its own url."""
+    n = 1100 * listing.PAGE_LINKS
+    _tables(spark, str(tmp_path), [(k, 1) for k in range(n)] + [(k, 2) for k in range(60)])
+    pages = listing.listing_pages(spark, str(tmp_path))
+    r = pages.agg(F.count("*"), F.countDistinct("page_id"), F.countDistinct("url")).first()
+    assert list(r) == [1102, 1102, 1102]
+    starts = listing.start_urls(spark, str(tmp_path))
+    assert starts.count() == 1102 and starts.join(pages, "url", "left_anti").count() == 0
+    anchors = L.links_all(parsed_pages(pages))
+    assert anchors.count() == n + 60 + 1102 * (len(listing.NAV) + 4)
+
+
+def test_every_source_yields_links_and_start_urls_go(spark, tmp_path):
+    _tables(spark, str(tmp_path), [(k, s) for s in range(18) for k in range(120)])
+    pages = listing.listing_pages(spark, str(tmp_path))
+    with_r = L.with_rules(parsed_pages(pages), L.rules_frame(spark))
+    assert L.discover_links(with_r).select("source").distinct().count() == 18
+    kept = L.discover_links(with_r, listing.start_urls(spark, str(tmp_path)))
+    gone = L.discover_links(with_r).join(kept, ["page_id", "pos"], "left_anti")
+    assert {r.source for r in gone.select("source").distinct().collect()} == {"regents_uni"}
+    assert gone.count() > 0
+
+
+def test_one_rule_as_literals_equals_the_joined_rule(spark):
+    df = spark.createDataFrame([(1, "https://h.example/courses", LISTING, "qub")],
+                               "page_id long, url string, html string, source string")
+    spec = next(r for r in rules.SOURCE_RULES if r["source"] == "qub")
+    joined = L.discover_links(L.with_rules(parsed_pages(df), L.rules_frame(spark))).collect()
+    literal = L.discover_links(L.with_one_rule(parsed_pages(df), spec)).collect()
+    assert joined == literal and len(joined) > 0
