@@ -5,7 +5,7 @@ import pytest
 from prospectus.operators import extract as X
 from prospectus.operators.html import parse_html, parsed_pages
 
-PHYSICS_PAGE = """<html><head><title>Marine Physics at the coast</title>
+PHYSICS_PAGE = """<html><head><title>Marine Physics, MEng with a year at sea</title>
 <meta name="description" content="unused here"></head><body><main>
 <section class="facts"><p>Home fee: £11,340 a year. UK applicants only.</p>
 <p>Overseas and international fee: £27,950 a year</p>
