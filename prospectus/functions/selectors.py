@@ -14,6 +14,7 @@ import itertools
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..operators.html import CONTAINERS
 from .text import WS_LITERAL
 
 _ids = itertools.count()
@@ -81,6 +82,11 @@ def _class_tokens(e: str) -> str:
     return f"{e}.classes"
 
 
+def within(tag: str | None, cls: str | None) -> str:
+    """Name of an enclosing element as the tokenizer records it; a pair it does not record is an error."""
+    return CONTAINERS[(tag, cls)]
+
+
 def predicate_sql(spec: dict, e: str, i: str) -> str:
     """Structured selector (see ``rules.SELECTOR_RULES``) as a condition on ``e``/``i``."""
     conds = []
@@ -95,16 +101,14 @@ def predicate_sql(spec: dict, e: str, i: str) -> str:
     if "attr" in spec:
         conds.append(f"map_contains_key({e}.attrs, {lit(spec['attr'])})")
     if "ancestor_class" in spec:
-        a = var("a")
-        conds.append(f"exists({e}.anc, {a} -> array_contains("
-                     f"{_class_tokens(elem_at_sql(a))}, {lit(spec['ancestor_class'])}))")
+        conds.append(f"array_contains({e}.within, {lit(within(None, spec['ancestor_class']))})")
     if "dt" in spec:
         prev = elem_at_sql(f"{e}.prev")
         conds.append(f"{e}.tag = 'dd' AND {e}.prev >= 0 AND coalesce({prev}.tag = 'dt', false) "
                      f"AND contains({elem_text_sql(prev, '', False)}, {lit(spec['dt'])})")
     if "has_h2" in spec:
         d = var("d")
-        conds.append(f"exists(elems, {d} -> {d}.tag = 'h2' AND array_contains({d}.anc, {i}) "
+        conds.append(f"exists(slice(elems, {i} + 2, {e}.end - {i} - 1), {d} -> {d}.tag = 'h2' "
                      f"AND contains({elem_text_sql(d, '', False)}, {lit(spec['has_h2'])}))")
     return "(" + " AND ".join(conds) + ")"
 
@@ -130,11 +134,6 @@ def first_index_sql(spec: dict) -> str:
             f"{x} -> {x} IS NOT NULL), 1)")
 
 
-def first_index(spec: dict) -> Column:
-    return F.expr(first_index_sql(spec))
-
-
-
 def all_matches_sql(rule_lists: list[list]) -> str:
     """One pass over the elements for every rule of every field.  Rules are
     numbered globally in the given order; an element that passes no cheap

@@ -2,7 +2,7 @@
 
 The only Python in the extraction path is a small tolerant tokenizer run by
 ``mapInArrow`` over Arrow batches of pages; it records structure only
-(tag, attributes, parent, ancestors, text ranges).  Selector matching and all
+(tag, attributes, parent, subtree and text ranges, enclosing containers).  Selector matching and all
 field logic are Spark column expressions over these arrays (see
 ``functions.selectors`` and ``operators.extract``), so a page is processed
 inside the task that reads it: no shuffle.
@@ -10,15 +10,20 @@ inside the task that reads it: no shuffle.
 Output columns added to the page row::
 
   elems: array<struct<tag, id, cls, classes: array<string>,
-                      attrs: map<string,string>, parent: int,
-                      anc: array<int>, t0: int, t1: int,
+                      attrs: map<string,string>, parent: int, end: int,
+                      within: array<string>, t0: int, t1: int,
                       prev_tag: string, prev: int>>
   texts: array<struct<text: string, parent: int, kind: string>>
   parse_error: string
 
 Element ``i`` is ``elems[i]`` (0-based; ``element_at`` is 1-based).  Its
-descendant text nodes are ``texts[t0 .. t1)``.  ``kind`` is ``text``,
-``raw`` (inside script/style) or ``comment``.
+descendants are ``elems[i + 1 .. end)`` and its descendant text nodes
+``texts[t0 .. t1)``.  ``within`` names the enclosing elements that a selector
+asks for (``CONTAINERS``, a short fixed list), so it stays short however deep a
+page nests.  ``kind`` is ``text``, ``raw`` (inside script/style) or ``comment``.
+
+Time and output are linear in the page: a tag whose quotes or ``>`` never close
+is text, found without scanning the rest of the page again for each such tag.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .. import rules
+
 # Ship this module's code with the task closure, so executors need no
 # installed copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,7 +50,8 @@ ELEM_TYPE = T.StructType([
     T.StructField("classes", T.ArrayType(T.StringType())),
     T.StructField("attrs", T.MapType(T.StringType(), T.StringType())),
     T.StructField("parent", T.IntegerType()),
-    T.StructField("anc", T.ArrayType(T.IntegerType())),
+    T.StructField("end", T.IntegerType()),
+    T.StructField("within", T.ArrayType(T.StringType())),
     T.StructField("t0", T.IntegerType()),
     T.StructField("t1", T.IntegerType()),
     T.StructField("prev_tag", T.StringType()),
@@ -59,7 +67,7 @@ _A_ELEM = pa.struct([
     ("tag", pa.string()), ("id", pa.string()), ("cls", pa.string()),
     ("classes", pa.list_(pa.string())),
     ("attrs", pa.map_(pa.string(), pa.string())), ("parent", pa.int32()),
-    ("anc", pa.list_(pa.int32())), ("t0", pa.int32()), ("t1", pa.int32()),
+    ("end", pa.int32()), ("within", pa.list_(pa.string())), ("t0", pa.int32()), ("t1", pa.int32()),
     ("prev_tag", pa.string()), ("prev", pa.int32()),
 ])
 _A_TEXT = pa.struct([("text", pa.string()), ("parent", pa.int32()), ("kind", pa.string())])
@@ -68,8 +76,12 @@ _TOKEN = re.compile(
     r"<!--(.*?)(?:-->|\Z)"                       # 1 comment
     r"|<!\[CDATA\[(.*?)(?:\]\]>|\Z)"             # 2 cdata
     r"|<[!?][^>]*>?"                             # doctype / processing instruction
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"  # 3 slash 4 name 5 attrs
+    # 3 slash 4 name 5 attrs; this form never looks beyond the next angle bracket
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^<>\"']++|\"[^\"<>]*+\"|'[^'<>]*+')*+)>"
     r"|([^<]+|<)", re.S)                         # 6 text
+_TAG_START = re.compile(r"<(/?)(?=[a-zA-Z])")
+_NAME_END = re.compile(r"[\s/>]")
+_SPECIAL = re.compile(r"[>\"']")
 _ATTR = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr "
@@ -88,6 +100,67 @@ LIST_SCOPE = frozenset(("ul", "ol", "dl", "table", "select", "body", "html"))
 _END_TAG = {t: re.compile(r"</" + t + r"\s*>", re.I) for t in RAW_TEXT | RCDATA}
 
 
+#: bytes of page text after which a batch of parsed pages is handed on (int32 offsets, task memory)
+FLUSH_CHARS = 16 << 20
+
+
+def container_name(tag: str | None, cls: str | None) -> str:
+    return f"{tag or ''}.{cls or ''}"
+
+
+def _containers() -> dict[tuple[str | None, str | None], str]:
+    """The (tag, class) pairs that selectors ask for among an element's ancestors."""
+    pairs = {(None, rules.PARTNER_LOGO_CLASS)}
+    for specs in rules.SELECTOR_RULES.values():
+        pairs |= {(None, x["ancestor_class"]) for _css, x in specs if "ancestor_class" in x}
+    for r in rules.SOURCE_RULES:
+        pairs |= {(x["anc_tag"], x.get("anc_class")) for x in r.get("selectors") or () if x.get("anc_tag")}
+    return {k: container_name(*k) for k in sorted(pairs, key=str)}
+
+
+CONTAINERS = _containers()
+_CONTAINER_TAGS = frozenset(t for t, c in CONTAINERS if c is None)
+
+
+class _LongTags:
+    """Ends of tags whose quoted values hold angle brackets.
+
+    A scan that finds no end marks the quotes it opened; a later scan that opens
+    one of them fails at once, so each quote of a page is followed only once.
+    """
+
+    def __init__(self, doc: str):
+        self.doc, self.last = doc, doc.rfind(">")
+        self.name_end, self.near, self.doomed = -1, (0, -1), set()
+
+    def find(self, start: int) -> tuple[int, int] | None:
+        """(end of the name, position of '>') of the tag whose name starts at ``start``."""
+        doc, n = self.doc, len(self.doc)
+        if start > self.last:
+            return None
+        if self.name_end < start:
+            m = _NAME_END.search(doc, start)
+            self.name_end = m.start() if m else n
+        i = name_end = self.name_end
+        x, at = self.near
+        if not x <= i <= at:
+            m = _SPECIAL.search(doc, i)
+            at = m.start() if m else n
+            self.near = (i, at)
+        opened = []
+        while at < n and at not in self.doomed:
+            if doc[at] == ">":
+                return name_end, at
+            opened.append(at)
+            close = doc.find(doc[at], at + 1)
+            if close < 0:
+                break
+            m = _SPECIAL.search(doc, close + 1)
+            at = m.start() if m else n
+        self.doomed.update(opened)
+        return None
+
+
 class _Columns:
     """Column-wise buffers for one Arrow batch of parsed pages."""
 
@@ -96,7 +169,7 @@ class _Columns:
         self.c_flat, self.c_off = [], [0]
         self.e_t0, self.e_t1, self.e_prev_tag, self.e_prev = [], [], [], []
         self.a_keys, self.a_vals, self.a_off = [], [], [0]
-        self.anc_flat, self.anc_off = [], [0]
+        self.w_flat, self.w_off, self.e_end = [], [0], []
         self.t_text, self.t_parent, self.t_kind = [], [], []
         self.page_e_off, self.page_t_off = [0], [0]
 
@@ -108,13 +181,13 @@ class _Columns:
         """Drop a half-parsed page (parse error): the page gets empty arrays."""
         e0, t0 = self.page_e_off[-1], self.page_t_off[-1]
         for lst in (self.e_tag, self.e_id, self.e_cls, self.e_parent, self.e_t0,
-                    self.e_t1, self.e_prev_tag, self.e_prev):
+                    self.e_t1, self.e_prev_tag, self.e_prev, self.e_end):
             del lst[e0:]
         del self.a_off[e0 + 1:]
         del self.a_keys[self.a_off[-1]:]
         del self.a_vals[self.a_off[-1]:]
-        del self.anc_off[e0 + 1:]
-        del self.anc_flat[self.anc_off[-1]:]
+        del self.w_off[e0 + 1:]
+        del self.w_flat[self.w_off[-1]:]
         del self.c_off[e0 + 1:]
         del self.c_flat[self.c_off[-1]:]
         del self.t_text[t0:], self.t_parent[t0:], self.t_kind[t0:]
@@ -129,7 +202,8 @@ class _Columns:
                                      pa.array(self.a_keys, pa.string()),
                                      pa.array(self.a_vals, pa.string())),
              pa.array(self.e_parent, i32),
-             pa.ListArray.from_arrays(pa.array(self.anc_off, i32), pa.array(self.anc_flat, i32)),
+             pa.array(self.e_end, i32),
+             pa.ListArray.from_arrays(pa.array(self.w_off, i32), pa.array(self.w_flat, pa.string())),
              pa.array(self.e_t0, i32), pa.array(self.e_t1, i32),
              pa.array(self.e_prev_tag, pa.string()), pa.array(self.e_prev, i32)],
             fields=list(_A_ELEM))
@@ -140,11 +214,16 @@ class _Columns:
                 pa.ListArray.from_arrays(pa.array(self.page_t_off, i32), text))
 
 
-def parse_into(out: _Columns, doc: str | None) -> None:
-    """Tokenize one page into ``out``.  Tolerant of unclosed/misnested tags."""
+def parse_into(out: _Columns, doc: str | bytes | None) -> None:
+    """Tokenize one page into ``out``.  Tolerant of unclosed/misnested tags.
+
+    A page given as bytes must be UTF-8; one that is not is an error."""
+    if isinstance(doc, bytes):
+        doc = doc.decode("utf-8")
     base = len(out.e_tag)          # element indices are page-local: global - base
     tbase = len(out.t_text)
     stack: list[int] = []          # open elements (page-local indices)
+    inside: list[tuple] = [()]     # containers around the children of each open element
     last_child: dict[int, int] = {}
     tags = out.e_tag
     if not doc:
@@ -154,9 +233,30 @@ def parse_into(out: _Columns, doc: str | None) -> None:
     tok = _TOKEN
     unescape = _html.unescape
 
+    long_tags = None
+    open_at: dict[str, list[int]] = {}  # stack positions of the open elements of each tag
+    scopes: list[int] = []              # ... and of those that end an implied close
+
+    def last(tag):
+        at = open_at.get(tag)
+        return at[-1] if at else -1
+
+    def push(i, name, around):
+        open_at.setdefault(name, []).append(len(stack))
+        if name in LIST_SCOPE:
+            scopes.append(len(stack))
+        stack.append(i)
+        inside.append(around)
+
     def close_top():
         i = stack.pop()
+        inside.pop()
+        name = tags[base + i]
+        open_at[name].pop()
+        if name in LIST_SCOPE:
+            scopes.pop()
         out.e_t1[base + i] = len(out.t_text) - tbase
+        out.e_end[base + i] = len(tags) - base
 
     def close_until(k):
         while len(stack) > k:
@@ -176,6 +276,15 @@ def parse_into(out: _Columns, doc: str | None) -> None:
             break
         pos = m.end()
         comment, cdata, slash, name, raw_attrs, text = m.groups()
+        if text == "<":  # no tag, or one that reaches over the next angle bracket
+            t = _TAG_START.match(doc, m.start())
+            if t:
+                long_tags = long_tags or _LongTags(doc)
+                ends = long_tags.find(t.end())
+                if ends:
+                    slash, name = t.group(1), doc[t.end():ends[0]]
+                    raw_attrs, text = doc[ends[0]:ends[1]], None
+                    pos = ends[1] + 1
         if text is not None:
             t_text.append(unescape(text) if "&" in text else text)
             t_parent.append(stack[-1] if stack else -1)
@@ -189,28 +298,19 @@ def parse_into(out: _Columns, doc: str | None) -> None:
             continue  # doctype / PI
         name = name.lower()
         if slash:  # end tag: close up to the nearest open element of that name
-            for k in range(len(stack) - 1, -1, -1):
-                if tags[base + stack[k]] == name:
-                    close_until(k)
-                    break
+            k = last(name)
+            if k >= 0:
+                close_until(k)
             continue
-        if name in CLOSES_P and stack:  # implied </p>
-            for k in range(len(stack) - 1, -1, -1):
-                t = tags[base + stack[k]]
-                if t == "p":
-                    close_until(k)
-                    break
-                if t in LIST_SCOPE or t == "button":
-                    break
+        if name in CLOSES_P:  # implied </p>
+            k = last("p")
+            if k > max(scopes[-1] if scopes else -1, last("button")):
+                close_until(k)
         closes = SELF_CLOSING_SIBLINGS.get(name)
         if closes:  # implied </li>, </dd>, ...
-            for k in range(len(stack) - 1, -1, -1):
-                t = tags[base + stack[k]]
-                if t in closes:
-                    close_until(k)
-                    break
-                if t in LIST_SCOPE or t == "div":
-                    break
+            k = max(last(t) for t in closes)
+            if k > max(scopes[-1] if scopes else -1, last("div")):
+                close_until(k)
         id_ = cls = None
         if raw_attrs and not raw_attrs.isspace():
             seen = set()
@@ -243,8 +343,15 @@ def parse_into(out: _Columns, doc: str | None) -> None:
             out.c_flat.extend(cls.split())  # class tokens (whitespace-separated)
         out.c_off.append(len(out.c_flat))
         out.e_parent.append(parent)
-        out.anc_flat.extend(stack)
-        out.anc_off.append(len(out.anc_flat))
+        around = inside[-1]
+        out.w_flat.extend(around)
+        out.w_off.append(len(out.w_flat))
+        out.e_end.append(idx + 1)
+        if cls or name in _CONTAINER_TAGS:
+            classes = set(cls.split()) if cls else ()
+            own = [w for (t, c), w in CONTAINERS.items()
+                   if (t is None or t == name) and (c is None or c in classes) and w not in around]
+            around = around + tuple(own)
         here = len(out.t_text) - tbase
         out.e_t0.append(here)
         out.e_t1.append(here)
@@ -256,13 +363,13 @@ def parse_into(out: _Columns, doc: str | None) -> None:
             end = _END_TAG[name].search(doc, pos)
             body = doc[pos:end.start()] if end else doc[pos:]
             pos = end.end() if end else n
-            stack.append(idx)
+            push(idx, name, around)
             if body:
                 add_text(body if name in RAW_TEXT else unescape(body),
                          "raw" if name in RAW_TEXT else "text")
             close_top()
             continue
-        stack.append(idx)
+        push(idx, name, around)
     close_until(0)
 
 
@@ -277,9 +384,10 @@ def parse_html(doc: str | None):
 
 def _parse_batches(batches, keep_html: bool):
     for rb in batches:
-        out = _Columns()
-        errs = []
-        for doc in rb.column("html").to_pylist():
+        names = [f for f in rb.schema.names if keep_html or f != "html"]
+        docs = rb.column("html").to_pylist()
+        out, errs, done, chars = _Columns(), [], 0, 0
+        for k, doc in enumerate(docs):
             try:
                 parse_into(out, doc)
                 errs.append(None)
@@ -287,12 +395,14 @@ def _parse_batches(batches, keep_html: bool):
                 out.rollback()
                 errs.append(f"{type(exc).__name__}: {exc}")
             out.end_page()
-        elems, texts = out.arrays()
-        names = [f for f in rb.schema.names if keep_html or f != "html"]
-        cols = [rb.column(f) for f in names]
-        yield pa.RecordBatch.from_arrays(
-            cols + [elems, texts, pa.array(errs, type=pa.string())],
-            names=names + ["elems", "texts", "parse_error"])
+            chars += len(doc or "")
+            if chars >= FLUSH_CHARS or k + 1 == len(docs):
+                elems, texts = out.arrays()
+                cols = [rb.column(f).slice(done, k + 1 - done) for f in names]
+                yield pa.RecordBatch.from_arrays(
+                    cols + [elems, texts, pa.array(errs, type=pa.string())],
+                    names=names + ["elems", "texts", "parse_error"])
+                out, errs, done, chars = _Columns(), [], k + 1, 0
 
 
 def parsed_pages(pages: DataFrame, keep_html: bool = False) -> DataFrame:

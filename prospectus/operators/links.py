@@ -150,18 +150,13 @@ def canonical(u: Column | str) -> Column:
 
 # --- per-page anchor arrays ---------------------------------------------------------
 
-def _cls_tokens(e: str) -> str:
-    return f"{e}.classes"
-
-
 def _selector_match_sql(e: str, sels: str) -> str:
-    s, a = var("s"), var("a")
-    anc = elem_at_sql(a)
+    s = var("s")
     one = (f"(({s}.href_contains IS NULL OR contains({e}.attrs['href'], {s}.href_contains)) AND "
            f"({s}.href_prefix IS NULL OR startswith({e}.attrs['href'], {s}.href_prefix)) AND "
-           f"({s}.class_eq IS NULL OR array_contains({_cls_tokens(e)}, {s}.class_eq)) AND "
-           f"({s}.anc_tag IS NULL OR exists({e}.anc, {a} -> {anc}.tag = {s}.anc_tag AND "
-           f"({s}.anc_class IS NULL OR array_contains({_cls_tokens(anc)}, {s}.anc_class)))))")
+           f"({s}.class_eq IS NULL OR array_contains({e}.classes, {s}.class_eq)) AND "
+           f"({s}.anc_tag IS NULL OR array_contains({e}.within, "
+           f"concat({s}.anc_tag, '.', coalesce({s}.anc_class, '')))))")
     return f"({sels} IS NULL OR exists({sels}, {s} -> {one}))"
 
 
@@ -300,7 +295,7 @@ def next_page_link(parsed: DataFrame, selector: dict | None) -> DataFrame:
 def partner_override(parsed: DataFrame, university_col: str = "university_name") -> DataFrame:
     """L14: '.course-partner-logo img' alt text -> 'OIEG - <alt>' as university name."""
     from ..functions.selectors import first_index_sql
-    ix = first_index_sql({"tag": "img", "ancestor_class": "course-partner-logo"})
+    ix = first_index_sql({"tag": "img", "ancestor_class": rules.PARTNER_LOGO_CLASS})
     alt = f"nullif({elem_at_sql(ix)}.attrs['alt'], '')"
     return parsed.withColumn(university_col, F.expr(
         f"coalesce(concat({lit(rules.PARTNER_PREFIX)}, {alt}), {university_col})"))

@@ -352,4 +352,5 @@ SOURCE_RULES = [
 ]
 UNSAFE_HREF_SCHEMES = ["tel:", "mailto:", "javascript:", "#"]
 PARTNER_PREFIX = "OIEG - "
+PARTNER_LOGO_CLASS = "course-partner-logo"
 BLOCKED_STATUS = 403
