@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import rules
-from ..functions.selectors import elem_at_sql, lit, var
+from ..functions.selectors import elem_at_sql, elem_text_sql, lit, var
 
 SELECTOR_TYPE = T.ArrayType(T.StructType([
     T.StructField(k, T.StringType()) for k in ("href_contains", "href_prefix", "class_eq",
@@ -251,6 +251,14 @@ def discover_links(parsed_with_rules: DataFrame, start_urls: DataFrame | None =
 
 # --- single-operator forms over the exploded link table ---------------------------
 
+def anchor_rows(parsed: DataFrame) -> DataFrame:
+    """(page_id, url, href, text) of every <a href>: candidate items of a listing page."""
+    e, e2 = var("e"), var("e")
+    arr = (f"transform(filter(elems, {e} -> {e}.tag = 'a' AND map_contains_key({e}.attrs, 'href')), {e2} -> "
+           f"named_struct('href', {e2}.attrs['href'], 'text', {elem_text_sql(e2, '', False)}))")
+    return parsed.select("page_id", "url", F.explode(F.expr(arr)).alias("a")).select("page_id", "url", "a.*")
+
+
 def links_all(parsed: DataFrame) -> DataFrame:
     """L1: (page_id, pos, href) of every <a href> in document order (pos from 1)."""
     return (parsed.select("page_id", "url", F.posexplode(F.expr(hrefs_sql())).alias("pos", "href"))

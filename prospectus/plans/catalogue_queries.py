@@ -152,17 +152,22 @@ def q_counts_desc(spark, d):
     return cat.counts_desc(u, c)
 
 
+EARLY = "1995-01-05"  # soon after the first observations: not every university has a course yet
+
+
 @register("universities_without_courses", with_catalogue("""
 SELECT u.id, u.name, u.location FROM unis u
-WHERE NOT EXISTS (SELECT 1 FROM courses c WHERE c.university_id = u.id)"""))
+WHERE NOT EXISTS (SELECT 1 FROM courses c WHERE c.university_id = u.id)""", before=EARLY))
 def q_universities_without_courses(spark, d):
-    u, c = _cat(spark, d)
-    return cat.universities_without_courses(u, c)
+    """Q16 on the catalogue as it was at an early date."""
+    return cat.universities_without_courses(src.universities(spark, d), src.courses(spark, d, before=EARLY))
 
 
 @register("orphan_courses", with_catalogue("""
 SELECT c.id, c.name, c.source_url FROM courses c
-WHERE NOT EXISTS (SELECT 1 FROM unis u WHERE u.id = c.university_id)"""))
+WHERE NOT EXISTS (SELECT 1 FROM unis u JOIN supplier s ON s.s_suppkey = u.supplier_key
+                  WHERE u.id = c.university_id AND s.s_acctbal >= 0)"""))
 def q_orphan_courses(spark, d):
-    u, c = _cat(spark, d)
-    return cat.orphan_courses(c, u).select("id", "name", "source_url")
+    """Q17: courses whose university has gone (a supplier with a negative balance)."""
+    unis = src.universities(spark, d, solvent=True)
+    return cat.orphan_courses(src.courses(spark, d), unis).select("id", "name", "source_url")

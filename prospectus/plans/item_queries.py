@@ -8,14 +8,17 @@ from .. import rules
 from ..functions.fields import norm_degree, norm_level, norm_study_modes
 from ..functions.text import PY_WS, clean_str, to_float, to_int
 from ..operators import extract as X
+from ..operators import links as L
 from ..operators import normalize as N
 from ..operators import quality as Q
 from ..operators import upsert as U
 from ..operators.html import parsed_pages
 from ..operators.markdown import markdown_fields
 from ..sources import catalogue as cat
+from ..sources.listing import listing_pages
 from ..sources.rendered import course_rows, markdown_pages, raw_from_catalogue
 from ..sources.tables import read_table, scan_pages
+from .link_queries import LISTED_SQL
 from .oracle_base import with_catalogue
 from .registry import register
 
@@ -279,24 +282,32 @@ def _sql_reason(name: str, url: str) -> str:
             f"WHEN lower({n}) IN ({names}) OR {toks} THEN 'non_course' END")
 
 
-def _page_items(spark, d):
+def _candidates(spark, d):
+    """(page_id, name, url): each page by its heading, and each anchor of each listing page by its text."""
     p = X.stage_inputs(parsed_pages(scan_pages(spark, d)), keep=["page_id", "url"])
-    return p.select("page_id", F.col("_txt_name").alias("name"), "url")
+    pages = p.select(F.col("page_id").cast("string").alias("page_id"), F.col("_txt_name").alias("name"), "url")
+    anchors = L.anchor_rows(parsed_pages(listing_pages(spark, d)))
+    return pages.unionByName(anchors.select(
+        "page_id", F.nullif(F.col("text"), F.lit("")).alias("name"), L.url_join("url", "href").alias("url")))
 
 
-@register("validate_items", f"""
-SELECT page_id, name, url, {_sql_reason('name', 'url')} AS drop_reason
-FROM (SELECT page_id, nullif({_H1}, '') AS name, url FROM pages)""")
+_CANDIDATES = LISTED_SQL + f""",
+candidates AS (
+  SELECT CAST(page_id AS VARCHAR) AS page_id, nullif({_H1}, '') AS name, url FROM pages
+  UNION ALL SELECT page_id, nullif(txt, ''), abs_url FROM resolved
+)"""
+
+
+@register("validate_items", _CANDIDATES + f"""
+SELECT page_id, name, url, {_sql_reason('name', 'url')} AS drop_reason FROM candidates""")
 def q_validate_items(spark, d):
-    return Q.validate(_page_items(spark, d), name="name", url="url")
+    return Q.validate(_candidates(spark, d), name="name", url="url")
 
 
-@register("validation_summary", f"""
-SELECT coalesce(drop_reason, 'accepted') AS reason, count(*) AS n FROM (
-  SELECT {_sql_reason('name', 'url')} AS drop_reason
-  FROM (SELECT nullif({_H1}, '') AS name, url FROM pages)) GROUP BY 1""")
+@register("validation_summary", _CANDIDATES + f"""
+SELECT coalesce({_sql_reason('name', 'url')}, 'accepted') AS reason, count(*) AS n FROM candidates GROUP BY 1""")
 def q_validation_summary(spark, d):
-    return Q.validation_summary(Q.validate(_page_items(spark, d), name="name", url="url"))
+    return Q.validation_summary(Q.validate(_candidates(spark, d), name="name", url="url"))
 
 
 # --- F1-F2: gap filling ------------------------------------------------------------
@@ -454,48 +465,118 @@ def q_upsert_details(spark, d):
     return U.upsert_details(base, rows).select("course_id", "description", "entry_requirements")
 
 
+# a course seen once has a page without a name; its row is an error, not a save
 @register("run_counters", with_catalogue("""
-SELECT count(*) FILTER (WHERE name IS NOT NULL AND name <> '') AS saved,
-       count(*) FILTER (WHERE name IS NULL OR name = '') AS errors
-FROM items""", extra=ITEMS_CTE))
+SELECT count(*) FILTER (WHERE n_obs > 1) AS saved, count(*) FILTER (WHERE n_obs = 1) AS errors
+FROM facts JOIN part ON l_partkey = p_partkey"""))
 def q_run_counters(spark, d):
-    flat = _flat(_items(spark, d))
-    ok = F.col("name").isNotNull() & (F.col("name") != "")
-    return U.run_counters(flat, ok)
+    part = read_table(spark, d, "part").select("p_partkey", "p_name")
+    rows = (cat.course_facts(spark, d).join(part, F.col("l_partkey") == F.col("p_partkey"))
+            .select(F.when(F.col("n_obs") > 1, F.col("p_name")).otherwise(F.lit("  ")).alias("name")))
+    return U.run_counters(rows, F.coalesce(clean_str(F.col("name")) != "", F.lit(False)))
 
 
 @register("evolve_schema", with_catalogue("""
-SELECT id, source_url, CAST(NULL AS VARCHAR) AS raw_json, CAST(NULL AS TIMESTAMP) AS updated_at
-FROM courses"""))
+SELECT id, source_url, updated_at, CAST(NULL AS VARCHAR) AS raw_json FROM courses"""))
 def q_evolve_schema(spark, d):
-    old = cat.courses(spark, d).drop("raw_json", "updated_at").select("id", "source_url")
+    """A table without ``raw_json`` gains it as nulls; ``updated_at``, which it has, keeps its values."""
+    old = cat.courses(spark, d).select("id", "source_url", "updated_at")
     return U.evolve_schema(old, {"raw_json": "string", "updated_at": "timestamp_ntz"})
 
 
 # --- P1: pages -> catalogue ------------------------------------------------------
 
-def _e2e_expected() -> str:
-    from .extract_queries import EXPECTED_CTE
-    return with_catalogue(f"""
-SELECT url AS source_url, {_clean('name')} AS name, {_norm_degree('degree')} AS degree,
-       {_norm_level('level')} AS level, {_clean('department')} AS department,
-       study_mode, CAST(duration_years AS DECIMAL(4,1)) AS duration_years,
-       fee_uk_yearly, fee_intl_yearly, {_clean('ucas_code')} AS ucas_code,
-       CAST(ielts_score AS DECIMAL(3,1)) AS ielts_score, true AS is_active
-FROM expected""", extra=EXPECTED_CTE)
+# What the pages of the chain show beside whole course pages: names that are no course's
+# (by p_size), pages of research courses without degree, fees and texts (flagged for
+# filling), and later pages of the SMALL courses under another department (duplicates).
+NO_COURSE_NAMES = {49: "Events", 50: "Go"}
+_BARE = ("degree", "fee_uk_yearly", "fee_intl_yearly", "fee_uk_sandwich", "fee_intl_sandwich")
 
 
-@register("pages_to_catalogue", _e2e_expected())
+def _chain_pages(spark, d):
+    from ..sources.rendered import page_columns
+    rows = course_rows(spark, d)
+    research = F.col("level") == "research"
+    name = F.col("name")
+    for size, other in NO_COURSE_NAMES.items():
+        name = F.when(F.col("p_size") == size, F.lit(other)).otherwise(name)
+    shown = rows.withColumns({"name": name, **{c: F.when(~research, F.col(c)) for c in _BARE}})
+    again = shown.filter(F.col("p_type") == "SMALL").withColumn("department", F.lit("Moved"))
+    both = shown.withColumn("seq", F.lit(1)).unionByName(again.withColumn("seq", F.lit(2)))
+    return both.hint("rebalance").select(*page_columns(), "seq"), rows
+
+
+def _stored(spark, d):
+    """The three tables before the run: solvent universities and the courses seen before
+    the cutoff, under ids that are not the keys' hashes."""
+    old = lambda c: F.concat(F.lit("old-"), F.substring(c, 1, 16))
+    unis = cat.universities(spark, d, solvent=True).drop("supplier_key").withColumn("id", old(F.col("id")))
+    courses = (cat.courses(spark, d, before=CUTOFF).withColumn("raw_json", F.lit(None).cast("string"))
+               .withColumns({"id": old(F.col("id")), "university_id": old(F.col("university_id"))}))
+    return unis, courses, cat.course_details(spark, d, courses)
+
+
+def _chain_sql() -> str:
+    from .extract_queries import EXPECTED_CTE
+    sizes = ", ".join(str(s) for s in NO_COURSE_NAMES)
+    old = "'old-' || substr({}, 1, 16)"
+    return with_catalogue(f"""
+SELECT 'courses' AS tbl, cid AS id, url AS key, uid AS parent_id,
+       CASE WHEN seen THEN {_clean('e_name')} ELSE name END AS name,
+       CASE WHEN seen THEN {_norm_degree('e_degree')} ELSE degree END AS degree,
+       CASE WHEN seen THEN {_norm_level('e_level')} ELSE level END AS level,
+       CASE WHEN seen THEN {_clean('e_department')} ELSE department END AS department,
+       fee_uk_yearly, fee_intl_yearly, coalesce(b_active, true) AS is_active,
+       coalesce(b_created, TIMESTAMP '{RUN_TS}') AS created_at, CAST(NULL AS VARCHAR) AS txt
+FROM merged
+UNION ALL
+SELECT 'universities', coalesce(b_uid, sha256(u.name)), u.name, NULL, u.name, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN b_uid IS NULL THEN TIMESTAMP '{RUN_TS}' ELSE u.created_at END, u.location
+FROM unis u LEFT JOIN base_u ON base_u.uname = u.name
+WHERE b_uid IS NOT NULL OR u.id IN (SELECT university_id FROM merged WHERE seen)
+UNION ALL
+SELECT 'details', sha256('details:' || cid), cid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+       CASE WHEN seen THEN coalesce(e_description, e_entry)
+            ELSE concat_ws(' ', name, 'is a', degree, 'course taught by', department) END
+FROM merged WHERE level <> 'research'""", extra=EXPECTED_CTE + f""",
+base_u AS (SELECT u.name AS uname, {old.format('u.id')} AS b_uid
+           FROM unis u JOIN supplier s ON s.s_suppkey = u.supplier_key WHERE s.s_acctbal >= 0),
+base_f AS (SELECT l_partkey AS b_part, l_suppkey AS b_supp, min(l_shipdate) AS b_created,
+                  max(CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END) = 1 AS b_active
+           FROM lineitem WHERE l_shipdate < TIMESTAMP '{CUTOFF}' GROUP BY 1, 2),
+merged AS (
+  SELECT c.*, e.url, e.name AS e_name, e.degree AS e_degree, e.level AS e_level, e.department AS e_department,
+         e.description AS e_description, e.entry_requirements AS e_entry, b_active, b_created,
+         c.p_size NOT IN ({sizes}) AS seen,
+         CASE WHEN b_part IS NOT NULL THEN {old.format('c.id')} ELSE sha256(e.url) END AS cid,
+         CASE WHEN b_part IS NOT NULL THEN {old.format('c.university_id')}
+              ELSE coalesce(b_uid, c.university_id) END AS uid
+  FROM courses c JOIN expected e ON e.url = c.source_url
+  JOIN unis u ON u.id = c.university_id LEFT JOIN base_u ON base_u.uname = u.name
+  LEFT JOIN base_f ON b_part = c.l_partkey AND b_supp = c.l_suppkey
+  WHERE c.p_size NOT IN ({sizes}) OR b_part IS NOT NULL
+)""")
+
+
+@register("pages_to_catalogue", _chain_sql())
 def q_pages_to_catalogue(spark, d):
-    """Rendered course pages through the whole chain into an empty catalogue."""
-    from ..sources.rendered import rendered_pages
-    from .pipeline import items_to_catalogue, pages_to_items
-    pages = rendered_pages(spark, d).withColumn("seq", F.col("page_id"))
+    """Course pages through the whole chain into the three stored tables."""
+    from .pipeline import accepted_items, handed_over, pages_to_items, upsert_tables
+    pages, rows = _chain_pages(spark, d)
     items, _bad = pages_to_items(pages, SCRAPED_AT)
-    fillers = markdown_fields(markdown_pages(spark, d), keep=["url"])
-    empty = (cat.courses(spark, d).filter(F.lit(False))  # an empty catalogue to start from
-             .withColumn("raw_json", F.lit(None).cast("string")))
-    snap, _rej = items_to_catalogue(items, fillers, empty, RUN_TS)
-    return snap.select("source_url", "name", "degree", "level", "department", "study_mode",
-                       "duration_years", "fee_uk_yearly", "fee_intl_yearly", "ucas_code",
-                       "ielts_score", "is_active")
+    fillers = markdown_fields(markdown_pages(spark, d, rows), keep=["url"])
+    accepted, _rejects = accepted_items(items, fillers)
+    unis, courses, details = upsert_tables(handed_over(accepted, "items"), *_stored(spark, d), RUN_TS)
+    null = lambda t: F.lit(None).cast(t)
+    empty = {"parent_id": "string", "name": "string", "degree": "string", "level": "string",
+             "department": "string", "fee_uk_yearly": "bigint", "fee_intl_yearly": "bigint",
+             "is_active": "boolean", "created_at": "timestamp_ntz", "txt": "string"}
+
+    def table(tbl, df, key, **cols):
+        return df.select(F.lit(tbl).alias("tbl"), "id", F.col(key).alias("key"),
+                         *[(F.col(cols[c]) if c in cols else null(t)).cast(t).alias(c) for c, t in empty.items()])
+
+    same = ("name", "degree", "level", "department", "fee_uk_yearly", "fee_intl_yearly", "is_active", "created_at")
+    return (table("courses", courses, "source_url", parent_id="university_id", **{c: c for c in same})
+            .unionByName(table("universities", unis, "name", name="name", created_at="created_at", txt="location"))
+            .unionByName(table("details", details, "course_id", txt="description")))

@@ -66,13 +66,14 @@ def _listing_anchors_sql() -> str:
     srcs = "[" + ", ".join(_q(s) for s in SOURCES) + "]"
     host = "'https://www.university-' || CAST(suppkey AS VARCHAR) || '.example.ac.uk'"
     path = "'/courses/undergraduate/page-' || CAST({} AS VARCHAR)"
-    fixed = [(_q(h), "CAST(NULL AS VARCHAR)", "false") for h, _t in NAV] + [
-        (path.format("(page_no + 1) % npages"), "'next'", "true"),
-        (path.format("page_no") + " || '/'", "CAST(NULL AS VARCHAR)", "true"),
-        (_q(OPEN_DAY), "'course-link'", "true"), (_q(OPEN_DAY), "'course-link'", "true")]
+    none = "CAST(NULL AS VARCHAR)"
+    fixed = [(_q(h), none, "false", t) for h, t in NAV] + [
+        (path.format("(page_no + 1) % npages"), "'next'", "true", "Next"),
+        (path.format("page_no") + " || '/'", none, "true", "This page"),
+        *[(_q(OPEN_DAY), "'course-link'", "true", "Open day")] * 2]
     fixed_rows = "\n".join(
-        f"  UNION ALL SELECT suppkey, page_no, {h}, {c}, {i + 1}, {m}, false FROM lpage"
-        for i, (h, c, m) in enumerate(fixed))
+        f"  UNION ALL SELECT suppkey, page_no, {h}, {c}, {i + 1}, {m}, false, {_q(t)} FROM lpage"
+        for i, (h, c, m, t) in enumerate(fixed))
     n = len(LINK_FORMS)
     sec = ("CASE WHEN lvl = 'undergraduate' THEN 'undergraduate' WHEN lvl = 'research' "
            "THEN 'research-degrees' ELSE 'postgraduate' END || '/' || ")
@@ -86,20 +87,21 @@ lpages AS (SELECT l_suppkey, CAST(ceil(count(*) / {PAGE_LINKS}.0) AS BIGINT) AS
 lcourse AS (
   SELECT c.l_suppkey AS suppkey, c.l_partkey % p.npages AS page_no, p.npages,
          CASE c.l_partkey % {n} {hrefs} END AS href, CASE c.l_partkey % {n} {classes} END AS cls,
-         c.l_partkey % {n} IN ({cards}) AS in_card, c.l_partkey AS o
+         c.l_partkey % {n} IN ({cards}) AS in_card, c.l_partkey AS o,
+         c.p_name AS txt
   FROM cbase2 c JOIN lpages p ON c.l_suppkey = p.l_suppkey
 ),
 lpage AS (SELECT DISTINCT suppkey, page_no, npages FROM lcourse),
 lall AS (
   SELECT suppkey, page_no, href, cls,
          {len(fixed)} + row_number() OVER (PARTITION BY suppkey, page_no ORDER BY o) AS pos,
-         true AS in_main, in_card
+         true AS in_main, in_card, txt
   FROM lcourse
 {fixed_rows}
 ),
 listed AS (
   SELECT suppkey || '-' || page_no AS page_id, {host} || {path.format("page_no")} AS url,
-         {srcs}[suppkey % {len(SOURCES)} + 1] AS source, suppkey, pos, href, cls, in_main, in_card
+         {srcs}[suppkey % {len(SOURCES)} + 1] AS source, suppkey, pos, href, cls, in_main, in_card, txt
   FROM lall
 ),
 resolved AS (
@@ -110,7 +112,7 @@ resolved AS (
 )"""
 
 
-_LISTED = with_catalogue("", extra=_listing_anchors_sql()).rstrip()
+LISTED_SQL = with_catalogue("", extra=_listing_anchors_sql()).rstrip()
 
 
 @register("links_all", "WITH " + _HREFS.strip() + " SELECT page_id, pos, href FROM anchors")
@@ -118,7 +120,7 @@ def q_links_all(spark, d):
     return L.links_all(_parsed(spark, d)).select("page_id", "pos", "href")
 
 
-@register("links_scheme_filter", _LISTED
+@register("links_scheme_filter", LISTED_SQL
           + f" SELECT page_id, pos, href FROM listed WHERE {_scheme_ok('href')}")
 def q_links_scheme(spark, d):
     return L.scheme_filter(L.links_all(_listed(spark, d))).select("page_id", "pos", "href")
@@ -127,7 +129,7 @@ def q_links_scheme(spark, d):
 ST_GEORGES = next(r for r in rules.SOURCE_RULES if r["source"] == "st_georges")
 
 
-@register("links_include_exclude", _LISTED + f"""
+@register("links_include_exclude", LISTED_SQL + f"""
 SELECT page_id, pos, href FROM listed
 WHERE {_scheme_ok('href')} AND {_any('href', ST_GEORGES['includes'])}
   AND NOT {_any('href', ST_GEORGES['excludes'])}""")
@@ -157,14 +159,14 @@ def q_links_dedup(spark, d):
             .withColumn("pos", F.col("pos") + 1))
 
 
-@register("links_canonical", _LISTED + """
+@register("links_canonical", LISTED_SQL + """
 SELECT page_id, pos, regexp_replace(split_part(abs_url, '#', 1), '/+$', '') AS canonical_url
 FROM resolved""")
 def q_links_canonical(spark, d):
     return _resolved(_listed(spark, d)).select("page_id", "pos", L.canonical("abs_url").alias("canonical_url"))
 
 
-@register("links_exclude_start", _LISTED + """
+@register("links_exclude_start", LISTED_SQL + """
 SELECT r.page_id, r.pos, r.abs_url FROM resolved r
 WHERE NOT EXISTS (SELECT 1 FROM listed p
                   WHERE regexp_replace(p.url, '/+$', '') = regexp_replace(r.abs_url, '/+$', ''))""")
@@ -177,7 +179,7 @@ def q_links_exclude_start(spark, d):
             .select("page_id", "pos", "abs_url"))
 
 
-@register("links_detail_only", _LISTED + f"""
+@register("links_detail_only", LISTED_SQL + f"""
 SELECT page_id, pos, abs_url FROM resolved
 WHERE strpos(abs_url, '/courses/') > 0 AND strpos(abs_url, '?') = 0 AND strpos(abs_url, '#') = 0
   AND {_any('abs_url', MIDDLESEX['abs_any'])}""")
@@ -256,7 +258,7 @@ def _discover_sql(with_starts: bool) -> str:
         parts.append(f"SELECT page_id, source, {late} AS late, pos AS apos, {u} AS url, {dropped} AS dropped, "
                      f"{'true' if r.get('dedup') else 'false'} AS dd FROM resolved a WHERE {where}")
     union = "\nUNION ALL\n".join(parts)
-    return _LISTED + f""",
+    return LISTED_SQL + f""",
 starts AS (SELECT DISTINCT url, source FROM listed),
 cand AS ({union}),
 firsts AS (
@@ -287,7 +289,7 @@ BROOKES = next(r for r in rules.SOURCE_RULES if r["source"] == "brookes")
 QUB = next(r for r in rules.SOURCE_RULES if r["source"] == "qub")
 
 
-@register("links_by_selector", _LISTED + f"""
+@register("links_by_selector", LISTED_SQL + f"""
 SELECT page_id, pos, href FROM (
   SELECT page_id, href, row_number() OVER (PARTITION BY page_id ORDER BY pos) AS pos
   FROM listed WHERE {_selected(BROOKES['selectors'])})
@@ -303,7 +305,7 @@ def q_links_by_selector(spark, d):
     return out.filter(F.col("href").contains("/course/") | F.col("href").contains("/courses/"))
 
 
-@register("links_union_strategies", _LISTED + f"""
+@register("links_union_strategies", LISTED_SQL + f"""
 SELECT DISTINCT page_id, abs_url FROM resolved
 WHERE {_selected(QUB['selectors'])}
    OR (strpos(href, '/courses/') > 0 AND (strpos(href, '/undergraduate/') > 0
@@ -333,7 +335,7 @@ def q_links_next_page(spark, d):
     return L.next_page_link(_parsed(spark, d), {"tag": "a", "attr": "href"})
 
 
-@register("partner_override", _LISTED + " SELECT DISTINCT page_id, CASE WHEN suppkey % 3 = 0 "
+@register("partner_override", LISTED_SQL + " SELECT DISTINCT page_id, CASE WHEN suppkey % 3 = 0 "
           + "THEN 'OIEG - Partner ' || suppkey ELSE [" + ", ".join(
     _q(r["university_name"]) for r in rules.SOURCE_RULES) + f"][suppkey % {len(SOURCES)} + 1] END "
     "AS university_name FROM listed")

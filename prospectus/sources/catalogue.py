@@ -30,9 +30,15 @@ def course_url(partkey, suppkey) -> F.Column:
                     F.lit(".example.ac.uk/courses/"), partkey.cast("string"))
 
 
-def universities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """supplier x nation -> universities(id, name, location, website, created_at, supplier_key)."""
-    sup = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+def universities(spark: SparkSession, sf_dir: str, solvent: bool = False) -> DataFrame:
+    """supplier x nation -> universities(id, name, location, website, created_at, supplier_key).
+
+    ``solvent`` leaves out suppliers whose balance is negative: universities that
+    have gone while their courses are still in the catalogue."""
+    sup = read_table(spark, sf_dir, "supplier")
+    if solvent:
+        sup = sup.filter(F.col("s_acctbal") >= 0)
+    sup = sup.select("s_suppkey", "s_name", "s_nationkey")
     # nation is a fixed 25-row dimension: a proven size bound, so broadcast it.
     nat = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (sup.join(F.broadcast(nat), sup.s_nationkey == nat.n_nationkey, "left")

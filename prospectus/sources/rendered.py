@@ -34,7 +34,8 @@ def render_html(r=F.col) -> F.Column:
     """HTML of one course page from the ``course_rows`` columns."""
     name, degree = r("name"), r("degree")
     ptype = r("p_type")
-    title = F.concat(name, F.lit(" | "), degree)
+    # a course whose page lists no degree has a bare title
+    title = F.concat_ws(" | ", F.when(degree.isNotNull(), name).otherwise(F.lit("Course")), degree)
     og = F.when(ptype.isin("STANDARD", "MEDIUM"), F.concat(
         F.lit('<meta property="og:title" content="'), name, F.lit(" | "),
         r("university_name"), F.lit('">')))
@@ -87,10 +88,12 @@ def rendered_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = course_rows(spark, sf_dir)
     # Parsing is CPU work per page: the narrow course rows are rebalanced before
     # the html is generated, into as many parts as AQE finds their size needs.
-    rows = rows.hint("rebalance")
-    return rows.select(
-        F.col("id").alias("page_id"), F.col("source_url").alias("url"),
-        render_html().alias("html"), "university_name", "university_location")
+    return rows.hint("rebalance").select(*page_columns())
+
+
+def page_columns() -> list:
+    return [F.col("id").alias("page_id"), F.col("source_url").alias("url"), render_html().alias("html"),
+            F.col("university_name"), F.col("university_location")]
 
 
 def render_markdown(r=F.col) -> F.Column:
