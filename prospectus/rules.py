@@ -34,8 +34,6 @@ FEE_SANDWICH_KEYWORDS = ["sandwich", "placement year"]
 MONTHS = ["January", "February", "March", "April", "May", "June", "July",
           "August", "September", "October", "November", "December"]
 
-UCAS_CODE_PATTERN = r"\b([A-Z]\d{3})\b"
-
 # Max characters kept by the first-match helper per field.
 DEFAULT_MAX_CHARS = 500
 DESCRIPTION_MAX_CHARS = 5000
@@ -99,7 +97,6 @@ MIN_NAME_LENGTH = 3
 
 PAGE_SIZE_DEFAULT = 20
 PAGE_SIZE_MAX = 100
-WRITE_BATCH_SIZE = 25
 UNKNOWN_UNIVERSITY = "Unknown"
 NO_LOCATION = "N/A"
 FILE_NAME_BAD_CHARS = r'[<>:"/\\|?*]'

@@ -147,6 +147,8 @@ def test_export_and_summary_writers(spark, cat):
     assert folders == ["file_stem=Empty College", "file_stem=Test University"]
     back = spark.read.json(out)
     assert back.filter("file_stem = 'Test University'").count() == 3
+    assert back.filter("file_stem = 'Empty College'").count() == 0
+    assert back.filter("source_url IS NULL").count() == 0
     path = work_path(spark, "test-summary")
     R.write_summary(R.summary_lines(u, c), path)
     text = [r.value for r in spark.read.text(path).collect()]
