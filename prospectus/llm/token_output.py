@@ -4,7 +4,7 @@ Documents are put in ascending order of doc_id by a range partitioning, so every
 partition is one shard of the order.  Its documents are encoded, get an end id
 each, and are cut into blocks of about ``BLOCK_IDS`` ids.  In a block the
 frequent pairs of neighbouring symbols are replaced by nonterminals, again and
-again; nonterminals never span documents.
+again, until none occurs ``MIN_PAIRS`` times; nonterminals never span documents.
 
 File format: a Parquet table with one row per block -
 ``shard, block, n_ids``, ``doc_ids`` and per document ``doc_tokens`` (ids with the
@@ -43,10 +43,9 @@ BLOCK_IDS = 1 << 19
 SLICE_CHARS = 1 << 19
 #: pieces remembered by a worker, and their longest
 MEMO_PIECES, MEMO_CHARS = 500_000, 40
-ROUNDS = 3
-#: a pair must occur this often in a block to become a rule, and rules per block and round
-MIN_PAIRS, MAX_RULES = 100, 2048
-_BINS = 1 << 18
+#: a pair becomes a rule where that makes the file smaller: a rule takes 12 bytes, each place it replaces saves 2 or more
+MIN_PAIRS = 7
+_BIN_BITS = 20
 
 
 class Encoder:
@@ -127,55 +126,65 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _frequent(pair: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions whose pair is frequent, and their pairs and counts."""
-    cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(46)).astype(np.int64)
-    often = np.bincount(cell, minlength=_BINS)[cell] >= MIN_PAIRS
-    pair, at = pair[often], at[often]
-    value, inv, count = np.unique(pair, return_inverse=True, return_counts=True)
-    rank = np.zeros(len(value), dtype=np.int64)  # 0: not chosen; else the larger the more frequent
-    best = np.argsort(-count, kind="stable")[:MAX_RULES]
-    best = best[count[best] >= MIN_PAIRS]
-    rank[best] = np.arange(len(best), 0, -1)
-    return value, at, rank[inv] if len(value) else inv
+def _frequent(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs met at least ``MIN_PAIRS`` times, the rarest first, and for each place the rank of its pair (0: none)."""
+    cell = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _BIN_BITS)).astype(np.int64)
+    often = np.flatnonzero(np.bincount(cell, minlength=1 << _BIN_BITS)[cell] >= MIN_PAIRS)
+    value, inv, count = np.unique(pair[often], return_inverse=True, return_counts=True)
+    best = np.flatnonzero(count >= MIN_PAIRS)
+    best = best[np.argsort(count[best], kind="stable")]
+    of = np.zeros(len(value), dtype=np.int64)
+    of[best] = np.arange(1, len(best) + 1)
+    rank = np.zeros(len(pair), dtype=np.int64)
+    rank[often] = of[inv]
+    return value[best], rank
 
 
 def compress(ids: np.ndarray, doc_tokens: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(symbols, symbols per document, rules): Re-Pair over one block.
 
-    In a round the most frequent pairs become rules together.  Where chosen pairs
-    overlap the more frequent one is replaced; in a run of one symbol every other.
+    Rounds go on until no pair occurs ``MIN_PAIRS`` times without overlap; in a round
+    all pairs that do are candidates.  Where they overlap the more frequent
+    one is replaced, in a run of one symbol every other pair, and a pair that keeps
+    fewer than ``MIN_PAIRS`` places waits for the next round.  The most frequent pair
+    keeps all of its places, so each round adds a rule.
     """
     seq = ids.astype(np.uint32)
     doc = np.repeat(np.arange(len(doc_tokens), dtype=np.int32), doc_tokens)
-    rules = np.zeros((0, 2), dtype=np.uint32)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
-        at = np.flatnonzero(doc[1:] == doc[:-1])
+    rules = [np.zeros((0, 2), dtype=np.uint32)]
+    n_rules = 0
+    # a pair of old symbols never gets more frequent: a rare one's places are looked at again only when a symbol there is new
+    live = np.append(doc[1:] == doc[:-1], False)[:len(seq)]
+    while len(at := np.flatnonzero(live)):
         pair = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        value, at, rank = _frequent(pair, at)
-        if not rank.any():
+        follows = np.zeros(len(at), dtype=bool)  # the same pair one place on: a run of one symbol
+        follows[1:] = (at[1:] == at[:-1] + 1) & (pair[1:] == pair[:-1])
+        first = np.maximum.accumulate(np.where(follows, 0, np.arange(len(at))))
+        free = np.flatnonzero((np.arange(len(at)) - first) % 2 == 0)
+        value, rank = _frequent(pair[free])
+        if not len(value):
             break
         prio = np.zeros(len(seq) + 1, dtype=np.int64)
-        prio[at] = rank
-        edge = np.flatnonzero(np.concatenate(([True], prio[1:] != prio[:-1])))
-        v = prio[edge]
-        left = np.concatenate(([0], v[:-1]))
-        right = np.concatenate((v[1:], [0]))
-        wins = np.repeat((v > left) & (v > right), np.diff(np.concatenate((edge, [len(prio)]))))
-        step = np.arange(len(prio)) - np.repeat(edge, np.diff(np.concatenate((edge, [len(prio)]))))
-        use = np.flatnonzero(wins & (step % 2 == 0) & (prio > 0))
+        prio[at[free]] = rank
+        live[at] = np.isin(pair, value)
+        wins = prio > np.concatenate(([0], prio[:-1]))
+        wins[:-1] &= prio[:-1] > prio[1:]
+        use = np.flatnonzero(wins)
+        n = np.bincount(prio[use], minlength=len(value) + 1)
+        use = use[n[prio[use]] >= MIN_PAIRS]
         chosen, rule = np.unique(prio[use], return_inverse=True)
-        by_rank = np.zeros(prio.max() + 1, dtype=np.uint64)
-        by_rank[rank] = (seq[at].astype(np.uint64) << np.uint64(32)) | seq[at + 1]
-        new = by_rank[chosen]
-        seq[use] = (base + len(rules) + rule).astype(np.uint32)
+        new = value[chosen - 1]
+        seq[use] = (base + n_rules + rule).astype(np.uint32)
+        n_rules += len(chosen)
+        rules.append(np.column_stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF))).astype(np.uint32))
+        live[use] = True
+        live[use[use > 0] - 1] = True
         keep = np.ones(len(seq), dtype=bool)
         keep[use + 1] = False
-        seq, doc = seq[keep], doc[keep]
-        rules = np.concatenate((rules, np.column_stack((new >> np.uint64(32), new & np.uint64(0xFFFFFFFF))).astype(np.uint32)))
-    return seq, np.bincount(doc, minlength=len(doc_tokens)), rules
+        seq, doc, live = seq[keep], doc[keep], live[keep]
+        live[:-1] &= doc[1:] == doc[:-1]
+        live[-1] = False
+    return seq, np.bincount(doc, minlength=len(doc_tokens)), np.concatenate(rules)
 
 
 def expansion_lengths(rules: np.ndarray, base: int) -> np.ndarray:

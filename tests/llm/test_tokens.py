@@ -63,6 +63,24 @@ def test_grammar_round_trip_and_random_access():
     assert len(T.compress(np.tile([1, 2, 3, 4], 1000), np.array([4000]), 10)[0]) <= 1000
 
 
+def test_rules_until_no_pair_is_frequent():
+    rng = np.random.default_rng(1)
+    passage = rng.integers(0, 50_000, 400)
+    repeated = np.concatenate([np.concatenate([passage, rng.integers(0, 50_000, 20)]) for _ in range(1000)])
+    many = rng.permutation(np.repeat(np.arange(6000), 10).reshape(-1, 10), axis=0)  # runs of 10, each id in its own
+    many = np.concatenate([many[:, :5].ravel(), many[:, 5:].ravel(), np.tile(np.arange(7000, 13000), 8)])
+    small = np.concatenate([np.array([5, 6, 100 + i]) for i in range(T.MIN_PAIRS)])
+    for ids in (repeated, many, small, np.full(100_000, 3)):
+        symbols, per_doc, rules = T.compress(ids, np.array([len(ids)]), 50_000)
+        assert T.expand(symbols, rules, 50_000).tolist() == ids.tolist() and per_doc.tolist() == [len(symbols)]
+        places = {}
+        for i, p in enumerate(zip(symbols[:-1].tolist(), symbols[1:].tolist())):
+            if not places.get(p) or places[p][-1] < i - 1 or p[0] != p[1]:
+                places.setdefault(p, []).append(i)
+        assert max(map(len, places.values()), default=0) < T.MIN_PAIRS
+    assert len(T.compress(repeated, np.array([len(repeated)]), 50_000)[0]) < 25_000
+
+
 def test_files_hold_documents_in_order(spark, sf_small, tokenizer):
     docs = read_table(spark, sf_small, "documents")
     path = run_path(spark, "tokens-test")
