@@ -163,6 +163,18 @@ def q_universities_without_courses(spark, d):
     return cat.universities_without_courses(src.universities(spark, d), src.courses(spark, d, before=EARLY))
 
 
+@register("universities_without_kept_courses", with_catalogue("""
+SELECT u.id, u.name, u.location FROM unis u
+WHERE NOT EXISTS (SELECT 1 FROM courses c JOIN supplier s ON sha256(s.s_name) = c.university_id
+                  WHERE c.university_id = u.id AND s.s_acctbal >= 0)"""))
+def q_universities_without_kept_courses(spark, d):
+    """Q16 on the whole catalogue, from which the courses of universities that have gone
+    (a supplier with a negative balance) are withdrawn."""
+    kept = src.universities(spark, d, solvent=True).select(F.col("id").alias("university_id"))
+    courses = src.courses(spark, d).join(kept, "university_id", "left_semi")
+    return cat.universities_without_courses(src.universities(spark, d), courses)
+
+
 @register("orphan_courses", with_catalogue("""
 SELECT c.id, c.name, c.source_url FROM courses c
 WHERE NOT EXISTS (SELECT 1 FROM unis u JOIN supplier s ON s.s_suppkey = u.supplier_key

@@ -161,3 +161,18 @@ def test_like_wildcards_and_literal_mode(cat):
     assert C.search_filtered(c, u, degree="_Sc").count() == 2
     # ... unless literal mode escapes them
     assert C.search_filtered(c, u, degree="_Sc", literal=True).count() == 0
+
+
+def test_universities_without_kept_courses_reads_all_observations(spark, sf_small, tmp_path):
+    from prospectus.plans import catalogue_queries as CQ
+    read = lambda t: spark.read.parquet(f"{sf_small}/{t}.parquet")
+    k = sorted(r.s_suppkey for r in read("supplier").collect())
+    gone, late, none = k[0], k[1], k[2]
+    balance = F.when(F.col("s_suppkey") == gone, -5.0).otherwise(5.0).cast(read("supplier").schema["s_acctbal"].dataType)
+    seen = ~F.col("l_suppkey").isin(none, late) | ((F.col("l_suppkey") == late) & (F.col("l_shipdate") >= F.lit("2000-01-01")))
+    for t in ("nation", "part"):
+        read(t).write.parquet(f"{tmp_path}/{t}.parquet")
+    read("supplier").withColumn("s_acctbal", balance).write.parquet(f"{tmp_path}/supplier.parquet")
+    read("lineitem").filter(seen).write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = [r.name for r in CQ.q_universities_without_kept_courses(spark, str(tmp_path)).collect()]
+    assert sorted(got) == [f"Supplier#{x:09d}" for x in (gone, none)]
