@@ -1,10 +1,11 @@
 """Operator 4: benchmark decontamination by rare n-gram seeds and local alignment.
 
-A document holds an item when a local alignment (Smith-Waterman over words) has
-matched words, less words put in between, of at least ``MIN_SIMILARITY`` of the
-item's words.  Such an alignment has at most e = m - ceil(0.8 m) edits of the
-item's m words, so of e + 1 disjoint n-grams of the item one occurs whole in the
-document.  Each item
+A document holds an item when some local alignment over words has matched words,
+less words put in between, of at least ``MIN_SIMILARITY`` of the item's words; that
+number itself is maximised.  What is reported is the same number of the alignment
+of the best Smith-Waterman score, which may be smaller.  An alignment that counts has
+at most e = m - ceil(0.8 m) edits of the item's m words, so of e + 1 disjoint n-grams
+of the item one occurs whole in the document.  Each item
 is seeded with the e + 1 disjoint n-grams that are rarest in the corpus (a first
 pass counts all the items' n-grams over all documents); n is at most ``SEED_WORDS``
 and smaller for items that leave no room.  A second pass looks the seeds up in
@@ -125,6 +126,17 @@ def _look_up(g: np.ndarray, known: np.ndarray, flt: np.ndarray) -> np.ndarray:
     return at[known[i] == g[at]]
 
 
+def most_matched(item: np.ndarray, words: np.ndarray) -> int:
+    """Most matched words less words put in between, over all local alignments."""
+    step = np.arange(len(words) + 1, dtype=np.int64)
+    row = np.zeros(len(words) + 1, dtype=np.int64)
+    for w in item:
+        new = row.copy()  # the item's word left out
+        new[1:] = np.maximum(new[1:], row[:-1] + (words == w))
+        row = np.maximum.accumulate(new + step) - step  # words put in
+    return int(row.max())
+
+
 def align(item: np.ndarray, words: np.ndarray) -> tuple[int, int]:
     """Local alignments: (most matched words less words put in between, where that one ends in ``words``).
 
@@ -193,13 +205,15 @@ def _match(shared):
                         if len(own) == m and (own == it.words).all():
                             rows.append((ids[lo + d], it.item_id, 1.0, m))
                         continue
+                    spans = list(_windows(np.array(starts), m, len(own)))
+                    if max(most_matched(it.words, own[frm:upto]) for frm, upto in spans) < m - it.edits:
+                        continue
                     best, end = 0, 0
-                    for frm, upto in _windows(np.array(starts), m, len(own)):
+                    for frm, upto in spans:
                         got, at = align(it.words, own[frm:upto])
                         if got > best:
                             best, end = got, frm + at
-                    if best >= m - it.edits:
-                        rows.append((ids[lo + d], it.item_id, best / m, end))
+                    rows.append((ids[lo + d], it.item_id, best / m, end))
             cols = list(zip(*rows)) if rows else [[], [], [], []]
             yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                                               pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64())],
@@ -247,7 +261,8 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[Item]]:
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs (doc_id, text), benchmark (item_id, text) -> one row per document and item it holds:
-    doc_id, item_id, similarity (share of the item's words that edits leave), end_word (where the alignment ends)."""
+    doc_id, item_id, similarity (share of the item's words that edits leave in the alignment of the best score),
+    end_word (where that ends)."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text").filter("length(text) > 0")
     found = None

@@ -86,3 +86,34 @@ def test_item_blocks_give_the_same(spark, sf_small, monkeypatch):
     assert [r[:2] for r in one if r[0] in short and r[1] in {w[0] for w in [(i,) for i in range(8)]}] == [r[:2] for r in want]
     monkeypatch.setattr(D, "ITEM_WORDS", 300)
     assert sorted(map(tuple, D.leaks(docs, items).collect())) == one
+
+
+def most_net(item, words):
+    """Most matched words less words put in of any local alignment, cell by cell."""
+    row = [0] * (len(words) + 1)
+    for w in item:
+        new = [0]
+        for j, x in enumerate(words, 1):
+            new.append(max(row[j - 1] + (x == w), row[j], new[-1] - 1))
+        row = new
+    return max(row)
+
+
+def test_a_longer_alignment_of_higher_score_hides_nothing(spark):
+    item = ["i%d" % k for k in range(100)]
+    tail = item[10:]
+    for k in range(5, 85, 10):
+        tail[k] = "other%d" % k
+    words = item[:10] + ["between%d" % k for k in range(15)] + tail
+    assert run(spark, [(1, " ".join(words)), (2, " ".join(tail))], [(7, " ".join(item))]) == [(1, 7, 0.77), (2, 7, 0.82)]
+    rng = random.Random(9)
+    items = [(k, " ".join("v%d" % rng.randrange(400) for _ in range(rng.choice([20, 60, 100])))) for k in range(8)]
+    docs = []
+    for d in range(120):
+        w = items[d % 8][1].split()
+        cut = rng.randrange(len(w) // 5)
+        keep = [x if rng.random() < 0.9 else "z%d" % d for x in w[cut:]]
+        docs.append((d, " ".join(w[:cut] + ["y%d" % k for k in range(rng.randrange(20))] + keep)))
+    plain = [(i, t.split()) for i, t in items]
+    want = [(d, i) for d, t in docs for i, w in plain if most_net(w, t.split()) >= 0.8 * len(w) - 1e-9]
+    assert [r[:2] for r in run(spark, docs, items)] == sorted(want)
