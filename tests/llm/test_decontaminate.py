@@ -117,3 +117,10 @@ def test_a_longer_alignment_of_higher_score_hides_nothing(spark):
     plain = [(i, t.split()) for i, t in items]
     want = [(d, i) for d, t in docs for i, w in plain if most_net(w, t.split()) >= 0.8 * len(w) - 1e-9]
     assert [r[:2] for r in run(spark, docs, items)] == sorted(want)
+
+
+def test_leaks_in_rows_with_null_ids(spark):
+    docs = spark.createDataFrame([(None, "x a b c d e f x"), (None, "clean words only"), (None, None), (1, "a b c d e f"), (2, "z")], DOCS)
+    left = D.decontaminated(docs, spark.createDataFrame([(1, "a b c d e f")], ITEMS))
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, ""), (0, "clean words only"), (2, "z")]
