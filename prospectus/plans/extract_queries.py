@@ -174,12 +174,12 @@ SELECT page_id, 'UnicodeDecodeError' AS parse_error FROM (
   SELECT page_id, hex(encode(html)) AS h, octet_length(encode(html)) // 2 AS n FROM pages)
 WHERE substr(h, 2 * n + 1, 1) IN ('8', '9', 'A', 'B')""")
 def q_extract_quarantine(spark, d):
-    """Pages the tokenizer could not handle: fetches that broke off after half of a page's
-    bytes, where that is inside a character."""
+    """Pages the tokenizer could not handle: of the whole pages, and of fetches that broke off
+    after half of a page's bytes, where that is inside a character."""
+    whole = scan_pages(spark, d)
     raw_bytes = F.col("html").cast("binary")
-    half = scan_pages(spark, d).withColumn(
-        "html", F.substring(raw_bytes, F.lit(1), F.floor(F.length(raw_bytes) / 2).cast("int")))
-    raw = X.extract_fields(parsed_pages(half), keep=["page_id"])
+    half = whole.withColumn("html", F.substring(raw_bytes, F.lit(1), F.floor(F.length(raw_bytes) / 2).cast("int")))
+    raw = X.extract_fields(parsed_pages(whole.withColumn("html", raw_bytes).unionByName(half)), keep=["page_id"])
     _ok, bad = X.split_quarantine(raw)
     return bad.select("page_id", F.substring_index("parse_error", ":", 1).alias("parse_error"))
 

@@ -132,3 +132,13 @@ def test_tokenizer_structure():
     assert e[0]["classes"] == ["a", "b"]
     assert e[2]["parent"] == 0  # the second <p> closes the first
     assert t[-1]["kind"] == "raw" and t[-1]["text"] == 'var s="</p>";'
+
+
+def test_quarantine_reports_whole_pages_too(spark, tmp_path):
+    from prospectus.plans import extract_queries as EQ
+    html = "cast(concat(cast(repeat('<p>a</p>', 20) as binary), unhex('{}'), cast('<p>b</p>' as binary)) as string)"
+    rows = [(1, html.format("FF")), (2, html.format("C3A9")), (3, "repeat('é', 3)")]
+    pages = " union all ".join(f"select {i}L page_id, 'u{i}' url, {h} html" for i, h in rows)
+    spark.sql(pages).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted(tuple(r) for r in EQ.q_extract_quarantine(spark, str(tmp_path)).collect())
+    assert got == [(1, "UnicodeDecodeError"), (3, "UnicodeDecodeError")]
