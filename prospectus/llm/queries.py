@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat, decontaminate, langid, minhash, mixing, pii, pq, quality, suffix_dedup, token_output
+from . import bpe, chat, decontaminate, langid, minhash, mixing, pii, pq, quality, suffix_dedup, token_output
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_langid": langid.op9_langid,
     "op10_vectors": pq.op10_vectors,
+    "op11_bpe": bpe.op11_bpe,
 }
 
 ORACLE_SQL = {
