@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chat, decontaminate, langid, minhash, mixing, pii, pq, quality, suffix_dedup, token_output
+from . import bpe, centroids, chat, decontaminate, langid, minhash, mixing, pii, pq, prefix_trie, quality, suffix_dedup, token_output
 
 QUERIES = {
     "op1_mix": mixing.op1_mix,
@@ -16,9 +16,13 @@ QUERIES = {
     "op9_langid": langid.op9_langid,
     "op10_vectors": pq.op10_vectors,
     "op11_bpe": bpe.op11_bpe,
+    "op12_centroids": centroids.op12_centroids,
+    "op13_prefix_trie": prefix_trie.op13_prefix_trie,
 }
 
 ORACLE_SQL = {
     "op1_mix": mixing.ORACLE_SQL,
     "op3_chat": chat.ORACLE_SQL,
+    "op12_centroids": centroids.ORACLE_SQL,
+    "op13_prefix_trie": prefix_trie.ORACLE_SQL,
 }

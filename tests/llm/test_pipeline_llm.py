@@ -41,5 +41,5 @@ def test_stages_match_plain_restatements(spark, sf_small):
 
 def test_registered_queries():
     ops = sorted(n for n in E.queries() if n.startswith("op") and n[2].isdigit())
-    assert [int(n[2:].split("_")[0]) for n in sorted(ops, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 12))
+    assert [int(n[2:].split("_")[0]) for n in sorted(ops, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
     assert "pipeline" in E.queries() and "prospectus.llm" in sys.modules
