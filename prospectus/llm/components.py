@@ -35,6 +35,7 @@ def _mark(edges: DataFrame) -> tuple:
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """``links`` (a, b) of ids -> (id, component): the smallest id reachable, for linked ids.
 
+    Ids may be of any type with an order.
     Ids without links are absent.  Nulls and self links are ignored; an empty
     table gives an empty table; repeated links count once.
     """

@@ -8,7 +8,8 @@ coordinates make the buckets; links are confirmed on the full shingle sets
 (exact Jaccard, in integers).
 
 Texts of equal word sequence form a class and stand for one document, so
-thousands of copies cost one signature row each and no pair.  In each bucket one
+thousands of copies cost one signature row each and no pair.  Candidates, links and
+components are found between classes; ids come in at the end.  In each bucket one
 member, another for each band, is compared with the others first: the members of
 a large group meet up to ``BANDS`` such leaders and mostly end in one component.
 Buckets whose members are then still in different components are joined to
@@ -23,8 +24,13 @@ over 0.9999995 for s = 0.85.
 
 Defined cases: null texts and texts without words have an empty set and link
 with nothing; fewer words than a shingle make one shingle; rows that repeat an
-id count as that document (its smallest class wins); rows with a null id are kept,
-and stand in the component of equal texts; an empty table gives an empty table.
+id are one document, which all of their texts link, so an id has one component;
+``keep_one_each`` judges each text by itself and keeps one that is like no other
+document's.  Rows with a null id are kept, and stand in the component of equal
+texts.  Ties between texts of one id go by the hash of their words.  A text is taken
+whole, one at a time where it is longer than ``textnum.SLICE_BYTES``; columns beyond
+doc_id and text are ignored or, by ``keep_one_each``, kept; an empty table gives an
+empty table.
 """
 
 from __future__ import annotations
@@ -102,8 +108,9 @@ def _sketch(k: int):
                 n = np.diff(ends)
                 bands = pa.ListArray.from_arrays(np.arange(hi - lo + 1, dtype=np.int32) * BANDS, pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id").slice(lo, hi - lo), pa.array(n), pa.array(a.view(np.int64)),
-                     pa.array(c.view(np.int64)), bands], names=["doc_id", "n_shingles", "h1", "h2", "bands"])
+                    [*(b.column(c).slice(lo, hi - lo) for c in ("doc_id", "m1", "m2")), pa.array(n),
+                     pa.array(a.view(np.int64)), pa.array(c.view(np.int64)), bands],
+                    names=["doc_id", "m1", "m2", "n_shingles", "h1", "h2", "bands"])
 
     return run
 
@@ -121,6 +128,9 @@ def jaccard_counts(a: list[bytes], b: list[bytes], k: int) -> tuple[np.ndarray,
     return inter, np.bincount(pair, minlength=len(a)) - inter
 
 
+_NODE = "struct<id: bigint, h1: bigint, h2: bigint>"
+
+
 def _confirm(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -136,67 +146,90 @@ def _confirm(k: int, percent: int):
 
 
 def confirm(pairs: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of ids -> those whose full sets reach the threshold; own: (id, text)."""
-    full = (pairs.join(own.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-            .join(own.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b"))
-    return full.mapInArrow(_confirm(k, percent), "a long, b long")
+    """Candidate pairs (a, b) of classes -> those whose full sets reach the threshold; own: (node, text)."""
+    full = (pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+            .join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
+    return full.mapInArrow(_confirm(k, percent), f"a {_NODE}, b {_NODE}")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, n_shingles, class_id, component_id, kept; one row per row of docs.
+def _marked(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, m1, m2): two hashes that tell the texts of one id apart."""
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2"))
 
-    Two documents link when their sets of ``k``-word shingles have
-    100 * intersection >= percent * union.  class_id is the smallest id with the
-    same word sequence; component_id the smallest id reachable by links.
+
+def classes_and_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """docs (doc_id, text, ...) -> rows and groups.
+
+    rows: doc_id, m1, m2, n_shingles and ``node``, the class of the row's text - its smallest
+    id and the hash of its words - or null; one row per row of docs.  groups: (id, component) of
+    the classes that have links, the component being its smallest class.  Everything is decided
+    by classes, so that several texts of one id are compared each by itself.
     """
-    texts = docs.select("doc_id", "text")
-    sketch = written(texts.mapInArrow(_sketch(k), "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>"),
-                     "minhash-sketch")
+    texts = _marked(docs)
+    schema = "doc_id long, m1 long, m2 long, n_shingles long, h1 long, h2 long, bands array<long>"
+    sketch = written(texts.mapInArrow(_sketch(k), schema), "minhash-sketch")
     classes = written(sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2")
                       .agg(F.min("doc_id").alias("class_id")), "minhash-classes")
-    reps = (sketch.join(classes.withColumnRenamed("class_id", "doc_id"), ["doc_id", "h1", "h2"], "left_semi")
-            .select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "h1", "h2", "bands")
-            .dropDuplicates(["id", "h1", "h2"]))
-    cells = reps.select("id", "n", F.explode("bands").alias("band")).withColumn("turn", F.xxhash64("id", "band"))
+    node = F.struct(F.col("class_id").alias("id"), "h1", "h2").alias("node")
+    reps = (sketch.join(classes.withColumn("doc_id", F.col("class_id")), ["doc_id", "h1", "h2"])
+            .select(node, "doc_id", "m1", "m2", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"]))
+    cells = (reps.select("node", "doc_id", "m1", "m2", "n", F.explode("bands").alias("band"))
+             .withColumn("turn", F.xxhash64("node", "band")))
     shared = cells.groupBy("band").agg(F.count("*").alias("c"), F.min("turn").alias("first")).filter("c > 1")
     cells = written(cells.join(shared.select("band", "first"), "band"), "minhash-cells")
 
     fits = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
     pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    own = _texts_of(texts, cells.select("id").distinct())
-    lead = cells.filter("turn = first").select("band", F.col("id").alias("a"), F.col("n").alias("na"))
-    star = written(cells.join(lead, "band").withColumnRenamed("id", "b").filter("a != b")
+    own = _texts_of(texts, cells.select("node", "doc_id", "m1", "m2").dropDuplicates(["node"]))
+    lead = cells.filter("turn = first").select("band", F.col("node").alias("a"), F.col("n").alias("na"))
+    star = written(cells.select("band", F.col("node").alias("b"), "n").join(lead, "band").filter("a != b")
                    .filter(fits(F.col("na"), F.col("n"))).select(*pair).distinct(), "minhash-star")
     links = written(confirm(star, own, k, percent), "minhash-links")
-    # rows that repeat an id with other texts belong to that id: link their classes
-    members = sketch.drop("bands").join(classes, ["h1", "h2"], "left").withColumn(
-        "class_id", F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id")))
-    members = written(members, "minhash-members")
-    same_id = (members.filter("n_shingles > 0 and doc_id != class_id")
-               .join(cells.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")
-               .select(F.col("class_id").alias("a"), F.col("doc_id").alias("b")))
-    found = components(links.union(same_id), "minhash-components")
-    placed = written(cells.select("band", "id", "n").join(found, "id", "left")
+    found = components(links, "minhash-components")
+    placed = written(cells.select("band", F.col("node").alias("id"), "n").join(found, "id", "left")
                      .withColumn("component", F.coalesce("component", "id")), "minhash-placed")
     apart = (placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("id").alias("a"))
              .filter("lo < hi").select("band", "a"))
     still_open = written(placed.join(apart, "band"), "minhash-open")
     family = components(still_open.select("a", F.col("id").alias("b")), "minhash-families").withColumnRenamed("component", "family")
-    rest = still_open.select("id", "component").distinct().join(family, "id").join(own, "id")
+    rest = (still_open.select("id", "component").distinct().join(family, "id")
+            .join(own.withColumnRenamed("node", "id"), "id"))
     more = written(_between(written(rest, "minhash-rest"), k, percent), "minhash-more")
-    joined = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "minhash-components")
+    groups = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "minhash-components")
+    rows = (sketch.drop("bands").join(classes, ["h1", "h2"], "left")
+            .select("doc_id", "m1", "m2", "n_shingles", F.when(F.col("class_id").isNotNull(), node).alias("node")))
+    return written(rows, "minhash-rows"), written(groups, "minhash-groups")
 
-    out = members.join(joined.withColumnRenamed("id", "class_id"), "class_id", "left")
-    comp = F.coalesce("component", "class_id")
-    return out.select("doc_id", "n_shingles", "class_id", comp.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == comp, F.lit(True)).alias("kept"))
+
+def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """docs (doc_id, text, ...) -> doc_id, n_shingles, class_id, component_id, kept; one row per row of docs.
+
+    Two documents link when their sets of ``k``-word shingles have
+    100 * intersection >= percent * union.  class_id is the smallest id with the
+    same word sequence; component_id the smallest id reachable by links.  An id with
+    several texts is one document, linked by each of them.
+    """
+    rows, groups = classes_and_groups(docs, k, percent)
+    rows = rows.withColumn("class_id", F.when(F.col("n_shingles") > 0, F.col("node.id")).otherwise(F.col("doc_id")))
+    out = rows.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("group", F.coalesce("component.id", "class_id"))
+    # ids with texts of several groups join these
+    several = written(out.filter("node is not null and doc_id is not null").groupBy("doc_id")
+                      .agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("doc_id"), "minhash-several")
+    if not several.isEmpty():
+        met = (out.filter("node is not null").join(several, "doc_id")
+               .select(F.col("doc_id").alias("a"), F.col("group").alias("b")))
+        by_id = components(met, "minhash-ids").select(F.col("id").alias("group"), F.col("component").alias("joined"))
+        out = out.join(by_id, "group", "left").withColumn("group", F.coalesce("joined", "group"))
+    return out.select("doc_id", "n_shingles", "class_id", F.col("group").alias("component_id"),
+                      F.coalesce(F.col("doc_id") == F.col("group"), F.lit(True)).alias("kept"))
 
 
 def _blocks_linked(k: int, percent: int):
     """Links between two blocks of a family whose documents are in different components."""
 
     def run(t: pa.Table) -> pa.Table:
-        ids, comp = t["id"].to_numpy(), t["component"].to_numpy()
+        comp = np.unique(np.column_stack([f.to_numpy() for f in t["component"].combine_chunks().flatten()]), axis=0,
+                         return_inverse=True)[1].ravel()
         # both blocks of a pair, or the one block twice
         left = np.flatnonzero(t["block"].to_numpy() == t["p"][0].as_py())
         right = np.flatnonzero(t["block"].to_numpy() == t["q"][0].as_py())
@@ -223,11 +256,11 @@ def _blocks_linked(k: int, percent: int):
         both = inter.astype(np.int64)
         union = n[left][:, None] + n[right][None, :] - both
         i, j = np.nonzero((100 * both >= percent * union) & (comp[left][:, None] != comp[right][None, :]))
-        a, b = ids[left[i]], ids[right[j]]
         # one link is enough for two components
         pair = np.column_stack((np.minimum(comp[left[i]], comp[right[j]]), np.maximum(comp[left[i]], comp[right[j]])))
         _, one = np.unique(pair, axis=0, return_index=True)
-        return pa.table({"a": pa.array(a[one], pa.int64()), "b": pa.array(b[one], pa.int64())})
+        ids = t["id"].combine_chunks()
+        return pa.table({"a": ids.take(pa.array(left[i[one]])), "b": ids.take(pa.array(right[j[one]]))})
 
     return run
 
@@ -243,21 +276,31 @@ def _between(rest: DataFrame, k: int, percent: int) -> DataFrame:
              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .select("family", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id",
                      "component", "text"))
-    return dealt.groupBy("family", "p", "q").applyInArrow(_blocks_linked(k, percent), "a long, b long")
+    return dealt.groupBy("family", "p", "q").applyInArrow(_blocks_linked(k, percent), f"a {_NODE}, b {_NODE}")
 
 
-def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """(id, text) of the given ids, written; few ids are broadcast, so that the texts stay where they are."""
-    ids = written(ids, "minhash-ids")
-    small = ids.count() <= BROADCAST_IDS
-    own = texts.withColumnRenamed("doc_id", "id").join(F.broadcast(ids) if small else ids, "id", "left_semi")
-    return written(own.dropDuplicates(["id"]), "minhash-texts")
+def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, text) of the wanted classes, written; few are broadcast, so that the texts stay where they are."""
+    wanted = written(wanted, "minhash-wanted")
+    small = wanted.count() <= BROADCAST_IDS
+    own = texts.join(F.broadcast(wanted) if small else wanted, ["doc_id", "m1", "m2"]).select("node", "text")
+    return written(own.dropDuplicates(["node"]), "minhash-texts")
 
 
 def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document is the first of its component."""
-    gone = near_duplicates(docs, k, percent).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    """The rows of ``docs`` whose text is the first of its group, and those that have none or no id.
+
+    Each text of an id is judged by itself: where one goes, another that is like no
+    other document's stays.
+    """
+    rows, groups = classes_and_groups(docs, k, percent)
+    first = F.coalesce("component", "node")
+    gone = (rows.filter("node is not null and doc_id is not null").join(groups.withColumnRenamed("id", "node"), "node", "left")
+            .filter((F.col("node") != first) | (F.col("doc_id") != F.col("node.id")))
+            .select("doc_id", "m1", "m2").distinct())
+    marked = docs.withColumns({"_m1": F.xxhash64("text"), "_m2": F.xxhash64(F.lit(1), "text")})
+    same = (marked["doc_id"] == gone["doc_id"]) & (F.col("_m1") == F.col("m1")) & (F.col("_m2") == F.col("m2"))
+    return marked.join(gone, same, "left_anti").drop("_m1", "_m2")
 
 
 def op5_minhash(spark, sf_dir) -> DataFrame:

@@ -47,6 +47,22 @@ def near_duplicates(rows, k, percent):
     return sorted((i, len(s), comp[i], comp[i] == i) for i, s in sets)
 
 
+def one_of_each(rows, k, percent):
+    """Rows that stay where the first text of each group does; texts of equal words are one."""
+    own = {}
+    for i, t in rows:
+        own.setdefault(tuple(WORD.findall(lower(t))), set()).add(i)
+    own = {w: min(i for i in ids if i is not None) for w, ids in own.items() if w and ids != {None}}
+    texts = sorted(own, key=lambda w: (own[w], w))
+    comp = {w: c for w, _, c, _ in near_duplicates([(w, " ".join(w)) for w in texts], k, percent)}
+    first = {}
+    for w in texts:
+        first.setdefault(comp[w], w)
+    stays = {(own[w], w) for w in first.values()}
+    word = lambda t: tuple(WORD.findall(lower(t)))
+    return [(i, t) for i, t in rows if i is None or not word(t) or (i, word(t)) in stays]
+
+
 def suffix_dedup(rows, length=50):
     first = {}
     data = [(i, (t or "").encode()) for i, t in rows]
