@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from ..session import work_path
 from ..sources.tables import read_table
 
-__all__ = ["read_table", "run_path", "written", "written_twice", "fold", "held_out", "WORD_SPACE"]
+__all__ = ["read_table", "run_path", "written", "written_twice", "fold", "held_out", "text_marks", "without",
+           "WORD_SPACE"]
 
 #: fixed values: the characters that separate words in every word-based contract
 WORD_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -49,3 +50,16 @@ def held_out(doc_id: Column | str) -> Column:
     """Whether a row is in the held-out fold; a null id is not, and is never learned from."""
     return F.coalesce(fold(doc_id) == 1, F.lit(False))
 
+
+
+def text_marks(text: Column) -> tuple[Column, Column]:
+    """Two hashes (m1, m2) that tell the texts of one id apart; a null text has marks of its own."""
+    here = F.when(text.isNull(), F.lit(0)).otherwise(F.lit(1))
+    return F.xxhash64(here, text).alias("m1"), F.xxhash64(here + 2, text).alias("m2")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id and text are not in ``gone`` (doc_id, m1, m2); a null id is an id like others."""
+    m1, m2 = text_marks(docs["text"])
+    same = docs["doc_id"].eqNullSafe(gone["doc_id"]) & (m1 == gone["m1"]) & (m2 == gone["m2"])
+    return docs.join(gone, same, "left_anti")

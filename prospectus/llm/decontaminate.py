@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum
-from .common import read_table, written
+from .common import read_table, text_marks, without, written
 
 MIN_SIMILARITY = 0.8
 SEED_WORDS = 5
@@ -191,7 +191,6 @@ def _match(shared):
         seeds: Seeds = shared.value
         for b in batches:
             texts = [plain(t) for t in b.column("text").to_pylist()]
-            ids = b.column("doc_id").to_pylist()
             rows = []
             for lo, hi in textnum.slices(texts):
                 h, off, _ = textnum.words(texts[lo:hi])
@@ -203,7 +202,7 @@ def _match(shared):
                     m = len(it.words)
                     if m < SHORT_ITEM:
                         if len(own) == m and (own == it.words).all():
-                            rows.append((ids[lo + d], it.item_id, 1.0, m))
+                            rows.append((lo + d, it.item_id, 1.0, m))
                         continue
                     spans = list(_windows(np.array(starts), m, len(own)))
                     if max(most_matched(it.words, own[frm:upto]) for frm, upto in spans) < m - it.edits:
@@ -213,9 +212,9 @@ def _match(shared):
                         got, at = align(it.words, own[frm:upto])
                         if got > best:
                             best, end = got, frm + at
-                    rows.append((ids[lo + d], it.item_id, best / m, end))
+                    rows.append((lo + d, it.item_id, best / m, end))
             cols = list(zip(*rows)) if rows else [[], [], [], []]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int64()),
                                               pa.array(cols[2], pa.float64()), pa.array(cols[3], pa.int64())],
                                              names=["doc_id", "item_id", "similarity", "end_word"])
 
@@ -265,6 +264,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     end_word (where that ends)."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", "text").filter("length(text) > 0")
+    schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, item_id long, similarity double, end_word long"
     found = None
     for items in _item_blocks(benchmark):
         by_n: dict[int, list[np.ndarray]] = {}
@@ -276,24 +276,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                   .toPandas())  # at most one row for each n-gram of this block of items
         count = dict(zip(counts["gram"].to_numpy(dtype=np.int64).view(np.uint64).tolist(), counts["n"].tolist()))
         seeds = spark.sparkContext.broadcast(Seeds(items, [it.seeds(count) for it in items]))
-        part = texts.mapInArrow(_match(seeds), "doc_id long, item_id long, similarity double, end_word long")
+        part = texts.mapInArrow(_match(seeds), schema)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return spark.createDataFrame([], "doc_id long, item_id long, similarity double, end_word long")
+        return spark.createDataFrame([], schema)
     return (found.groupBy("doc_id", "item_id").agg(F.max(F.struct("similarity", "end_word")).alias("m"))
             .select("doc_id", "item_id", "m.similarity", "m.end_word"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose document holds no item; a row with a null id is judged by its own text."""
-    bad = written(leaks(docs, benchmark).select("doc_id").distinct(), "leaks")
-    nulls = docs.filter("doc_id is null")
-    if nulls.isEmpty():
-        return docs.join(bad, "doc_id", "left_anti")
-    own = nulls.select(F.xxhash64("text").alias("doc_id"), "text")
-    held = written(leaks(own, benchmark).select(F.col("doc_id").alias("_held")).distinct(), "leaks")
-    return (docs.filter("doc_id is not null").join(bad, "doc_id", "left_anti").select(docs.columns)
-            .unionByName(nulls.join(held, F.xxhash64("text") == F.col("_held"), "left_anti")))
+    """The rows of ``docs`` whose own text holds no item, whatever their id."""
+    own = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id"), *text_marks(docs["text"])).alias("doc_id"), "text")
+    return without(docs, written(leaks(own, benchmark).select("doc_id.*").distinct(), "leaks"))
 
 
 def op4_decontaminate(spark, sf_dir) -> DataFrame:

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum
-from .common import read_table, written
+from .common import read_table, text_marks, without, written
 from .components import components
 
 RING = 1 << 20
@@ -152,11 +152,6 @@ def confirm(pairs: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame
     return full.mapInArrow(_confirm(k, percent), f"a {_NODE}, b {_NODE}")
 
 
-def _marked(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, m1, m2): two hashes that tell the texts of one id apart."""
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("m1"), F.xxhash64(F.lit(1), "text").alias("m2"))
-
-
 def classes_and_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text, ...) -> rows and groups.
 
@@ -165,7 +160,7 @@ def classes_and_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[
     the classes that have links, the component being its smallest class.  Everything is decided
     by classes, so that several texts of one id are compared each by itself.
     """
-    texts = _marked(docs)
+    texts = docs.select("doc_id", "text", *text_marks(F.col("text")))
     schema = "doc_id long, m1 long, m2 long, n_shingles long, h1 long, h2 long, bands array<long>"
     sketch = written(texts.mapInArrow(_sketch(k), schema), "minhash-sketch")
     classes = written(sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2")
@@ -298,9 +293,7 @@ def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     gone = (rows.filter("node is not null and doc_id is not null").join(groups.withColumnRenamed("id", "node"), "node", "left")
             .filter((F.col("node") != first) | (F.col("doc_id") != F.col("node.id")))
             .select("doc_id", "m1", "m2").distinct())
-    marked = docs.withColumns({"_m1": F.xxhash64("text"), "_m2": F.xxhash64(F.lit(1), "text")})
-    same = (marked["doc_id"] == gone["doc_id"]) & (F.col("_m1") == F.col("m1")) & (F.col("_m2") == F.col("m2"))
-    return marked.join(gone, same, "left_anti").drop("_m1", "_m2")
+    return without(docs, gone)
 
 
 def op5_minhash(spark, sf_dir) -> DataFrame:

@@ -13,8 +13,10 @@ held-out fold.
 
 Defined cases: null and empty texts have all-zero statistics and are scored like
 any other; labelled rows with null id or label are not learned from; several
-labels of one document all count; with no labelled row every score is 0.5; an
-empty table gives an empty table.
+labels of one document all count, and of several texts of an id all are learned from; with
+no labelled row every score is 0.5; repeated rows get a score each; very long texts are
+described whole, one at a time; columns beyond doc_id and text are ignored; an empty
+table gives an empty table.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textnum
-from .common import fold, held_out, read_table, written
+from .common import fold, held_out, read_table, text_marks, without, written
 
 FEATURES = 192
 RIDGE = 1e-3
@@ -115,16 +117,16 @@ def _statistics(texts: list[bytes]) -> np.ndarray:
         marked / some, _per_text(length > 25, off) / some])
 
 
-def document_statistics(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, ...) -> doc_id, stats array<double>."""
+def document_statistics(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(doc_id, text, ...) -> the columns to keep (of type long) and stats array<double>."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = statistics(b.column("text").cast(pa.binary()).to_pylist())
             flat = pa.ListArray.from_arrays(np.arange(len(s) + 1, dtype=np.int32) * len(STATS), pa.array(s.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), flat], names=["doc_id", "stats"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), flat], names=[*keep, "stats"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, stats array<double>")
+    return docs.select(*keep, "text").mapInArrow(run, "".join(f"{c} long, " for c in keep) + "stats array<double>")
 
 
 @dataclass
@@ -220,9 +222,12 @@ def fit(rows: DataFrame) -> Model:
     return model
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs (doc_id, text), labels (doc_id, quality) -> doc_id, held_out, score, predicted for every row of docs."""
-    stats = written(document_statistics(docs), "quality-stats")
+def score_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """docs (doc_id, text), labels (doc_id, quality) -> doc_id, held_out, score, predicted for every row of docs.
+
+    ``keep`` names further columns of type long to be returned.
+    """
+    stats = written(document_statistics(docs, keep), "quality-stats")
     learn = (labels.filter((fold("doc_id") != 1) & F.col("quality").isNotNull())
              .select("doc_id", F.col("quality").cast("int").alias("label")))
     model = fit(written(stats.join(learn, "doc_id").select("stats", "label"), "quality-learn"))
@@ -231,17 +236,19 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             s = shared.value.score(np.array(b.column("stats").flatten()).reshape(-1, len(STATS)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
-                                             names=["doc_id", "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
+                                             names=[*keep, "score", "predicted"])
 
-    return (stats.mapInArrow(run, "doc_id long, score double, predicted int")
-            .withColumn("held_out", held_out("doc_id")).select("doc_id", "held_out", "score", "predicted"))
+    return (stats.mapInArrow(run, "".join(f"{c} long, " for c in keep) + "score double, predicted int")
+            .withColumn("held_out", held_out("doc_id"))
+            .select("doc_id", "held_out", "score", "predicted", *(c for c in keep if c != "doc_id")))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier accepts (all rows of an id go or stay by their own texts' scores)."""
-    bad = score_documents(docs, labels).filter("predicted = 0").select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The rows of ``docs`` that the classifier accepts, each by its own text's score, whatever its id."""
+    own = docs.select("doc_id", "text", *text_marks(docs["text"]))
+    bad = score_documents(own, labels, ("doc_id", "m1", "m2")).filter("predicted = 0").select("doc_id", "m1", "m2").distinct()
+    return without(docs, bad)
 
 
 def op7_quality(spark, sf_dir) -> DataFrame:

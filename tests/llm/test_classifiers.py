@@ -79,6 +79,20 @@ def test_quality_edge_rows(spark):
     assert kept.columns == docs.columns and kept.count() == 5
 
 
+def test_rows_go_by_their_own_text(spark, sf_small):
+    docs, labels = (read_table(spark, sf_small, t) for t in ("documents", "labels"))
+    docs = docs.select("doc_id", "text")
+    text = {r.doc_id: r.text for r in docs.collect()}
+    said = {r.doc_id: r.predicted for r in quality.op7_quality(spark, sf_small).collect()}
+    good, bad = ([text[i] for i in sorted(said) if said[i] == v and text[i]][:3] for v in (1, 0))
+    more = [(i, t) for i in (None, 10**9, 10**9 + 1) for t in (*good, *bad)]
+    for rows in (more, more[::-1]):
+        kept = quality.keep_good(docs.unionByName(spark.createDataFrame(rows, docs.schema)), labels).collect()
+        new = sorted((tuple(r) for r in kept if r.doc_id not in text), key=str)
+        assert new == sorted(((i, t) for i, t in rows if t in good), key=str)
+        assert len(kept) - len(new) == sum(said.values())
+
+
 def test_statistics_by_hand():
     s = dict(zip(quality.STATS, quality.statistics([b"Ab ab, 12\nab"])[0]))
     assert s["log_words"] == np.log1p(4) and s["upper"] == 1 / 12 and s["digit"] == 2 / 12 and s["line_end"] == 1 / 12

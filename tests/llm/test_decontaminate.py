@@ -124,3 +124,11 @@ def test_leaks_in_rows_with_null_ids(spark):
     left = D.decontaminated(docs, spark.createDataFrame([(1, "a b c d e f")], ITEMS))
     assert left.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text or "") for r in left.collect()) == [(0, ""), (0, "clean words only"), (2, "z")]
+
+
+def test_rows_that_share_an_id_go_by_their_own_text(spark):
+    leak, items = "so a b c d e f g", spark.createDataFrame([(1, "a b c d e f")], ITEMS)
+    rows = [(1, leak), (1, "clean words of its own"), (1, None), (None, leak), (None, "clean too"), (2, "clean words of its own")]
+    for order in (rows, rows[::-1]):
+        left = D.decontaminated(spark.createDataFrame(order, DOCS), items).select("doc_id", "text").collect()
+        assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] != leak), key=str)
