@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import rules
-from ..functions.search import query_terms, row_tokens
+from ..functions.search import lexemes, query_terms
 
 
 def search_base(courses: DataFrame, unis: DataFrame) -> DataFrame:
@@ -22,19 +22,21 @@ def search_base(courses: DataFrame, unis: DataFrame) -> DataFrame:
             .join(u, courses.university_id == u._uid, "inner").drop("_uid"))
 
 
-def keyword_condition(q: str, literal: bool = False) -> F.Column:
-    """Q3: full-text AND-match of the query terms OR name/department ILIKE."""
-    terms = query_terms(q)
-    if terms:
-        toks = row_tokens([F.col("name"), F.col("department"), F.col("degree")])
-        fts = F.forall(F.array(*[F.lit(t) for t in terms]),
-                       lambda t: F.array_contains(toks, t))
-    else:
-        fts = F.lit(False)
+def keyword_filter(df: DataFrame, q: str, literal: bool = False, matches: DataFrame | None = None) -> DataFrame:
+    """Q3: full-text AND-match of the query terms OR name/department ILIKE.
+
+    ``matches`` holds the ids that the stored postings find for ``q``; without it the rows'
+    own texts are stemmed."""
     pat = _like_pattern(q, literal)
-    ilike = (F.coalesce(F.col("name").ilike(pat), F.lit(False))
-             | F.coalesce(F.col("department").ilike(pat), F.lit(False)))
-    return fts | ilike
+    like = (F.coalesce(F.col("name").ilike(pat), F.lit(False))
+            | F.coalesce(F.col("department").ilike(pat), F.lit(False)))
+    if matches is None:
+        own = lexemes(F.concat_ws(" ", "name", "department", "degree"))
+        found = F.forall(F.array(*[F.lit(t) for t in query_terms(q)]), lambda t: F.array_contains("_lexemes", t))
+        found = found if query_terms(q) else F.lit(False)
+        return df.withColumn("_lexemes", own).filter(like | found).drop("_lexemes")
+    hit = matches.select(F.col("id").alias("_hit"))
+    return df.join(hit, df.id == hit._hit, "left").filter(like | F.col("_hit").isNotNull()).drop("_hit")
 
 
 def _like_pattern(v: str, literal: bool = False) -> str:
@@ -46,11 +48,14 @@ def _like_pattern(v: str, literal: bool = False) -> str:
 def search_filtered(courses: DataFrame, unis: DataFrame, q: str | None = None,
                     university: str | None = None, degree: str | None = None,
                     level: str | None = None, min_fee: int | None = None,
-                    max_fee: int | None = None, literal: bool = False) -> DataFrame:
-    """Q1-Q5: the filtered search relation (before ordering and paging)."""
+                    max_fee: int | None = None, literal: bool = False,
+                    matches: DataFrame | None = None) -> DataFrame:
+    """Q1-Q5: the filtered search relation (before ordering and paging).
+
+    ``matches`` are the ids that a stored search vector finds for ``q``."""
     df = search_base(courses, unis)
     if q:
-        df = df.filter(keyword_condition(q, literal))
+        df = keyword_filter(df, q, literal, matches)
     if university:
         df = df.filter(F.col("uni_name").ilike(_like_pattern(university, literal)))
     if degree:

@@ -7,12 +7,17 @@ import hashlib
 from pyspark.sql import functions as F  # noqa: F401
 
 from ..operators import catalogue as cat
+from ..operators.fulltext import search_vector
 from ..sources import catalogue as src
+from ..streaming import postings as P
+from ..streaming.stream import run_dir
 from .oracle_base import with_catalogue
 from .registry import register
+from .report_queries import vector_ctes
 
 # Search parameters used by the registered search queries.
 Q_KEYWORD = "red"
+Q_STEMS = "The rings of reds"
 Q_UNIVERSITY = "supplier#0000000"
 Q_DEGREE = "BSc"
 Q_LEVEL = "under"
@@ -43,25 +48,32 @@ def q_search_base(spark, d):
     return cat.search_base(c, u).select("id", "name", "uni_name", "uni_location", "fee_uk_yearly")
 
 
-_TERMS_SQL = """
-list_has_all(
-  list_distinct(list_filter(
-    string_split_regex(lower(coalesce(c.name, '')), '[^a-z0-9]+')
-    || string_split_regex(lower(coalesce(c.department, '')), '[^a-z0-9]+')
-    || string_split_regex(lower(coalesce(c.degree, '')), '[^a-z0-9]+'), lambda t: t <> '')),
-  ['{term}'])"""
-
-
-@register("search_keyword", with_catalogue(f"""
+def _keyword_sql(q: str) -> str:
+    return with_catalogue(f"""
 SELECT c.id, c.name, c.department, c.degree
 FROM courses c JOIN unis u ON c.university_id = u.id
-WHERE c.is_active IS TRUE
-  AND ({_TERMS_SQL.format(term=Q_KEYWORD)}
-       OR coalesce(c.name ILIKE '%{Q_KEYWORD}%', false)
-       OR coalesce(c.department ILIKE '%{Q_KEYWORD}%', false))"""))
-def q_search_keyword(spark, d):
+WHERE c.is_active IS TRUE AND (c.id IN (SELECT id FROM found) OR coalesce(c.name ILIKE '%{q}%', false)
+                               OR coalesce(c.department ILIKE '%{q}%', false))""", extra=vector_ctes("courses", q))
+
+
+def _keyword(spark, d, q):
+    """Store the courses' search vector, then search it: only the buckets of the terms are read."""
     u, c = _cat(spark, d)
-    return cat.search_filtered(c, u, q=Q_KEYWORD).select("id", "name", "department", "degree")
+    postings = P.posting_table(spark, run_dir(spark, "postings"))
+    postings.commit(search_vector(c))
+    return (cat.search_filtered(c, u, q=q, matches=P.matching(postings, q))
+            .select("id", "name", "department", "degree"))
+
+
+@register("search_keyword", _keyword_sql(Q_KEYWORD))
+def q_search_keyword(spark, d):
+    return _keyword(spark, d, Q_KEYWORD)
+
+
+@register("search_stems", _keyword_sql(Q_STEMS))
+def q_search_stems(spark, d):
+    """Q3 where only the stems of the words meet: no name holds the query as it is written."""
+    return _keyword(spark, d, Q_STEMS)
 
 
 @register("search_filters", with_catalogue(f"""
@@ -155,12 +167,13 @@ def q_counts_desc(spark, d):
 EARLY = "1995-01-05"  # soon after the first observations: not every university has a course yet
 
 
-@register("universities_without_courses", with_catalogue("""
+@register("universities_without_courses", with_catalogue(f"""
 SELECT u.id, u.name, u.location FROM unis u
-WHERE NOT EXISTS (SELECT 1 FROM courses c WHERE c.university_id = u.id)""", before=EARLY))
+WHERE NOT EXISTS (SELECT 1 FROM courses c WHERE c.university_id = u.id AND c.created_at < TIMESTAMP '{EARLY}')"""))
 def q_universities_without_courses(spark, d):
-    """Q16 on the catalogue as it was at an early date."""
-    return cat.universities_without_courses(src.universities(spark, d), src.courses(spark, d, before=EARLY))
+    """Q16 on the courses that the whole catalogue first saw before an early date."""
+    seen = src.courses(spark, d).filter(F.col("created_at") < F.lit(EARLY).cast("timestamp_ntz"))
+    return cat.universities_without_courses(src.universities(spark, d), seen)
 
 
 @register("universities_without_kept_courses", with_catalogue("""

@@ -3,9 +3,14 @@
 import hashlib
 from decimal import Decimal as D
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from prospectus.functions import stem as S
+from prospectus.functions.stem import stem
+from prospectus.plans.stem_sql import stem_ctes
+
 from prospectus.operators import catalogue as C
 from prospectus.operators import report as R
 
@@ -57,9 +62,36 @@ def test_keyword_fulltext_or_ilike(cat):
     u, c = cat
     assert {r.id for r in C.search_filtered(c, u, q="science").collect()} == {"c1", "c2"}
     assert {r.id for r in C.search_filtered(c, u, q="comput").collect()} == {"c1", "c2"}  # ILIKE
+    assert {r.id for r in C.search_filtered(c, u, q="sciences of computers").collect()} == {"c1", "c2"}  # stems only
     assert C.search_filtered(c, u, q="the").count() == 0  # stop word only, no ILIKE hit
 
 
+def test_stems():
+    plain = {"consigned": "consign", "consistency": "consist", "consolatory": "consolatori", "conspirators": "conspir",
+             "knackeries": "knackeri", "knavish": "knavish", "knightly": "knight", "knitting": "knit", "computing": "comput",
+             "computers": "comput", "skies": "sky", "dying": "die", "news": "news", "generalization": "general",
+             "communication": "communic", "agreed": "agre", "hopping": "hop", "hoping": "hope", "flies": "fli", "ties": "tie",
+             "gas": "gas", "national": "nation", "proceed": "proceed", "by": "by", "sayyid": "sayyid", "bsc2s": "bsc2s",
+             "écoles": "écoles", "universities": "univers", "adoption": "adopt", "rational": "ration", "roll": "roll"}
+    assert {w: stem(w) for w in plain} == plain
+
+
+def test_stems_match_the_sql_rules(sf_small):
+    """The oracles' step-by-step SQL over every token of the documents and over made-up endings."""
+    ends = [*S.STEP_2, *S.STEP_3, *S.STEP_4, "s", "es", "ed", "eed", "eedly", "ing", "ingly", "ied", "ies", "e", "ll", "y"]
+    made = [a + b + e for a in ("gener", "b", "yt", "con", "tt", "oy") for b in ("", "al", "ess", "og", "iv") for e in ends]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE made AS SELECT unnest(?) AS token", [made])
+    got = con.execute(f"""WITH {stem_ctes(f"SELECT token FROM made UNION ALL SELECT unnest(string_split_regex(lower(text), "
+                      f"'[^a-z0-9]+')) FROM '{sf_small}/documents.parquet'")} SELECT token, stem FROM stems""").fetchall()
+    assert len(got) > 1500 and all(stem(t) == s for t, s in got if t)
+
+
+def test_stems_of_arrays(spark):
+    df = spark.createDataFrame([(["computing", "x"],), ([],), (["computers", "computing"],)], "t array<string>")
+    assert [r[0] for r in df.select(S.stems("t")).collect()] == [["comput", "x"], [], ["comput", "comput"]]
+
+
 def test_paging_and_bounds(cat):
     u, c = cat
     p1 = C.search(c, u, page=1, page_size=1)[0].collect()
