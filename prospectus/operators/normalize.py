@@ -43,6 +43,11 @@ def _fee(yearly: Column, sandwich: Column) -> Column:
                     F.lit(rules.CURRENCY).alias("currency"))
 
 
+def _whole(raw: DataFrame, name: str) -> Column:
+    """N2 by the column's type: an integer stays as it is, with its sign."""
+    return to_int(F.col(name), integer=isinstance(raw.schema[name].dataType, T.IntegralType))
+
+
 def _modes(raw: DataFrame) -> Column:
     dt = raw.schema["study_mode"].dataType
     if isinstance(dt, T.ArrayType):
@@ -72,8 +77,8 @@ def item_columns(raw: DataFrame, university_name: Column, university_location: C
                  _modes(raw).alias("study_mode"),
                  to_float(F.col("duration_years")).alias("duration_years"),
                  clean_str(F.col("start_month")).alias("start_month")).alias("course"),
-        F.struct(_fee(to_int(F.col("fee_uk_yearly")), to_int(F.col("fee_uk_sandwich"))).alias("uk"),
-                 _fee(to_int(F.col("fee_intl_yearly")), to_int(F.col("fee_intl_sandwich")))
+        F.struct(_fee(_whole(raw, "fee_uk_yearly"), _whole(raw, "fee_uk_sandwich")).alias("uk"),
+                 _fee(_whole(raw, "fee_intl_yearly"), _whole(raw, "fee_intl_sandwich"))
                  .alias("international")).alias("fees"),
         F.struct(clean_str(F.col("ucas_code")).alias("ucas_code"),
                  F.struct(clean_str(F.col("deadline_main")).alias("main"),

@@ -126,6 +126,19 @@ def q_search_page(spark, d):
     return page
 
 
+# the page before the last one, of all active courses
+@register("search_deep_page", with_catalogue(f"""
+, listed AS ({_LIST_SQL}),
+placed AS (SELECT *, row_number() OVER (ORDER BY name NULLS FIRST, id) - 1 AS place, count(*) OVER () AS total FROM listed)
+SELECT * EXCLUDE (place, total) FROM placed WHERE place // {Q_PAGE_SIZE} = greatest(total // {Q_PAGE_SIZE} - 1, 0)
+""".replace("\n, listed", "listed", 1)).replace("\nlisted AS", ",\nlisted AS", 1))
+def q_search_deep_page(spark, d):
+    u, c = _cat(spark, d)
+    found = cat.search_filtered(c, u)
+    total = cat.search_total(found).first().total
+    return cat.deep_page(found, max(total // Q_PAGE_SIZE, 1), Q_PAGE_SIZE, range_rows=1_000)
+
+
 @register("university_list", with_catalogue("""
 SELECT u.id, u.name, u.location, u.website, count(c.id) AS course_count
 FROM unis u LEFT JOIN courses c ON c.university_id = u.id

@@ -325,7 +325,7 @@ def q_fill_gaps(spark, d):
     # items and fillers come from the same course rows: one catalogue computation
     rows = course_rows(spark, d)
     items = _items(spark, d, rows)
-    fillers = markdown_fields(markdown_pages(spark, d, rows), keep=["url"])
+    fillers = markdown_fields(Q.flagged_only(markdown_pages(spark, d, rows), items), keep=["url"])
     filled = Q.fill_gaps(items, fillers)
     return filled.select("url", F.col("course.name").alias("name"),
                          F.col("course.degree").alias("degree"),
@@ -536,9 +536,9 @@ FROM unis u LEFT JOIN base_u ON base_u.uname = u.name
 WHERE b_uid IS NOT NULL OR u.id IN (SELECT university_id FROM merged WHERE seen)
 UNION ALL
 SELECT 'details', sha256('details:' || cid), cid, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-       CASE WHEN seen THEN coalesce(e_description, e_entry)
+       CASE WHEN seen AND e_entry IS NOT NULL THEN {_clean('e_entry')}
             ELSE concat_ws(' ', name, 'is a', degree, 'course taught by', department) END
-FROM merged WHERE level <> 'research'""", extra=EXPECTED_CTE + f""",
+FROM merged WHERE level <> 'research' AND (b_created IS NOT NULL OR e_entry IS NOT NULL)""", extra=EXPECTED_CTE + f""",
 base_u AS (SELECT u.name AS uname, {old.format('u.id')} AS b_uid
            FROM unis u JOIN supplier s ON s.s_suppkey = u.supplier_key WHERE s.s_acctbal >= 0),
 base_f AS (SELECT l_partkey AS b_part, l_suppkey AS b_supp, min(l_shipdate) AS b_created,
@@ -564,7 +564,7 @@ def q_pages_to_catalogue(spark, d):
     from .pipeline import accepted_items, handed_over, pages_to_items, upsert_tables
     pages, rows = _chain_pages(spark, d)
     items, _bad = pages_to_items(pages, SCRAPED_AT)
-    fillers = markdown_fields(markdown_pages(spark, d, rows), keep=["url"])
+    fillers = markdown_fields(Q.flagged_only(markdown_pages(spark, d, rows), items), keep=["url"])
     accepted, _rejects = accepted_items(items, fillers)
     unis, courses, details = upsert_tables(handed_over(accepted, "items"), *_stored(spark, d), RUN_TS)
     null = lambda t: F.lit(None).cast(t)

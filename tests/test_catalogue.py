@@ -1,6 +1,7 @@
 """Catalogue queries on a tiny fixture (the reference's API cases) and on sf0.001."""
 
 import hashlib
+import re
 from decimal import Decimal as D
 
 import duckdb
@@ -132,29 +133,77 @@ def test_total_line_is_independent_count(cat):
     assert any("N/A" in x for x in lines)
 
 
+def test_numbers_over_many_ranges(spark):
+    df = spark.range(5000).selectExpr("id % 7 as course_count", "cast(id % 1000 as string) name", "cast(id as string) id",
+                                      "'x' location").repartition(9)
+    order = [F.col("course_count").desc(), F.col("name"), F.col("id"), F.col("location")]
+    got, _ = R.numbered(df, order)
+    rows = sorted(got.collect(), key=lambda r: r.line_no)
+    assert [r.line_no for r in rows] == list(range(1, 5001))
+    assert [(-r.course_count, r.name, r.id) for r in rows] == sorted((-(i % 7), str(i % 1000), str(i)) for i in range(5000))
+
+
+def test_summary_is_planned_without_jobs_and_counts_once(spark, cat):
+    u, c = cat
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plan-summary", "")
+    lines = R.summary_lines(u, c)
+    assert not tracker.getJobIdsForGroup("plan-summary")
+    spark.sparkContext.setJobGroup("", "")
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "RDD" not in plan.replace("Scan ExistingRDD", "")
+    empty = [r.line for r in R.summary_lines(u.limit(0), c.limit(0)).orderBy("line_no").collect()]
+    assert len(empty) == 11 and empty[0] == "🎓 Total Universities: 0" and empty[9].endswith("0")
+
+
 def test_detail_falls_back_to_raw_json(spark, cat):
     u, c = cat
-    raw = ('{"course": {"name": "Computer Science", "start_month": "October", "study_mode": ["part-time"]},'
-           ' "fees": {"uk": {"yearly": 1}}, "metadata": {"scraped_at": "2024-01-01T00:00:00"}}')
-    cc = (c.withColumn("raw_json", F.when(F.col("id") == "c3", F.lit(raw)).otherwise(F.lit("not json")))
-          .withColumn("start_month", F.lit(None).cast("string"))
+    raw = ('{"course": {"name": "Computer Science", "start_month": "October", "study_mode": ["part-time", "distance"]},'
+           ' "fees": {"uk": {"yearly": 1}}, "admission": {"english_requirement": {"ielts": 6.5}},'
+           ' "metadata": {"scraped_at": "2024-01-01T00:00:00"}}')
+    text_modes = '{"course": {"study_mode": "distance,part-time"}, "fees": null}'
+    cc = (c.withColumn("raw_json", F.when(F.col("id") == "c3", F.lit(raw)).when(F.col("id") == "c2", F.lit(text_modes))
+                       .when(F.col("id") == "c1", F.lit("[1]")).otherwise(F.lit("not json")))
+          .withColumn("start_month", F.when(F.col("id") == "c3", F.lit("")))
+          .withColumn("study_mode", F.when(F.col("id") == "c1", F.col("study_mode")).when(F.col("id") == "c2", F.lit("")))
           .withColumn("deadline_main", F.lit(None).cast("string"))
           .withColumn("deadline_late", F.lit(None).cast("string"))
           .withColumn("fee_uk_sandwich", F.lit(None).cast("bigint"))
           .withColumn("fee_intl_sandwich", F.lit(None).cast("bigint"))
-          .withColumn("ielts_score", F.lit(None).cast("decimal(3,1)"))
+          .withColumn("ielts_score", F.lit(0).cast("decimal(3,1)"))
           .withColumn("scraped_at", F.lit(None).cast("timestamp_ntz")))
     details = spark.createDataFrame([("d1", "c1", "desc", "AAA")],
                                     "id string, course_id string, description string, entry_requirements string")
-    d = {r.id: r for r in R.course_detail(cc, u, details).collect()}
-    assert d["c3"].start_month == "October"          # column null -> raw
-    assert d["c3"].fee_uk_yearly == 1                # null column -> raw value
-    assert d["c3"].duration_years is None            # 0 falls through; raw has none
-    assert d["c3"].scraped_at == "2024-01-01T00:00:00"
-    assert d["c1"].entry_requirements == "AAA" and d["c1"].study_mode == "full-time"
-    assert d["c4"].university_name == "Unknown"      # missing university
-    one = R.course_detail(cc, u, details, course_id="c2").collect()
-    assert len(one) == 1 and R.course_detail(cc, u, details, course_id="zz").count() == 0
+    record = R.course_record(cc, u, details)
+    assert record.columns == ["id", "university", "course", "fees", "admission", "metadata"]
+    d = {r.id: r for r in record.collect()}
+    assert d["c3"].course.start_month == "October"         # column '' -> raw
+    assert d["c3"].course.study_mode == ["part-time", "distance"]
+    assert d["c3"].fees.uk.yearly == 1 and d["c3"].fees.uk.currency == d["c3"].fees.international.currency == "GBP"
+    assert d["c3"].course.duration_years is None           # 0 falls through; raw has none
+    assert d["c3"].admission.english_requirement.ielts == 6.5
+    assert d["c3"].metadata.scraped_at == "2024-01-01T00:00:00" and d["c1"].metadata.scraped_at == ""
+    assert d["c2"].course.study_mode == ["distance", "part-time"]  # stored as text
+    assert d["c1"].admission.entry_requirements == "AAA" and d["c1"].course.study_mode == ["full-time"]
+    assert d["c4"].university == ("Unknown", None)          # missing university, stored text is no JSON
+    assert d["c4"].course.study_mode == ["full-time"]
+    one = R.course_record(cc, u, details, course_id="c2").collect()
+    assert len(one) == 1 and R.course_record(cc, u, details, course_id="zz").count() == 0
+
+
+def test_deep_pages_are_those_of_a_plain_sort(spark, cat):
+    u, _ = cat
+    rows = [(f"i{i:04d}", "u1", None if i % 50 == 0 else f"n{i % 90}", "BSc", "ug", "x", None, "full-time", D("1.0"), 1, 2, f"u{i}", True)
+            for i in range(1500)]
+    found = C.search_filtered(spark.createDataFrame(rows, COURSE_COLS).repartition(5), u)
+    want = sorted(((r[2] is not None, r[2] or "", r[0]) for r in rows))
+    for page in (1, 2, 5, 74, 75, 76, 90):
+        got = [(r.name is not None, r.name or "", r.id) for r in C.deep_page(found, page, 20, range_rows=100).collect()]
+        assert got == want[(page - 1) * 20:page * 20]
+    assert C.deep_page(found.limit(0), 3).count() == 0
+    plan = C.deep_page(found, 74, 20, range_rows=100)._jdf.queryExecution().executedPlan().toString()
+    top = [int(x) for x in re.findall(r"TakeOrderedAndProject\(limit=(\d+)", plan)]
+    assert top and max(top) < 200  # nothing like the 1460 rows before the page
 
 
 def test_export_file_names(spark):
@@ -173,14 +222,23 @@ def test_export_and_summary_writers(spark, cat):
     import os
     from prospectus.session import work_path
     u, c = cat
+    c = c.withColumn("raw_json", F.concat(F.lit('{"id": "'), F.col("id"), F.lit('"}')))
     out = work_path(spark, "test-export")
     R.write_export(R.export_rows(u, c), out)
     folders = sorted(d for d in os.listdir(out) if d.startswith("file_stem="))
     assert folders == ["file_stem=Empty College", "file_stem=Test University"]
-    back = spark.read.json(out)
+    back = R.read_export(spark, out)
+    assert back.columns == ["file_stem", *R.EXPORT_FIELDS]
     assert back.filter("file_stem = 'Test University'").count() == 3
-    assert back.filter("file_stem = 'Empty College'").count() == 0
-    assert back.filter("source_url IS NULL").count() == 0
+    assert R.read_export(spark, out, "Empty College").count() == 0
+    assert {r.raw_json for r in R.read_export(spark, out, "Test University").collect()} == {f'{{"id": "c{i}"}}' for i in (1, 2, 3)}
+    # a university's files follow its size
+    many = R.export_rows(u, c.filter("id = 'c1'").withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(1000))))
+                         .withColumn("source_url", F.concat("source_url", F.col("n").cast("string"))).repartition(11))
+    R.write_export(many, out + "-many", rows_per_file=250)
+    files = lambda stem: len([f for f in os.listdir(f"{out}-many/file_stem={stem}") if f.endswith(".txt")])
+    assert files("Empty College") == 1 and 2 <= files("Test University") <= 4
+    assert R.read_export(spark, out + "-many").count() == 1000
     path = work_path(spark, "test-summary")
     R.write_summary(R.summary_lines(u, c), path)
     text = [r.value for r in spark.read.text(path).collect()]
