@@ -19,8 +19,9 @@ Defined cases: null role and text count as empty; rows of a conversation are
 ordered by turn (null first), then role and text; repeated rows are turns of
 their own; rows with a null conv_id form one conversation; columns beyond a
 layout's own are ignored; an empty table gives an empty table; a JSON record of
-unknown layout has null turns and is not formatted.  A conversation is one
-string, so its turns meet in one task.
+unknown layout has null turns, is not formatted, and is returned by ``rejected_json``; a
+record's layout is told by all elements of its list, and an empty list has no turns.  Texts
+are taken whole, however long.  A conversation is one string, so its turns meet in one task.
 """
 
 from __future__ import annotations
@@ -123,14 +124,20 @@ def _under(keys: Column, parent: str) -> Column:
 
 
 def json_paths(record: Column) -> Column:
-    """Sorted field paths of a JSON record that layouts know, two levels deep."""
-    top = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
+    """Sorted field paths of a JSON record that layouts know, two levels deep, over all elements of its lists.
+
+    An empty list counts as one of a layout's elements: a conversation without turns."""
+    none = F.array().cast("array<string>")
+    top = F.coalesce(F.json_object_keys(record), none)
     flat = F.filter(top, lambda k: k.isin(sorted(p for p in _KNOWN if "[" not in p)))
     nested = []
     for p in sorted({p.split("[")[0] for p in _KNOWN if "[" in p}):
-        keys = F.coalesce(F.json_object_keys(F.get_json_object(record, f"$.{p}[0]")), F.array().cast("array<string>"))
-        nested.append(F.filter(_under(keys, p), lambda k: k.isin(sorted(_KNOWN))))
-    return F.array_sort(F.concat(flat, *nested))
+        elements = F.from_json(F.get_json_object(record, f"$.{p}"), "array<string>")
+        keys = F.flatten(F.transform(elements, lambda e: F.coalesce(F.json_object_keys(e), none)))
+        known = F.array(*[F.lit(k) for k in sorted(_KNOWN) if k.startswith(p + "[]")])
+        under = F.filter(_under(keys, p), lambda k: k.isin(sorted(_KNOWN)))
+        nested.append(F.when(F.size(elements) == 0, known).otherwise(F.coalesce(under, none)))
+    return F.array_sort(F.array_distinct(F.concat(flat, *nested)))
 
 
 def canonical_turns_json(df: DataFrame, record: str, conv_id: str = "conv_id") -> DataFrame:
@@ -145,6 +152,13 @@ def canonical_turns_json(df: DataFrame, record: str, conv_id: str = "conv_id") -
             .select(F.col(conv_id).alias("conv_id"), "fingerprint", turns.alias("turns")))
 
 
+def rejected_json(df: DataFrame, record: str, conv_id: str = "conv_id") -> DataFrame:
+    """Records of no known layout, which ``format_turns`` leaves out: (conv_id, fingerprint, record)."""
+    turns = canonical_turns_json(df.withColumn("_id", F.struct(F.col(conv_id), F.col(record))), record, "_id")
+    return turns.filter("turns is null").select(F.col(f"conv_id.{conv_id}").alias("conv_id"), "fingerprint",
+                                                F.col(f"conv_id.{record}").alias("record"))
+
+
 def _replace(col: Column, old: str, new: str) -> Column:
     return F.replace(col, F.lit(old), F.lit(new))
 

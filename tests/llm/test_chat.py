@@ -55,6 +55,18 @@ def test_json_records_of_mixed_layouts(spark):
     assert all([(t.role, t.text) for t in got[i].turns] == [("user", q), ("assistant", a)] for i in got)
 
 
+def test_lists_are_read_to_their_end(spark):
+    records = [{"messages": [{"role": "user"}, {"role": "assistant", "content": "yo"}]}, {"messages": []},
+               {"messages": [{"content": "no role"}]}, {"messages": [{}, 3, None]}, {"messages": "text"},
+               {"messages": [{"role": "user", "content": "x" * 300_000}] * 3}]
+    df = spark.createDataFrame([(i, json.dumps(r), 5) for i, r in enumerate(records)], "conv_id long, record string, turns int")
+    got = back(chat.canonical_turns_json(df, "record"))
+    assert [(t.role, t.text) for t in got[0].turns] == [("user", ""), ("assistant", "yo")]
+    assert got[1].turns == [] and got[1].formatted == "" and len(got[5].turns[2].text) == 300_000
+    out = {r.conv_id: r.record for r in chat.rejected_json(df, "record").collect()}
+    assert set(out) == {2, 3, 4} and json.loads(out[2]) == records[2] and set(got) | set(out) == set(range(6))
+
+
 def test_nulls_ties_empty_table_and_extra_columns(spark):
     rows = [(1, 0, None, None, 5), (1, 0, "assistant", None, 6), (1, None, "user", "first", 7), (None, 0, "user", "n", 8), (1, 0, None, None, 5)]
     got = back(chat.canonical_turns(spark.createDataFrame(rows, ROWS + ", formatted int")))
