@@ -157,8 +157,11 @@ def pattern_totals(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     t = docs.select(words.alias("w")).filter("size(w) > 2")
     pair = F.explode(F.expr("transform(sequence(1, size(w) - 2), i -> xxhash64(element_at(w, i), element_at(w, i + 1)))"))
     small = wanted.count() <= BROADCAST_PATTERNS
-    pairs = t.select(pair.alias("pattern")).join(F.broadcast(wanted) if small else wanted, "pattern", "left_semi")
-    return pairs.groupBy("pattern").agg(F.count("*").alias("total"))
+    pairs = t.select(pair.alias("pattern"))
+    if small:
+        return pairs.join(F.broadcast(wanted), "pattern", "left_semi").groupBy("pattern").agg(F.count("*").alias("total"))
+    # each task adds up its pairs before they are shuffled, and one row a pair meets the wanted ones
+    return pairs.groupBy("pattern").agg(F.count("*").alias("total")).join(wanted, "pattern", "left_semi")
 
 
 def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
@@ -192,8 +195,9 @@ def discover(docs: DataFrame, found: DataFrame) -> DataFrame:
     for _ in range(ROUNDS):
         known = graph.join(belief, "instance")
         patterns = written(known.groupBy("pattern").agg(
-            (F.sum(F.col("n") * F.col("belief")) / F.first("total")).alias("confidence"),
-            F.count(F.when(F.col("belief") >= 0.5, 1)).alias("instances"), F.mode("kind").alias("kind")), "pii-patterns")
+            # rounded, as sums of doubles depend on their order
+            F.round(F.sum(F.col("n") * F.col("belief")) / F.max("total"), 9).alias("confidence"),
+            F.count(F.when(F.col("belief") >= 0.5, 1)).alias("instances"), F.mode("kind", True).alias("kind")), "pii-patterns")
         usable = patterns.withColumn("confidence", F.when(F.col("instances") >= MIN_SEEDS, F.least("confidence", F.lit(0.999)))
                                      .otherwise(0.0))
         by = graph.select("pattern", "instance").join(usable.select("pattern", "confidence"), "pattern")
