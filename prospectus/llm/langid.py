@@ -17,7 +17,7 @@ empty table gives an empty table.
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,8 +30,8 @@ BUCKETS = 1 << 17
 ORDERS = (1, 2, 3)
 #: added to each bucket's count
 SMOOTHING = 0.1
-#: languages up to which the dense model is broadcast (1 MB each); more is an error
-MAX_LANGUAGES = 256
+#: languages of one model, which is broadcast (1 MB each); more languages take more passes
+BLOCK_LANGUAGES = 256
 SLICE_CHARS = 1 << 20
 
 _letters: np.ndarray | None = None
@@ -103,34 +103,45 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                           pa.array(c[at], pa.int64())], names=["lang", "bucket", "n"])
 
 
-def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(text, lang) of all learning rows -> (languages, log probabilities by bucket and language)."""
+def train(rows: DataFrame) -> Iterator[tuple[list[str], np.ndarray]]:
+    """(text, lang) of all learning rows -> blocks of (languages, log probabilities by bucket and language).
+
+    Languages come in order, at most ``BLOCK_LANGUAGES`` a block."""
     counts = (rows.select("text", "lang").filter("lang is not null and text is not null")
               .mapInArrow(_count, "lang string, bucket int, n long")
               .groupBy("lang", "bucket").agg(F.sum("n").alias("n")))
     # at most BUCKETS rows a language, whatever the number of documents
     counts = written(counts, "langid-counts")
-    by_lang = counts.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c"))
-    names = sorted(r[0] for r in counts.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    model = np.full((BUCKETS, len(names)), SMOOTHING)
-    for r in by_lang.toLocalIterator():
-        at = np.array([(x[0], x[1]) for x in r["c"]], dtype=np.int64)
-        model[at[:, 0], names.index(r["lang"])] += at[:, 1]
-    return names, np.log(model) - np.log(model.sum(axis=0, keepdims=True))
+    after = F.lit(True)
+    while True:
+        names = [r[0] for r in counts.filter(after).select("lang").distinct().orderBy("lang").limit(BLOCK_LANGUAGES).collect()]
+        if not names:
+            return
+        own = counts.filter((F.col("lang") >= names[0]) & (F.col("lang") <= names[-1]))
+        at = {lang: j for j, lang in enumerate(names)}
+        model = np.full((BUCKETS, len(names)), SMOOTHING)
+        for r in own.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("c")).toLocalIterator():
+            c = np.array([(x[0], x[1]) for x in r["c"]], dtype=np.int64)
+            model[c[:, 0], at[r["lang"]]] += c[:, 1]
+        yield names, np.log(model) - np.log(model.sum(axis=0, keepdims=True))
+        after = F.col("lang") > names[-1]
+
 
+_JUDGED = "doc_id long, lang_pred string, top double, total double"
 
-def predict(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
-    """docs (doc_id, text, ...) -> doc_id, lang_pred, score (posterior of the predicted language, flat prior)."""
-    shared = docs.sparkSession.sparkContext.broadcast((names, model))
+
+def _judge(shared, carry: bool):
+    """The best language so far of each text, its log probability, and the sum of all probabilities over it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, model = shared.value
         for b in batches:
             texts = b.column("text").to_pylist()
-            pred, score = ["und"] * len(texts), np.zeros(len(texts))
-            for part in _slices(texts) if names else ():
+            if "top" in b.schema.names:
+                pred, top, total = (b.column(c).to_pylist() for c in ("lang_pred", "top", "total"))
+            else:
+                pred, top, total = ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
+            for part in _slices(texts):
                 codes, ends = _codes([texts[i] for i in part])
                 logp = np.zeros((len(part), len(names)))
                 seen = np.zeros(len(part), dtype=bool)
@@ -142,20 +153,43 @@ def predict(docs: DataFrame, names: list[str], model: np.ndarray) -> DataFrame:
                     for j in range(len(names)):
                         logp[:, j] += np.add.reduceat(np.where(ok, model[bucket, j], 0.0), ends[:-1])
                 best = logp.argmax(axis=1)
-                post = 1.0 / np.exp(logp - logp.max(axis=1, keepdims=True)).sum(axis=1)
+                high = logp.max(axis=1)
+                over = np.exp(logp - high[:, None]).sum(axis=1)
                 for k, i in enumerate(part):
-                    if seen[k]:
-                        pred[i], score[i] = names[best[k]], post[k]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(pred, pa.string()),
-                                              pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+                    if not seen[k]:
+                        continue
+                    if total[i] and top[i] >= high[k]:  # an earlier block's language stays on ties
+                        total[i] += over[k] * np.exp(high[k] - top[i])
+                    else:
+                        total[i] = over[k] + (total[i] * np.exp(top[i] - high[k]) if total[i] else 0.0)
+                        pred[i], top[i] = names[best[k]], high[k]
+            cols = [b.column("doc_id"), pa.array(pred, pa.string()), pa.array(top, pa.float64()), pa.array(total, pa.float64())]
+            yield pa.RecordBatch.from_arrays(cols + ([b.column("text")] if carry else []),
+                                             names=["doc_id", "lang_pred", "top", "total"] + (["text"] if carry else []))
+
+    return run
+
+
+def predict(docs: DataFrame, blocks: Iterable[tuple[list[str], np.ndarray]]) -> DataFrame:
+    """docs (doc_id, text, ...) -> doc_id, lang_pred, score (posterior of the predicted language, flat prior).
+
+    One pass for each block of languages; what a pass finds goes on with the texts to the next."""
+    spark, rows, blocks = docs.sparkSession, docs.select("doc_id", "text"), iter(blocks)
+    block = next(blocks, None)
+    if block is None:
+        return rows.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    while block is not None:
+        shared, block = spark.sparkContext.broadcast(block), next(blocks, None)
+        rows = rows.mapInArrow(_judge(shared, block is not None), _JUDGED + (", text string" if block is not None else ""))
+        if block is not None:
+            rows = written(rows, "langid-judged")
+    score = F.when(F.col("total") > 0, 1 / F.col("total")).otherwise(0.0)
+    return rows.select("doc_id", "lang_pred", score.alias("score"))
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the learning fold of ``docs`` (doc_id, text, lang) and predict every row."""
-    names, model = train(docs.filter(fold("doc_id") != 1))
-    return predict(docs, names, model).withColumn("held_out", held_out("doc_id"))
+    return predict(docs, train(docs.filter(fold("doc_id") != 1))).withColumn("held_out", held_out("doc_id"))
 
 
 def op9_langid(spark, sf_dir) -> DataFrame:

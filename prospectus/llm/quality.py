@@ -235,7 +235,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s = shared.value.score(np.array(b.column("stats").flatten()).reshape(-1, len(STATS)))
+            # rounded, as the model's sums depend on the order in which Spark adds them
+            s = np.round(shared.value.score(np.array(b.column("stats").flatten()).reshape(-1, len(STATS))), 9)
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s), pa.array((s >= 0.5).astype(np.int32))],
                                              names=[*keep, "score", "predicted"])
 

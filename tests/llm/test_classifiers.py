@@ -33,7 +33,7 @@ def test_languages_of_held_out_rows(spark):
 def test_scores_match_a_plain_naive_bayes(spark):
     rng = random.Random(2)
     rows = [(i, text(rng, lang, 6), lang) for i in range(30) for lang in [rng.choice(list(ALPHABET))]]
-    names, model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    (names, model), = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
     counts = np.full((langid.BUCKETS, len(names)), langid.SMOOTHING)
     for _, t, lang in rows:
         for n in langid.ORDERS:
@@ -43,6 +43,19 @@ def test_scores_match_a_plain_naive_bayes(spark):
     assert np.allclose(model, np.log(counts / counts.sum(0)))
 
 
+def test_blocks_of_languages_give_the_same(spark, monkeypatch):
+    rng = random.Random(3)
+    langs = [f"x{c}" for c in "abcdefg"]
+    rows = [(i, "".join(rng.choice("abcdefg"[k:k + 4] + " ") for _ in range(30)), lang)
+            for i in range(80) for k, lang in [rng.choice(list(enumerate(langs)))]] + [(90, "12", "xa"), (91, None, None), (92, "aaa", "same"), (93, "aaa", "samf")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = lambda: sorted((r.doc_id, r.lang_pred, round(r.score, 9)) for r in langid.identify(df).collect())
+    whole = found()
+    for n in (1, 3):
+        monkeypatch.setattr(langid, "BLOCK_LANGUAGES", n)
+        assert found() == whole
+
+
 def test_no_learning_rows_and_empty_tables(spark):
     schema = "doc_id long, text string, lang string, score double"
     assert langid.identify(spark.createDataFrame([], schema)).count() == 0
