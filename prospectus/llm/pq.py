@@ -20,9 +20,15 @@ met from both sides; each group knows the lists that both probe and counts a pai
 for the far side only if the far side won't meet it.
 
 Equal vectors form a class that stands for them.  Defined cases: null, empty and
-zero vectors and those with null or non-finite components or another length than
-the commonest link with nothing; rows that repeat an id are vectors of their own
-in counts but share the id's component; an empty table gives an empty table.
+zero vectors and those with null or non-finite components link with nothing; vectors of
+different lengths have no cosine and an index of their own for each length; rows that
+repeat an id are vectors of their own in counts but share the id's component; a cosine
+of exactly the threshold links; other columns than id and vector are ignored; an empty
+table gives an empty table.
+
+Probes are a fixed number, and lists end at ``MAX_LISTS``: beyond about a million vectors
+of one length lists grow with the table, the work of a list with its square, and recall
+is not measured there.
 """
 
 from __future__ import annotations
@@ -33,6 +39,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import read_table, written, written_twice
 from .components import components
@@ -134,7 +141,7 @@ def _blob(col: pa.ChunkedArray, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(col.to_pylist()), dtype=dtype).reshape(-1, width)
 
 
-def _group(shared, dim: int, min_cosine: float):
+def _group(shared, dim: int, kind: type, min_cosine: float):
     def run(members: pa.Table, queries: pa.Table) -> pa.Table:
         none = pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
         if not len(members) or not len(queries):
@@ -144,8 +151,8 @@ def _group(shared, dim: int, min_cosine: float):
         reach = np.sqrt(2 - 2 * min_cosine) + 1e-9
         m_id, q_id = members["id"].to_numpy(), queries["id"].to_numpy()
         m_w, q_w = members["w"].to_numpy(), queries["w"].to_numpy()
-        m_x = unit(_blob(members["x"], np.float32, dim), dim)
-        q_x = unit(_blob(queries["x"], np.float32, dim), dim)
+        m_x = unit(_blob(members["x"], kind, dim), dim)
+        q_x = unit(_blob(queries["x"], kind, dim), dim)
         codes = _blob(members["codes"], np.uint8, len(index.parts))
         err = members["err"].to_numpy()
         m_probes = _blob(members["probes"], np.int32, width)
@@ -184,28 +191,46 @@ def _group(shared, dim: int, min_cosine: float):
 
 
 def near_vectors(vectors: DataFrame, min_cosine: float = 0.9) -> DataFrame:
-    """vectors (vec_id, embedding array<float>) -> vec_id, n_links, component_id, kept; one row per row."""
-    v = vectors.select("vec_id", F.col("embedding").cast("array<float>").alias("x"))
-    dims = v.filter("size(x) > 0").groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = dims["d"] if dims else 0
-    fine = F.expr(f"size(x) = {dim} and forall(x, c -> c is not null and not isnan(c) and abs(c) < float('infinity')) "
+    """vectors (vec_id, embedding array<float or double>) -> vec_id, n_links, component_id, kept; one row per row."""
+    double = vectors.schema["embedding"].dataType.elementType == T.DoubleType()
+    number = "double" if double else "float"
+    v = vectors.select("vec_id", F.col("embedding").cast(f"array<{number}>").alias("x"))
+    fine = F.expr(f"forall(x, c -> c is not null and not isnan(c) and abs(c) < {number}('infinity')) "
                   "and exists(x, c -> c != 0) and vec_id is not null")
     v = written(v.withColumn("ok", F.coalesce(fine, F.lit(False)))
-                .withColumn("key", F.when(F.col("ok"), F.sha2(F.array_join(F.expr("transform(x, c -> cast(c + 0.0f as string))"),
-                                                                           ","), 256))), "pq-vectors")
-    classes = v.filter("ok").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("w"), F.any_value("x").alias("x"))
+                .withColumn("key", F.when(F.col("ok"), F.sha2(F.array_join(F.expr(
+                    f"transform(x, c -> cast(c + {number}(0) as string))"), ","), 256))), "pq-vectors")
+    classes = (v.filter("ok").groupBy("key").agg(F.min("vec_id").alias("id"), F.count("*").alias("w"), F.any_value("x").alias("x"))
+               .withColumn("dim", F.size("x")))
     classes = written(classes, "pq-classes")
-    n = classes.count()
-    if not n:
+    # an index for each length, as vectors of different lengths have no cosine
+    met = None
+    for dim, n in sorted(tuple(r) for r in classes.groupBy("dim").count().collect()):
+        own = _met(classes.filter(F.col("dim") == dim), dim, n, np.float64 if double else np.float32, min_cosine)
+        met = own if met is None else met.unionByName(own)
+    if met is None:
         return v.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                         F.lit(True).alias("kept"))
+    counts = met.filter("a = b").groupBy(F.col("a").alias("id"), "dim").agg(F.sum("n").alias("n"))
+    found = components(met.filter("a != b").select("a", "b"), "pq-components")
+    by_class = (classes.select("key", "id", "dim", "w").join(counts, ["id", "dim"], "left").join(found, "id", "left")
+                .select("key", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n"),
+                        F.coalesce("component", "id").alias("c")))
+    out = v.join(by_class, "key", "left")
+    comp = F.coalesce("c", "vec_id")
+    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"),
+                      F.coalesce(F.col("vec_id") == comp, F.lit(True)).alias("kept"))
+
+
+def _met(classes: DataFrame, dim: int, n: int, kind: type, min_cosine: float) -> DataFrame:
+    """Links among the ``n`` classes of one length: (a, b, n, dim), a = b for numbers of links."""
     sample = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("x").toArrow()
     index = Index(unit(np.array(sample["x"].combine_chunks().flatten()), dim), n)
-    shared = v.sparkSession.sparkContext.broadcast(index)
+    shared = classes.sparkSession.sparkContext.broadcast(index)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.array(b.column("x").flatten(), dtype=np.float32).reshape(-1, dim)
+            x = np.array(b.column("x").flatten(), dtype=kind).reshape(-1, dim)
             probes, codes, err = shared.value.encode(unit(x, dim))
             lists = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * probes.shape[1], pa.array(probes.ravel()))
             yield pa.RecordBatch.from_arrays(
@@ -228,17 +253,8 @@ def near_vectors(vectors: DataFrame, min_cosine: float = 0.9) -> DataFrame:
                .withColumn("m", F.explode(F.expr("sequence(0, mb - 1)")))
                .select("list", "m", "q", "id", "w", "x", "probes"))
     keys = ["list", "m", "q"]
-    met = written(members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(
-        _group(shared, dim, min_cosine), "a long, b long, n long"), "pq-met")
-    counts = met.filter("a = b").groupBy(F.col("a").alias("id")).agg(F.sum("n").alias("n"))
-    found = components(met.filter("a != b").select("a", "b"), "pq-components")
-    by_class = (classes.select("key", "id", "w").join(counts, "id", "left").join(found, "id", "left")
-                .select("key", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n"),
-                        F.coalesce("component", "id").alias("c")))
-    out = v.join(by_class, "key", "left")
-    comp = F.coalesce("c", "vec_id")
-    return out.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), comp.alias("component_id"),
-                      F.coalesce(F.col("vec_id") == comp, F.lit(True)).alias("kept"))
+    return written(members.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(
+        _group(shared, dim, kind, min_cosine), "a long, b long, n long").withColumn("dim", F.lit(dim)), "pq-met")
 
 
 def op10_vectors(spark, sf_dir) -> DataFrame:

@@ -7,17 +7,13 @@ from prospectus.sources.tables import read_table
 SCHEMA = "vec_id long, embedding array<float>"
 
 
-def brute(rows, least=0.9):
-    ok, x = [], []
-    dims = [len(v) for _, v in rows if v]
-    dim = max(set(dims), key=lambda d: (dims.count(d), -d)) if dims else 0
-    for k, (_, v) in enumerate(rows):
-        if v and len(v) == dim and all(c is not None and np.isfinite(c) for c in v) and any(v):
-            ok.append(k)
-            x.append(np.array(v, dtype=np.float32).astype(float))
+def brute(rows, least=0.9, kind=np.float32):
+    """Vectors of each length among themselves."""
     n, links = [0] * len(rows), []
-    if ok:
-        x = np.array(x)
+    fine = lambda v: v and all(c is not None and np.isfinite(c) for c in v) and any(v)
+    for dim in {len(v) for _, v in rows if fine(v)}:
+        ok = [k for k, (_, v) in enumerate(rows) if fine(v) and len(v) == dim]
+        x = np.array([rows[k][1] for k in ok], dtype=kind).astype(float)
         x /= np.sqrt((x**2).sum(1, keepdims=True))
         for i, j in zip(*np.nonzero(x @ x.T >= least)):
             if i != j:
@@ -53,6 +49,17 @@ def test_odd_vectors_link_with_nothing(spark):
     assert run(spark, rows) == sorted(brute(rows))
 
 
+def test_each_length_by_itself_and_doubles(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (2, [1.0, 0.1, 0.0]), (3, [0.0, 0.0, 1.0]), (4, [1.0] * 4), (5, [1.0] * 4), (6, [1.0, 1.0, 1.0, 0.9]),
+            (7, [2.0]), (8, [-1.0]), (9, [0.5])]
+    assert run(spark, rows) == sorted(brute(rows))
+    assert [r[1] for r in run(spark, rows)] == [1, 1, 0, 2, 2, 2, 1, 0, 1]
+    # 0.9 is missed by less than a float can tell
+    near = [(1, [1.0, 0.0]), (2, [0.9, float(np.sqrt(1 - 0.81) + 3e-9)]), (3, [0.9, float(np.sqrt(1 - 0.81) - 3e-9)])]
+    schema = "vec_id long, embedding array<double>"
+    assert run(spark, near, schema) == sorted(brute(near, kind=np.float64)) and run(spark, near, schema)[0][1] == 1
+
+
 def test_empty_table_and_extra_columns(spark):
     assert run(spark, []) == []
     rows = [(4, [1.0, 1.0], "a", 1), (4, [1.0, 1.0], "b", 2), (2, [1.0, 1.01], None, 3)]
