@@ -22,9 +22,13 @@ and none needs the whole text.  A task sends each minimizer, and each run of
 bytes, once: a passage shared by a third of all documents reaches its group once
 per batch of documents, and its other copies are decided where they are.
 
+Only minimizers with several distinct runs are sorted; equal runs are known as byte strings
+before that, within a batch and within a group.
+
 Defined cases: a null text is empty; shorter texts than a window stay; rows that
 repeat an id with other texts never remove each other; rows with a null id stay
-whole and remove nothing; an empty table gives an empty table.
+whole and remove nothing; very long texts are taken whole; columns beyond doc_id and text
+are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -48,6 +52,8 @@ GROUP_BYTES = 2 << 20
 SORT_BYTES = 1 << 18
 #: input bytes per part in which answers are gathered by row
 PART_BYTES = 8 << 20
+#: hexadecimal digits of a text's hash that name it
+KEY_DIGITS = 15
 _ODD = 0x9E3779B97F4A7C15
 
 
@@ -430,7 +436,8 @@ def _cut(length: int):
     return run
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_text: bool = False) -> DataFrame:
+def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_text: bool = False,
+                   key_digits: int = KEY_DIGITS) -> DataFrame:
     """docs (doc_id, text, ...) -> doc_id, n_bytes, n_removed, n_spans, kept_sha256, one row per row.
 
     With ``keep_text`` also ``kept``, the remaining bytes of rows that lost some but not all.
@@ -440,13 +447,24 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     narrow = written(all_rows.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes")), "suffix-rows")
     classes = written(narrow.filter("doc_id is not null").groupBy("sha").agg(F.min("doc_id").alias("least"),
                                                                              F.max("n_bytes").alias("size")), "suffix-classes")
-    # 63 bits of the class's hash name its text: a positive number, never 0
-    key = F.greatest(F.conv(F.substring("sha", 1, 15), 16, 10).cast("long"), F.lit(1).cast("long"))
+    # 60 bits of its hash name a text; texts that share them have numbers of their own
+    key = F.greatest(F.conv(F.substring("sha", 1, key_digits), 16, 10).cast("long"), F.lit(1).cast("long"))
+    alike = classes.groupBy(key.alias("name")).agg(F.count("*").alias("n")).filter("n > 1")
+    clashes = written(classes.select("sha", key.alias("name")).join(alike, "name")
+                      .select("sha", (-1 - F.monotonically_increasing_id()).alias("own")), "suffix-clashes")
+    n_clashes = clashes.count()
+
+    def with_row(df: DataFrame) -> DataFrame:
+        if not n_clashes:
+            return df.withColumn("row", key)
+        few = F.broadcast(clashes) if n_clashes <= 200_000 else clashes
+        return df.join(few, "sha", "left").withColumn("row", F.coalesce("own", key)).drop("own")
+
     copies = written(narrow.join(classes.select("sha", "least"), "sha").filter("doc_id > least").select("doc_id", "sha").distinct(),
                      "suffix-copies")
     few = F.broadcast(copies) if copies.count() <= 200_000 else copies
     long_rows = all_rows.filter((F.octet_length("text") >= length) & F.col("doc_id").isNotNull())
-    reps = long_rows.join(few, ["doc_id", "sha"], "left_anti").select(key.alias("row"), "doc_id", "text")
+    reps = with_row(long_rows.join(few, ["doc_id", "sha"], "left_anti")).select("row", "doc_id", "text")
     spark = docs.sparkSession
     size = classes.agg(F.sum("size")).first()[0] or 0
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // GROUP_BYTES))
@@ -462,7 +480,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     schema = "row long, n_removed long, n_spans long, kept binary, sha string"
     done = cut_rows.dropDuplicates(["row"]).join(gone, "row").mapInArrow(_cut(length), schema)
     done = written(done if keep_text else done.drop("kept"), "suffix-cut")
-    out = (narrow.join(classes.select("sha", "least"), "sha", "left").withColumn("row", key)
+    out = (with_row(narrow.join(classes.select("sha", "least"), "sha", "left"))
            .join(done.withColumnRenamed("sha", "cut_sha"), "row", "left"))
     whole = F.coalesce((F.col("doc_id") > F.col("least")) & (F.col("n_bytes") >= length), F.lit(False))
     mine = F.coalesce((F.col("doc_id") == F.col("least")) & F.col("n_removed").isNotNull(), F.lit(False))

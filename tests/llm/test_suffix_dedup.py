@@ -87,3 +87,12 @@ def test_kept_text(spark):
 def test_table(spark, sf_small):
     rows = [(r.doc_id, r.text) for r in read_table(spark, sf_small, "documents").collect()]
     assert sorted(map(tuple, S.op2_suffix_dedup(spark, sf_small).collect())) == brute(rows)
+
+
+def test_texts_that_share_the_bits_of_their_names(spark):
+    rng = random.Random(15)
+    parts = ["".join(rng.choice("abcdef ") for _ in range(60)) for _ in range(8)]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randrange(1, 4))) + str(i)) for i in range(40)] + [(50, None), (51, "short")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, S.repeated_spans(df, key_digits=1).collect()))
+    assert got == brute(rows)
