@@ -40,6 +40,26 @@ def word_count(text: Column) -> Column:
     return F.length(F.regexp_replace(left, f"[^{_SET}]++[{_SET}]*+", "x")).cast("long")
 
 
+def _beside(df: DataFrame, row: DataFrame) -> DataFrame:
+    """``df`` with the columns of a one-row table."""
+    return df.withColumn("_k", F.lit(1)).join(F.broadcast(row.withColumn("_k", F.lit(1))), "_k").drop("_k")
+
+
+def _running(df: DataFrame, order: list[Column], cols: list[str]) -> DataFrame:
+    """``df`` with ``<c>_before``, the sum of each column over the rows before a row in ``order``.
+
+    Rows are put in ranges; sums run inside a range, after those of the ranges before it, one
+    row a range."""
+    ranged = written(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "mix-ranges")
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    ends = ranged.groupBy("_range").agg(*[F.sum(c).alias(c) for c in cols])
+    ends = ends.select("_range", *[F.coalesce(F.sum(c).over(earlier(Window.orderBy("_range"))), F.lit(0)).alias(f"_{c}_at")
+                                   for c in cols])
+    inside = earlier(Window.partitionBy("_range").orderBy(*order))
+    sums = {f"{c}_before": F.col(f"_{c}_at") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in cols}
+    return ranged.join(F.broadcast(ends), "_range").withColumns(sums).drop("_range", *[f"_{c}_at" for c in cols])
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = MAX_REPEAT,
                    seed: str = SEED) -> DataFrame:
     """(source, source_size) -> with target, rate and offset; one row per source.
@@ -51,18 +71,15 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     remain after each prefix of capped sources.
     """
     w = F.array(*[F.lit(x) for x in weights])
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    by_cap = Window.orderBy((F.col("_cap") / F.col("_w")), F.col("source").asc_nulls_last())
-    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
-    after = by_cap.rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    everything = Window.partitionBy()
-    t = (sizes.withColumn("_w", F.element_at(w, F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1))
-         .withColumn("_cap", F.col("source_size") * cap)
-         .withColumn("_all", F.sum("source_size").over(everything))
-         .withColumn("_share", (F.col("_all") - F.coalesce(F.sum("_cap").over(before), F.lit(0)))
-                     / F.sum("_w").over(after).cast("double"))
-         .withColumn("_top", F.max("_share").over(everything))
-         .withColumn("target", F.least(F.col("_cap").cast("double"), F.col("_top") * F.col("_w"))))
+    by_name = [F.col("source").asc_nulls_last()]
+    t = (_running(sizes.withColumn("_one", F.lit(1)), by_name, ["_one"])
+         .withColumn("_w", F.element_at(w, F.pmod(F.col("_one_before"), F.lit(len(weights))).cast("int") + 1))
+         .withColumn("_cap", F.col("source_size") * cap).select("source", "source_size", "_w", "_cap"))
+    t = written(_running(t, [(F.col("_cap") / F.col("_w")).asc(), *by_name], ["_cap", "_w"]), "mix-running")
+    whole = t.agg(F.sum("source_size").alias("_all"), F.sum("_w").alias("_weights"))  # one row
+    share = (F.col("_all") - F.col("_cap_before")) / (F.col("_weights") - F.col("_w_before")).cast("double")
+    whole = _beside(t, whole).agg(F.max(share).alias("_top"))
+    t = _beside(t, whole).withColumn("target", F.least(F.col("_cap").cast("double"), F.col("_top") * F.col("_w")))
     offset = F.conv(F.substring(F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n")))
                                       .cast("binary")), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
@@ -97,12 +114,12 @@ def mix_ranks(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: int = M
     blocks = written(keyed.groupBy("source", "size", "block").agg(F.sum("n").alias("rows")), "mix-blocks")
     levels = written(blocks.groupBy("source", "size").agg(F.sum("rows").alias("rows")), "mix-levels")
     sizes = levels.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"))
-    targets = source_targets(sizes, weights, cap, seed)
+    targets = written(source_targets(sizes, weights, cap, seed), "mix-targets")
     upto = lambda keys, *order: (Window.partitionBy(*keys).orderBy(*order)
                                  .rowsBetween(Window.unboundedPreceding, -1))
     level_at = levels.select("source", "size", F.coalesce(F.sum("rows").over(
         upto(["source"], F.col("size").desc())), F.lit(0)).alias("level_at"))
-    level_at = written(_null_safe(level_at, F.broadcast(targets), ["source"]), "mix-level-at")
+    level_at = written(_null_safe(level_at, _small(targets), ["source"]), "mix-level-at")
     block_at = blocks.select("source", "size", "block", F.coalesce(F.sum("rows").over(
         upto(["source", "size"], F.col("block").asc_nulls_first())), F.lit(0)).alias("block_at"))
     inside = keyed.withColumn("inside", F.coalesce(F.sum("n").over(
