@@ -21,7 +21,9 @@ speech and match only documents that consist of them.
 
 Defined cases: null and empty texts and items without words match nothing; null
 doc_ids are reported as null; rows that repeat an id are reported once per item with
-the best alignment; equal items are reported each; empty tables give an empty table.
+the best alignment; equal items are reported each; of equally good alignments the one
+that ends last is reported; long texts and items are taken whole; other columns than ids
+and texts are ignored; empty tables give an empty table.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ MIN_SIMILARITY = 0.8
 SEED_WORDS = 5
 SHORT_ITEM = 5
 ITEM_WORDS = 500_000
+#: seeds chosen at once
+STRETCH = 2000
 MATCH, MISMATCH, GAP = 2, 1, 1
 _FILTER_BITS = 22
 
@@ -80,22 +84,30 @@ class Item:
         return min(SEED_WORDS, len(self.words) // (self.edits + 1))
 
     def seeds(self, count: dict[int, int]) -> list[tuple[int, int]]:
-        """(hash, offset) of the e + 1 disjoint n-grams of the least total count."""
+        """(hash, offset) of e + 1 disjoint n-grams, of the least total count in each stretch of ``STRETCH`` seeds.
+
+        Seed j lies j * n words after the start plus a shift, and shifts do not fall; so the best
+        shifts follow from cumulative minima over an array of the words left over, once a seed.
+        Any choice of disjoint n-grams finds the same leaks; rare ones find them with fewer hits."""
         g = [int(x) for x in grams(self.words, self.n)]
         need, n = self.edits + 1, self.n
-        # best[k][i]: least (count, ...) for k n-grams among positions i and later
-        inf = float("inf")
-        best = [[0.0] * (len(g) + n + 1)] + [[inf] * (len(g) + n + 1) for _ in range(need)]
-        for k in range(1, need + 1):
-            for i in range(len(g) - 1, -1, -1):
-                best[k][i] = min(best[k][i + 1], 1 + count.get(g[i], 0) + best[k - 1][i + n])
-        out, i = [], 0
-        for k in range(need, 0, -1):
-            while best[k][i] == best[k][i + 1]:
-                i += 1
-            out.append((g[i], i))
-            i += n
-        return out
+        cost = np.array([1 + count.get(x, 0) for x in g], dtype=np.int64)
+        out, spare = [], len(self.words) - need * n
+        for lo in range(0, need, STRETCH):
+            k = min(STRETCH, need - lo)
+            first, last = (x * spare // need for x in (lo, lo + k))  # this stretch's share of the words left over
+            shifts, total, better = last - first + 1, None, []
+            for j in range(k):
+                at = first + (lo + j) * n
+                total = cost[at:at + shifts] + (0 if total is None else np.minimum.accumulate(total))
+                low = np.minimum.accumulate(total)
+                better.append(np.packbits(np.append(True, low[1:] < low[:-1])))
+            s = shifts - 1
+            for j in range(k - 1, -1, -1):  # the last place up to s where the minimum fell
+                s = int(np.flatnonzero(np.unpackbits(better[j], count=shifts)[:s + 1])[-1])
+                i = first + (lo + j) * n + s
+                out.append((g[i], i))
+        return out[::-1] if need <= STRETCH else sorted(out, key=lambda x: x[1])
 
 
 class Seeds:

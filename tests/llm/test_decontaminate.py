@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from prospectus.llm import decontaminate as D
 from prospectus.sources.tables import read_table
 
@@ -132,3 +134,32 @@ def test_rows_that_share_an_id_go_by_their_own_text(spark):
     for order in (rows, rows[::-1]):
         left = D.decontaminated(spark.createDataFrame(order, DOCS), items).select("doc_id", "text").collect()
         assert sorted(map(tuple, left), key=str) == sorted((r for r in rows if r[1] != leak), key=str)
+
+
+def test_seeds_are_disjoint_and_the_rarest():
+    rng = np.random.default_rng(4)
+
+    def least(g, need, n, count):
+        best = [[0] * (len(g) + n + 1)] + [[float("inf")] * (len(g) + n + 1) for _ in range(need)]
+        for k in range(1, need + 1):
+            for i in range(len(g) - 1, -1, -1):
+                best[k][i] = min(best[k][i + 1], 1 + count[g[i]] + best[k - 1][i + n])
+        return best[need][0]
+
+    for m in (5, 6, 9, 10, 11, 25, 26, 60, 101):
+        it = D.Item(0, rng.integers(0, 6, m).astype(np.uint64))
+        g = [int(x) for x in D.grams(it.words, it.n)]
+        count = {x: int(rng.integers(0, 50)) for x in g}
+        seeds = it.seeds(count)
+        assert len(seeds) == it.edits + 1 and all(g[i] == h for h, i in seeds)
+        assert all(b[1] - a[1] >= it.n for a, b in zip(seeds, seeds[1:]))
+        assert sum(1 + count[h] for h, _ in seeds) == least(g, it.edits + 1, it.n, count)
+    long = D.Item(0, rng.integers(0, 2**60, 50_000).astype(np.uint64)).seeds({})  # several stretches
+    assert len(long) == 10_001 and all(b[1] - a[1] >= 4 for a, b in zip(long, long[1:]))
+
+
+def test_a_very_long_item(spark):
+    words = [f"w{i}" for i in range(6000)]
+    copy = [w if i % 7 else "other" for i, w in enumerate(words)]
+    got = run(spark, [(1, "before " + " ".join(copy) + " after"), (2, " ".join(words[:3000]))], [(5, " ".join(words))])
+    assert [r[:2] for r in got] == [(1, 5)]
