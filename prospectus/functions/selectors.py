@@ -134,25 +134,75 @@ def first_index_sql(spec: dict) -> str:
             f"{x} -> {x} IS NOT NULL), 1)")
 
 
+def _rule_map(index: dict[str, list[int]]) -> str:
+    return "map(" + ", ".join(f"{lit(key)}, array({', '.join(map(str, ks))})" for key, ks in index.items()) + ")"
+
+
+def _only(spec: dict, key: str) -> bool:
+    return set(spec) == {key}
+
+
 def all_matches_sql(rule_lists: list[list]) -> str:
-    """One pass over the elements for every rule of every field.  Rules are
-    numbered globally in the given order; an element that passes no cheap
-    guard builds nothing.  Result: array of (i, k = matched rule numbers)."""
-    e, i, x = var("e"), var("i"), var("x")
-    flat = [spec for rules in rule_lists for _css, spec in rules]
-    guards = sorted({_cheap_guard(spec, e) for spec in flat})
-    any_guard = "true" if "true" in guards else " OR ".join(f"({g})" for g in guards)
-    arms = ", ".join(f"CASE WHEN {_cheap_guard(spec, e)} AND {predicate_sql(spec, e, i)} THEN {k} END"
-                     for k, spec in enumerate(flat))
+    """One pass over the elements for every rule of every field.
+
+    Rules are numbered globally in the given order and indexed by what an element must have: its
+    tag, its id or one of its class tokens names the few rules it may match, which are looked up
+    instead of tested.  Rules on a part of the class attribute are tried only where a single
+    pattern of all such parts occurs.  Result: array of (i, k = matched rule numbers)."""
+    e, i, x, c = var("e"), var("i"), var("x"), var("c")
+    flat = list(enumerate(spec for rules in rule_lists for _css, spec in rules))
+    by_tag: dict[str, list[int]] = {}
+    by_id: dict[str, list[int]] = {}
+    by_class: dict[str, list[int]] = {}
+    like, other = [], []
+    for k, spec in flat:
+        if "tag" in spec or "dt" in spec:
+            by_tag.setdefault(spec.get("tag", "dd"), []).append(k)
+        elif _only(spec, "id"):
+            by_id.setdefault(spec["id"], []).append(k)
+        elif _only(spec, "class_eq"):
+            by_class.setdefault(spec["class_eq"], []).append(k)
+        elif _only(spec, "class_like"):
+            like.append(k)
+        else:
+            other.append(k)
+    specs = dict(flat)
+    arms = lambda ks: "array_compact(array(" + ", ".join(
+        f"CASE WHEN {predicate_sql(specs[k], e, i)} THEN {k} END" for k in ks) + "))"
+    parts, guards = [], []
+    if by_tag:
+        guards.append(f"{e}.tag IN ({', '.join(lit(t) for t in by_tag)})")
+        parts.append(f"CASE {e}.tag " + " ".join(f"WHEN {lit(t)} THEN {arms(ks)}" for t, ks in by_tag.items()) + " END")
+    if by_id:
+        guards.append(f"{e}.id IS NOT NULL")
+        parts.append(f"CASE WHEN {e}.id IS NOT NULL THEN try_element_at({_rule_map(by_id)}, {e}.id) END")
+    if by_class or like:
+        guards.append(f"{e}.cls IS NOT NULL")
+    if by_class:
+        found = f"transform({_class_tokens(e)}, {c} -> try_element_at({_rule_map(by_class)}, {c}))"
+        parts.append(f"CASE WHEN {e}.cls IS NOT NULL THEN flatten(array_compact({found})) END")
+    if like:
+        words = "|".join(dict.fromkeys(specs[k]["class_like"] for k in like))
+        parts.append(f"CASE WHEN {e}.cls RLIKE {lit(words)} THEN {arms(like)} END")
+    for k in other:
+        guards.append(_cheap_guard(specs[k], e) if "attr" not in specs[k] else predicate_sql(specs[k], e, i))
+        parts.append(f"CASE WHEN {predicate_sql(specs[k], e, i)} THEN array({k}) END")
+    none = "cast(array() AS array<int>)"
+    any_guard = " OR ".join(f"({g})" for g in guards)
     return (f"filter(transform(elems, ({e}, {i}) -> CASE WHEN {any_guard} THEN "
-            f"named_struct('i', {i}, 'k', array_compact(array({arms}))) END), "
+            f"named_struct('i', {i}, 'k', concat({', '.join(f'coalesce({p}, {none})' for p in parts)})) END), "
             f"{x} -> {x} IS NOT NULL AND size({x}.k) > 0)")
 
 
-def first_index_from_matches_sql(matches_col: str, k: int) -> str:
+def match_lists_sql(matches_col: str) -> tuple[str, str]:
+    """Matches as two flat arrays in document order: rule numbers and the elements that match them."""
     x = var("x")
-    return f"try_element_at(filter({matches_col}, {x} -> array_contains({x}.k, {k})), 1).i"
+    return f"flatten({matches_col}.k)", f"flatten(transform({matches_col}, {x} -> array_repeat({x}.i, size({x}.k))))"
+
 
+def first_index_from_lists_sql(rules_col: str, elems_col: str, k: int) -> str:
+    """First element that matches rule k: a search of a short array of numbers, no lambda."""
+    return f"try_element_at({elems_col}, cast(nullif(array_position({rules_col}, {k}), 0) AS int))"
 
 
 def text_of_index_sql(ix: str) -> str:
@@ -215,10 +265,24 @@ def meta_map(entries_col: str = "_meta") -> Column:
         f"{later} -> {later}.key = {m}.key)))")
 
 
-def node_scan(node_pattern: str, parent_sep: str, parent_strip: bool, value_sql) -> str:
-    """Text nodes (any kind) matching ``node_pattern`` -> ``value_sql(parent_text)``,
+def nodes_like_sql(pattern: str) -> str:
+    """The text nodes (any kind) that hold ``pattern``."""
+    t = var("t")
+    return f"filter(texts, {t} -> {t}.text RLIKE {lit(pattern)})"
+
+
+def node_scan(node_pattern: str, parent_sep: str, parent_strip: bool, value_sql, nodes: str = "texts") -> str:
+    """Text nodes of ``nodes`` matching ``node_pattern`` -> ``value_sql(parent_text)``,
     in document order, as an array expression."""
     t = var("t")
-    nodes = f"filter(texts, {t} -> {t}.text RLIKE {lit(node_pattern)})"
     u = var("t")
-    return f"transform({nodes}, {u} -> {value_sql(parent_text_sql(u + '.parent', parent_sep, parent_strip))})"
+    return (f"transform(filter({nodes}, {t} -> {t}.text RLIKE {lit(node_pattern)}), "
+            f"{u} -> {value_sql(parent_text_sql(u + '.parent', parent_sep, parent_strip))})")
+
+
+def first_node_value(node_pattern: str, parent_sep: str, parent_strip: bool, value_sql, nodes: str = "texts") -> str:
+    """The first non-null ``value_sql(parent_text)`` over the nodes matching ``node_pattern``; parents after it are not read."""
+    t, acc, u = var("t"), var("a"), var("t")
+    value = value_sql(parent_text_sql(u + ".parent", parent_sep, parent_strip))
+    return (f"aggregate(filter({nodes}, {t} -> {t}.text RLIKE {lit(node_pattern)}), cast(NULL AS string), "
+            f"({acc}, {u}) -> coalesce({acc}, {value}))")

@@ -29,6 +29,8 @@ R = rules.SELECTOR_RULES
 MAX_CHARS = {"description": rules.DESCRIPTION_MAX_CHARS,
              "entry_requirements": rules.ENTRY_REQUIREMENTS_MAX_CHARS}
 ARRAYS = ["elems", "texts"]
+#: any of the words whose text nodes E7, E14 and E15 look for; one pass finds the few nodes of all three
+NODE_WORDS = "(?iU)UCAS|late|clearing|IELTS"
 
 
 def stage_inputs(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -38,19 +40,21 @@ def stage_inputs(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
     s1 = parsed.select(*keep, *ARRAYS, "parse_error",
                        F.expr(S.all_matches_sql(list(R.values()))).alias("_m"),
                        S.first_tag_index("title").alias("_ix_title"),
-                       S.meta_entries().alias("_meta"))
-    # rule k's first element: the first match entry holding k (a small array)
+                       S.meta_entries().alias("_meta"), F.expr(S.nodes_like_sql(NODE_WORDS)).alias("_nodes"))
+    numbers, at = S.match_lists_sql("_m")
+    s1 = s1.select(*keep, *ARRAYS, "parse_error", "_ix_title", "_meta", "_nodes", F.expr(numbers).alias("_k"), F.expr(at).alias("_i"))
+    # rule k's first element
     ix_cols, offset = [], 0
     for field, rs in R.items():
         for k in range(len(rs)):
-            ix_cols.append(F.expr(S.first_index_from_matches_sql("_m", offset + k))
+            ix_cols.append(F.expr(S.first_index_from_lists_sql("_k", "_i", offset + k))
                            .alias(f"_ix_{field}_{k}"))
         offset += len(rs)
-    s1 = s1.select(*keep, *ARRAYS, "parse_error", "_ix_title", "_meta", *ix_cols)
+    s1 = s1.select(*keep, *ARRAYS, "parse_error", "_ix_title", "_meta", "_nodes", *ix_cols)
     txt_cols = [S.first_text_of([f"_ix_{field}_{k}" for k in range(len(rs))],
                                 MAX_CHARS.get(field, rules.DEFAULT_MAX_CHARS)).alias(f"_txt_{field}")
                 for field, rs in R.items()]
-    return s1.select(*keep, *ARRAYS, "parse_error", "_meta", *txt_cols,
+    return s1.select(*keep, *ARRAYS, "parse_error", "_meta", "_nodes", *txt_cols,
                      S.elem_text("_ix_title", "", False).alias("_title"),
                      S.doc_text("\n", False).alias("_page_text"))
 
@@ -109,11 +113,10 @@ def extract_ucas() -> Column:
     mentions UCAS whose parent text holds a code."""
     meta = nullif_empty(_meta(rules.META_UCAS_KEY))
     text = _txt("ucas_code")
-    pat = S.lit(UCAS_RE)
-    codes = S.node_scan(r"(?iU)\bUCAS\b", "", False,
-                        lambda p: f"CASE WHEN {p} RLIKE {pat} THEN regexp_extract({p}, {pat}, 1) END")
-    first_code = F.expr(f"try_element_at(filter({codes}, c -> c IS NOT NULL), 1)")
-    return F.coalesce(meta, F.when(text.isNotNull(), pattern_group(text, UCAS_RE)), first_code)
+    # the group is never empty, so '' means no match
+    code = S.first_node_value(r"(?iU)\bUCAS\b", "", False,
+                              lambda p: f"nullif(regexp_extract({p}, {S.lit(UCAS_RE)}, 1), '')", "_nodes")
+    return F.coalesce(meta, F.when(text.isNotNull(), pattern_group(text, UCAS_RE)), F.expr(code))
 
 
 def extract_study_mode() -> Column:
@@ -156,17 +159,21 @@ def extract_deadline_main() -> Column:
 
 def extract_deadline_late() -> Column:
     """First node mentioning late/clearing whose parent text has 4 digits."""
-    texts = S.node_scan("(?i)late|clearing", "", True, lambda p: p)
     year = S.lit(r"(?U)\d{4}")
-    return F.expr(f"substring(try_element_at(filter({texts}, s -> s RLIKE {year}), 1), 1, "
-                  f"{rules.DEADLINE_LATE_MAX_CHARS})")
+    s = S.var("s")
+    text = S.first_node_value("(?i)late|clearing", "", True,
+                              lambda p: f"try_element_at(filter(array({p}), {s} -> {s} RLIKE {year}), 1)", "_nodes")
+    return F.expr(f"substring({text}, 1, {rules.DEADLINE_LATE_MAX_CHARS})")
 
 
 def extract_ielts() -> Column:
-    """The parent texts of all IELTS nodes, then the first score."""
-    parts = S.node_scan("(?i)IELTS", "", False, lambda p: f"concat(' ', {p})")
-    pool = F.expr(f"array_join({parts}, '')")
-    return pattern_group(pool, r"(?iU)IELTS[^\d]*(\d+\.?\d*)").try_cast("double")
+    """The parent texts of all IELTS nodes, then the first score.
+
+    A score in the first text is the first of all; only without one the others are read."""
+    first = F.expr(S.first_node_value("(?i)IELTS", "", False, lambda p: f"concat(' ', {p})", "_nodes"))
+    parts = S.node_scan("(?i)IELTS", "", False, lambda p: f"concat(' ', {p})", "_nodes")
+    score = lambda text: pattern_group(text, r"(?iU)IELTS[^\d]*(\d+\.?\d*)")
+    return F.coalesce(score(first), score(F.expr(f"array_join({parts}, '')"))).try_cast("double")
 
 
 def extract_description() -> Column:
