@@ -130,6 +130,8 @@ SELECT url, key, value FROM (
   FROM expected e JOIN courses c ON c.source_url = e.url JOIN unis u ON u.id = c.university_id
   WHERE e.p_type IN ('STANDARD', 'MEDIUM')
   UNION ALL
+  SELECT url, 'twitter:title' AS key, name || ' | Share' AS value FROM expected WHERE p_type = 'SMALL'
+  UNION ALL
   SELECT url, 'programme:ucas_code' AS key, ucas_code AS value
   FROM expected WHERE p_type = 'ECONOMY' AND ucas_code IS NOT NULL
 )"""))

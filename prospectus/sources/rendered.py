@@ -39,6 +39,9 @@ def render_html(r=F.col) -> F.Column:
     og = F.when(ptype.isin("STANDARD", "MEDIUM"), F.concat(
         F.lit('<meta property="og:title" content="'), name, F.lit(" | "),
         r("university_name"), F.lit('">')))
+    # a key that stands twice (the later one counts), and pages with the other title key only
+    old = F.when(ptype == "MEDIUM", F.lit('<meta property="og:title" content="Before | it moved">'))
+    twitter = F.when(ptype == "SMALL", F.concat(F.lit('<meta name="twitter:title" content="'), name, F.lit(' | Share">')))
     ucas_meta = F.when((ptype == "ECONOMY") & r("ucas_code").isNotNull(), F.concat(
         F.lit('<meta name="programme:ucas_code" content="'), r("ucas_code"), F.lit('">')))
     course_type = F.when(ptype != "PROMO", F.concat(
@@ -61,7 +64,7 @@ def render_html(r=F.col) -> F.Column:
         F.lit("<section><h2>Entry requirements</h2><p>"), r("entry_requirements"),
         F.lit("</p></section>")))
     pieces = [
-        F.lit("<!DOCTYPE html><html><head><title>"), title, F.lit("</title>"), og, ucas_meta,
+        F.lit("<!DOCTYPE html><html><head><title>"), title, F.lit("</title>"), old, og, twitter, ucas_meta,
         F.lit('</head><body><div class="programme-header"><h1 class="course-title">'), name,
         F.lit("</h1></div>"), course_type,
         F.concat(F.lit('<div class="study-level">'), r("level"), F.lit("</div>")),
