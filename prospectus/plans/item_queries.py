@@ -418,23 +418,36 @@ last_in AS (
 )"""
 
 
+#: what a later observation lacks becomes null in the stored row
+_LOST = ("degree", "level", "department", "ucas_code", "duration_years", "start_month", "fee_uk_sandwich",
+         "fee_intl_yearly", "fee_intl_sandwich", "deadline_main", "deadline_late", "ielts_score")
+_UPSERTED = [c for c in U.COURSE_COLUMNS if c != "raw_json"]
+
+
+def upserted_columns(courses):
+    """Every column of the courses; of the stored item its name and url."""
+    stored = lambda path: F.get_json_object("raw_json", path)
+    return courses.select(*_UPSERTED, stored("$.course.name").alias("raw_name"), stored("$.metadata.url").alias("raw_url"))
+
+
 @register("upsert_courses", with_catalogue(f"""
 SELECT coalesce(b.id, sha256(i.url)) AS id, coalesce(b.source_url, i.url) AS source_url,
        coalesce(b.university_id, sha256(i.uni_name)) AS university_id,
        CASE WHEN i.url IS NOT NULL THEN i.name ELSE b.name END AS name,
        CASE WHEN i.url IS NOT NULL THEN i.fee_uk_yearly ELSE b.fee_uk_yearly END AS fee_uk_yearly,
-       CASE WHEN i.url IS NOT NULL THEN NULL ELSE b.degree END AS degree,
+       CASE WHEN i.url IS NOT NULL THEN 'full-time' ELSE b.study_mode END AS study_mode,
+       {', '.join(f'CASE WHEN i.url IS NULL THEN b.{c} END AS {c}' for c in _LOST)},
        coalesce(b.is_active, true) AS is_active,
        coalesce(b.created_at, TIMESTAMP '{RUN_TS}') AS created_at,
-       CASE WHEN i.url IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE b.updated_at END AS updated_at
+       CASE WHEN i.url IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE b.updated_at END AS updated_at,
+       CASE WHEN i.url IS NOT NULL THEN TIMESTAMP '{RUN_TS}' ELSE b.scraped_at END AS scraped_at,
+       i.name AS raw_name, i.url AS raw_url
 FROM courses b FULL OUTER JOIN last_in i ON b.source_url = i.url""",
     extra=_LATER_SQL, before=CUTOFF))
 def q_upsert_courses(spark, d):
     base = cat.courses(spark, d, before=CUTOFF)
     rows = U.course_rows_from_items(_later_items(spark, d), seq="seq", run_ts=RUN_TS)
-    out = U.upsert_courses(base, rows)
-    return out.select("id", "source_url", "university_id", "name", "fee_uk_yearly", "degree",
-                      "is_active", "created_at", "updated_at")
+    return upserted_columns(U.upsert_courses(base, rows))
 
 
 @register("upsert_universities", with_catalogue(f"""
