@@ -52,6 +52,8 @@ GROUP_BYTES = 2 << 20
 SORT_BYTES = 1 << 18
 #: input bytes per part in which answers are gathered by row
 PART_BYTES = 8 << 20
+#: bytes of a batch looked at together: a minimizer is sent once for each
+SLICE_BYTES = 1 << 21
 #: hexadecimal digits of a text's hash that name it
 KEY_DIGITS = 15
 _ODD = 0x9E3779B97F4A7C15
@@ -203,7 +205,7 @@ def _send_minimizers(buckets: int, length: int):
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             rows = b.column("row").to_numpy(zero_copy_only=False)
-            for lo, hi in textnum.slices(texts):
+            for lo, hi in textnum.slices(texts, SLICE_BYTES):
                 doc, h, _, _ = runs(texts[lo:hi], length)
                 order = np.lexsort((doc, h))
                 doc, h = doc[order], h[order]
@@ -306,7 +308,7 @@ def _send_runs(buckets: int, length: int):
             texts = b.column("text").cast(pa.binary()).to_pylist()
             rows, ids, known = (b.column(c).to_pylist() for c in ("row", "doc_id", "hashes"))
             found = []  # (id, row, minimizer, start, bytes)
-            for lo, hi in textnum.slices(texts):
+            for lo, hi in textnum.slices(texts, SLICE_BYTES):
                 doc, h, first, last = runs(texts[lo:hi], length)
                 at_doc = np.searchsorted(doc, np.arange(hi - lo + 1))
                 for d in range(hi - lo):

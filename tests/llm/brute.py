@@ -116,3 +116,58 @@ def personal_data(text):
         "card": [m.span() for m in CARD.finditer(text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))],
         "phone": [m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15],
     }
+
+
+def added_spans(rows, rounds=3, min_confidence=0.6, min_seeds=3):
+    """{row number: {(kind, start, end)}} that contexts add, by dictionaries over all texts."""
+    import regex
+
+    kinds = ("email", "ip", "card", "phone")
+    edges, totals, near = [], {}, {}
+    for r, (_, t) in enumerate(rows):
+        text, base = t or "", personal_data(t)
+        words = list(WORD.finditer(text))
+        low = [m[0].lower() for m in words]
+        for i in range(2, len(words)):
+            pair = (low[i - 2], low[i - 1])
+            totals[pair] = totals.get(pair, 0) + 1
+            if re.search("[0-9@]", text):
+                near[pair] = near.get(pair, 0) + 1
+            a, b = words[i].span()
+            core = regex.search(r"[\p{L}0-9+](?s:.*[\p{L}0-9])?", words[i][0])
+            if re.search("[0-9@]", words[i][0]) and core and re.search(r"[^+]", core[0]):
+                start = a + core.start()
+                here = [k for k in kinds if any(a <= s < b for s, _ in base[k])]
+                meets = any(s < b and e > a for k in kinds for s, e in base[k])
+                edges.append((r, pair, core[0], here[0] if here else None, meets, start, start + len(core[0])))
+    links = {}
+    for _, pair, inst, kind, *_ in edges:
+        n, k = links.get((pair, inst), (0, None))
+        links[pair, inst] = (n + 1, max(filter(None, (k, kind)), default=None))
+    by_pair = {}
+    for (pair, inst), (n, k) in links.items():
+        by_pair.setdefault(pair, []).append((inst, n, k))
+    graph = {p: v for p, v in by_pair.items() if len(v) >= min_seeds and sum(n for _, n, _ in v) >= min_confidence * near.get(p, 0)}
+    seeds = {}
+    for v in graph.values():
+        for inst, _, k in v:
+            seeds[inst] = seeds.get(inst) or k is not None
+    belief = {i: 1.0 if s else 0.0 for i, s in seeds.items()}
+    for _ in range(rounds):
+        conf = {p: round(sum(n * belief[i] for i, n, _ in v) / totals[p], 9) for p, v in graph.items()}
+        sure = {p: sum(belief[i] >= 0.5 for i, _, _ in v) for p, v in graph.items()}
+        doubt = {}
+        for p, v in graph.items():
+            for i, _, _ in v:
+                doubt[i] = doubt.get(i, 1.0) * (1 - (min(conf[p], 0.999) if sure[p] >= min_seeds else 0.0))
+        belief = {i: 1.0 if s else 1 - doubt[i] for i, s in seeds.items()}
+    good = {}
+    for p, v in graph.items():
+        named = [k for _, _, k in v if k]
+        if named and conf[p] >= min_confidence and sure[p] >= min_seeds:
+            good[p] = min(set(named), key=lambda k: (-named.count(k), k))
+    out = {r: set() for r in range(len(rows))}
+    for r, pair, _, _, meets, a, b in edges:
+        if pair in good and not meets:
+            out[r].add((good[pair], a, b))
+    return out

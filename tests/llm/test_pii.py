@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from brute import added_spans
 from brute import personal_data as brute
 from prospectus.llm import pii
 from prospectus.sources.tables import read_table
@@ -52,6 +53,30 @@ def test_patterns_find_unseen_identifiers(spark):
     assert all(got[i].spans == "" for i in range(30, 40))
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_added_spans_match_plain_dictionaries(spark, seed):
+    rng = random.Random(seed)
+    base = ["a%d@mail.org", "10.0.0.%d", "+49 30 12345%d", "nick_%d", "id%d,", "(x%d)", "no", "word"]
+    lead = ["reach me:", "my Address", "call on", "of the", "server at", "REACH me:"]
+    rows = []
+    for i in range(150):
+        parts = []
+        for _ in range(rng.randrange(1, 5)):
+            k = rng.randrange(len(lead))
+            item = rng.choice(base[:4] if rng.random() < 0.7 and k != 3 else base)
+            parts.append(f"{lead[k]} {item % rng.randrange(30) if '%' in item else item}")
+        rows.append((i, rng.choice([" ", ". so "]).join(parts)))
+    want, got = added_spans(rows), run(spark, rows)
+    check(got, rows)
+    found = 0
+    for r, (i, t) in enumerate(rows):
+        spans = brute(t)
+        every = {(k, a, b) for k in pii.KINDS for a, b in spans[k]} | want[r]
+        found += len(want[r])
+        assert set(filter(None, got[i].spans.split(","))) == {f"{k}:{a}:{b}" for k, a, b in every}, t
+    assert found > 10
+
+
 def test_common_contexts_add_nothing(spark):
     rows = [(i, f"of the a{i}@mail.org") for i in range(5)] + [(i, "of the king and of the queen") for i in range(5, 40)]
     rows += [(50, "of the x99 sort")]

@@ -1,3 +1,4 @@
+import random
 import sys
 
 from tokenizers import Tokenizer
@@ -39,6 +40,37 @@ def test_stages_match_plain_restatements(spark, sf_small):
     assert sorted(map(tuple, E.queries()["pipeline"](spark, sf_small).collect())) == sorted(map(tuple, out.collect()))
 
 
+def test_odd_rows_through_all_stages(spark, sf_small):
+    rng = random.Random(6)
+    text = lambda n: " ".join(rng.choice("alpha beta gamma delta epsilon zeta eta theta".split()) + str(rng.randrange(50)) for _ in range(n))
+    a, b, leak, long = text(80), text(80), read_table(spark, sf_small, "benchmark").first().text, text(30_000)
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node string, m1 int, _range int"
+    row = lambda i, t, s="s": (i, t, None, s, None, "x", 1, 2)
+    rows = [row(1, a), row(1, b), row(None, a), row(None, text(60), None), row(3, None), row(3, ""), row(4, a + " more"), row(5, long),
+            row(6, leak + " " + leak), row(None, leak), row(7, text(50), "t"), row(7, text(50), "t")]
+    docs = spark.createDataFrame(rows, schema)
+    empty = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    # no labels: every text stays
+    good = written(quality.keep_good(docs, empty), "test")
+    assert good.count() == len(rows)
+    one = written(corpus_pipeline.drop_near_duplicates(spark, good, sf_small), "test")
+    assert sorted((r.doc_id or 0, r.text or "") for r in one.collect()) == sorted((r[0] or 0, r[1] or "") for r in rows if r[0] != 4)
+    clean = written(corpus_pipeline.drop_leaks(spark, one, sf_small), "test")
+    assert clean.count() == one.count() - 2 and clean.columns == docs.columns
+    mixed = written(corpus_pipeline.mix_sources(spark, clean, sf_small), "test")
+    assert mixed.columns == docs.columns and 0 < mixed.count()
+    out = corpus_pipeline.write_tokens(spark, mixed, sf_small).collect()
+    assert len(out) == mixed.count() and sum(r.n_tokens for r in out) == max(r.start + r.n_tokens for r in out)
+
+
+def test_empty_documents_through_all_stages(spark, sf_small):
+    docs = read_table(spark, sf_small, "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, sf_small), "test")
+        assert docs.isEmpty(), name
+    assert corpus_pipeline.write_tokens(spark, docs, sf_small).isEmpty()
+
+
 def test_registered_queries():
     ops = sorted(n for n in E.queries() if n.startswith("op") and n[2].isdigit())
     assert [int(n[2:].split("_")[0]) for n in sorted(ops, key=lambda n: int(n[2:].split("_")[0]))] == list(range(1, 14))
