@@ -27,7 +27,7 @@ with nothing; fewer words than a shingle make one shingle; rows that repeat an
 id are one document, which all of their texts link, so an id has one component;
 ``keep_one_each`` judges each text by itself and keeps one that is like no other
 document's.  Rows with a null id are kept, and stand in the component of equal
-texts.  Ties between texts of one id go by the hash of their words.  A text is taken
+texts.  Which of several like texts of one id stays is not defined, only that one does.  A text is taken
 whole, one at a time where it is longer than ``textnum.SLICE_BYTES``; columns beyond
 doc_id and text are ignored or, by ``keep_one_each``, kept; an empty table gives an
 empty table.
@@ -49,11 +49,11 @@ from .components import components
 RING = 1 << 20
 BANDS, ROWS = 20, 4
 #: shingles whose windows are held at once
-CHUNK = 1 << 16
+CHUNK = 1 << 14
 #: ids of documents with candidates up to which they are broadcast; a shuffle join beyond
 BROADCAST_IDS = 1_000_000
-#: documents of a family per block, and shingles per matrix product
-BLOCK, COLUMNS = 512, 4096
+#: documents and bytes of a family per block, and shingles per matrix product
+BLOCK, BLOCK_BYTES, COLUMNS = 512, 16 << 20, 4096
 
 _tables: tuple[np.ndarray, np.ndarray] | None = None
 
@@ -128,9 +128,6 @@ def jaccard_counts(a: list[bytes], b: list[bytes], k: int) -> tuple[np.ndarray,
     return inter, np.bincount(pair, minlength=len(a)) - inter
 
 
-_NODE = "struct<id: bigint, h1: bigint, h2: bigint>"
-
-
 def _confirm(k: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -149,33 +146,34 @@ def confirm(pairs: DataFrame, own: DataFrame, k: int, percent: int) -> DataFrame
     """Candidate pairs (a, b) of classes -> those whose full sets reach the threshold; own: (node, text)."""
     full = (pairs.join(own.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(own.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
-    return full.mapInArrow(_confirm(k, percent), f"a {_NODE}, b {_NODE}")
+    return full.mapInArrow(_confirm(k, percent), "a long, b long")
 
 
 def classes_and_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
     """docs (doc_id, text, ...) -> rows and groups.
 
-    rows: doc_id, m1, m2, n_shingles and ``node``, the class of the row's text - its smallest
-    id and the hash of its words - or null; one row per row of docs.  groups: (id, component) of
-    the classes that have links, the component being its smallest class.  Everything is decided
-    by classes, so that several texts of one id are compared each by itself.
+    rows: doc_id, m1, m2, n_shingles, and the ``node`` and ``class_id`` of the class of the row's
+    text, its number and its smallest id (null for no words or no id); one row per row of docs.
+    groups: (node, leader, group) of the classes that have links: the group's smallest id and
+    the class that holds it.  Everything is decided by classes, so that several texts of one id are
+    compared each by itself.
     """
     texts = docs.select("doc_id", "text", *text_marks(F.col("text")))
     schema = "doc_id long, m1 long, m2 long, n_shingles long, h1 long, h2 long, bands array<long>"
     sketch = written(texts.mapInArrow(_sketch(k), schema), "minhash-sketch")
+    # numbered once, as they are written: readers see the same numbers
     classes = written(sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("h1", "h2")
-                      .agg(F.min("doc_id").alias("class_id")), "minhash-classes")
-    node = F.struct(F.col("class_id").alias("id"), "h1", "h2").alias("node")
+                      .agg(F.min("doc_id").alias("class_id")).withColumn("node", F.monotonically_increasing_id()),
+                      "minhash-classes")
     reps = (sketch.join(classes.withColumn("doc_id", F.col("class_id")), ["doc_id", "h1", "h2"])
-            .select(node, "doc_id", "m1", "m2", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"]))
-    cells = (reps.select("node", "doc_id", "m1", "m2", "n", F.explode("bands").alias("band"))
-             .withColumn("turn", F.xxhash64("node", "band")))
+            .select("node", "doc_id", "m1", "m2", F.col("n_shingles").alias("n"), "bands").dropDuplicates(["node"]))
+    cells = reps.select("node", "doc_id", "m1", "m2", "n", F.explode("bands").alias("band")).withColumn("turn", F.xxhash64("node", "band"))
     shared = cells.groupBy("band").agg(F.count("*").alias("c"), F.min("turn").alias("first")).filter("c > 1")
     cells = written(cells.join(shared.select("band", "first"), "band"), "minhash-cells")
 
     fits = lambda m, n: 100 * F.least(m, n) >= percent * F.greatest(m, n)
     pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    own = _texts_of(texts, cells.select("node", "doc_id", "m1", "m2").dropDuplicates(["node"]))
+    own = _texts_of(texts, cells.select("node", "doc_id", "m1", "m2").distinct())
     lead = cells.filter("turn = first").select("band", F.col("node").alias("a"), F.col("n").alias("na"))
     star = written(cells.select("band", F.col("node").alias("b"), "n").join(lead, "band").filter("a != b")
                    .filter(fits(F.col("na"), F.col("n"))).select(*pair).distinct(), "minhash-star")
@@ -190,9 +188,13 @@ def classes_and_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[
     rest = (still_open.select("id", "component").distinct().join(family, "id")
             .join(own.withColumnRenamed("node", "id"), "id"))
     more = written(_between(written(rest, "minhash-rest"), k, percent), "minhash-more")
-    groups = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "minhash-components")
-    rows = (sketch.drop("bands").join(classes, ["h1", "h2"], "left")
-            .select("doc_id", "m1", "m2", "n_shingles", F.when(F.col("class_id").isNotNull(), node).alias("node")))
+    joined = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).union(more), "minhash-components")
+    joined = written(joined.withColumnRenamed("id", "node").join(classes.select("node", "class_id"), "node"), "minhash-joined")
+    least = joined.groupBy("component").agg(F.min("class_id").alias("group"))
+    leader = (joined.join(least, "component").filter(F.col("class_id") == F.col("group"))
+              .groupBy("component", "group").agg(F.min("node").alias("leader")))
+    groups = joined.select("node", "component").join(leader, "component").select("node", "leader", "group")
+    rows = sketch.drop("bands").join(classes, ["h1", "h2"], "left").select("doc_id", "m1", "m2", "n_shingles", "node", "class_id")
     return written(rows, "minhash-rows"), written(groups, "minhash-groups")
 
 
@@ -205,8 +207,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     several texts is one document, linked by each of them.
     """
     rows, groups = classes_and_groups(docs, k, percent)
-    rows = rows.withColumn("class_id", F.when(F.col("n_shingles") > 0, F.col("node.id")).otherwise(F.col("doc_id")))
-    out = rows.join(groups.withColumnRenamed("id", "node"), "node", "left").withColumn("group", F.coalesce("component.id", "class_id"))
+    own = F.when(F.col("n_shingles") > 0, F.col("class_id")).otherwise(F.col("doc_id"))
+    out = (rows.withColumn("class_id", own).join(groups.select("node", "group"), "node", "left")
+           .withColumn("group", F.coalesce("group", "class_id")))
     # ids with texts of several groups join these
     several = written(out.filter("node is not null and doc_id is not null").groupBy("doc_id")
                       .agg(F.min("group").alias("lo"), F.max("group").alias("hi")).filter("lo < hi").select("doc_id"), "minhash-several")
@@ -223,8 +226,7 @@ def _blocks_linked(k: int, percent: int):
     """Links between two blocks of a family whose documents are in different components."""
 
     def run(t: pa.Table) -> pa.Table:
-        comp = np.unique(np.column_stack([f.to_numpy() for f in t["component"].combine_chunks().flatten()]), axis=0,
-                         return_inverse=True)[1].ravel()
+        ids, comp = t["id"].to_numpy(), t["component"].to_numpy()
         # both blocks of a pair, or the one block twice
         left = np.flatnonzero(t["block"].to_numpy() == t["p"][0].as_py())
         right = np.flatnonzero(t["block"].to_numpy() == t["q"][0].as_py())
@@ -254,8 +256,7 @@ def _blocks_linked(k: int, percent: int):
         # one link is enough for two components
         pair = np.column_stack((np.minimum(comp[left[i]], comp[right[j]]), np.maximum(comp[left[i]], comp[right[j]])))
         _, one = np.unique(pair, axis=0, return_index=True)
-        ids = t["id"].combine_chunks()
-        return pa.table({"a": ids.take(pa.array(left[i[one]])), "b": ids.take(pa.array(right[j[one]]))})
+        return pa.table({"a": pa.array(ids[left[i[one]]], pa.int64()), "b": pa.array(ids[right[j[one]]], pa.int64())})
 
     return run
 
@@ -266,12 +267,13 @@ def _between(rest: DataFrame, k: int, percent: int) -> DataFrame:
     A family is cut into blocks; each pair of blocks is a group of bounded size whose
     intersections are counted by matrix products, so no pair leaves a task but links.
     """
-    blocks = rest.groupBy("family").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    size = F.greatest(F.count("*") / F.lit(BLOCK), F.sum(F.octet_length("text").cast("long")) / F.lit(BLOCK_BYTES))
+    blocks = rest.groupBy("family").agg(F.ceil(size).cast("int").alias("blocks"))
     dealt = (rest.join(blocks, "family").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
              .select("family", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "id",
                      "component", "text"))
-    return dealt.groupBy("family", "p", "q").applyInArrow(_blocks_linked(k, percent), f"a {_NODE}, b {_NODE}")
+    return dealt.groupBy("family", "p", "q").applyInArrow(_blocks_linked(k, percent), "a long, b long")
 
 
 def _texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -289,9 +291,8 @@ def keep_one_each(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     other document's stays.
     """
     rows, groups = classes_and_groups(docs, k, percent)
-    first = F.coalesce("component", "node")
-    gone = (rows.filter("node is not null and doc_id is not null").join(groups.withColumnRenamed("id", "node"), "node", "left")
-            .filter((F.col("node") != first) | (F.col("doc_id") != F.col("node.id")))
+    gone = (rows.filter("node is not null and doc_id is not null").join(groups, "node", "left")
+            .filter((F.col("node") != F.coalesce("leader", "node")) | (F.col("doc_id") != F.col("class_id")))
             .select("doc_id", "m1", "m2").distinct())
     return without(docs, gone)
 

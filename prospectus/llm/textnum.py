@@ -23,7 +23,7 @@ _SPACE[[32, 9, 10, 11, 12, 13]] = True
 _VALUE = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.int64).astype(U64)
 
 #: bytes handled in one go; a longer text is taken alone
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:
