@@ -6,12 +6,15 @@ over the learning rows: tasks sum dense counts per language in numpy and hand
 Spark the buckets they met, so a language that holds most rows is pre-added
 before the shuffle.  The model is a matrix of log probabilities, ``BUCKETS`` x
 languages of doubles; its size does not depend on the number of documents, and
-it is broadcast.  Batches are scored by gathering matrix rows.
+it is broadcast.  Batches are scored by gathering matrix rows.  More than
+``BLOCK_LANGUAGES`` languages make a model for each block of them, and a pass over the
+texts for each model, which carries the best language so far.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0;
 rows with a null lang or id are never learned from; without any learned
-language all texts are ``und``; the first language by code point wins ties; an
-empty table gives an empty table.
+language all texts are ``und``; the first language by code point wins ties; repeated
+rows are learned from and judged each; very long texts are read whole; columns beyond
+doc_id, text and lang are ignored; an empty table gives an empty table.
 """
 
 from __future__ import annotations

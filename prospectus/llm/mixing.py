@@ -9,11 +9,14 @@ within about one document of the target.
 
 The prefix sum is built from three levels, none of which puts a source into one
 task: counts by (source, size), counts by (source, size, id block) and a running
-count inside an id block.  Only DataFrame functions are used.
+count inside an id block.  Sources are numbered and their shares added up over ranges of
+them, too.  Only DataFrame functions are used.
 
 Defined cases: a null text has size 0; a null source is a source of its own,
-after all others; rows that repeat an id count as documents of their own; a
-source of size 0 takes nothing; an empty table gives an empty table.
+after all others; rows that repeat an id count as documents of their own, and which of
+those equal in id, source, size and text gets a place of the order is open (they differ in
+other columns at most); a source of size 0 takes nothing; very long texts are counted whole;
+other columns, whatever their names, stay with their rows; an empty table gives an empty table.
 """
 
 from __future__ import annotations

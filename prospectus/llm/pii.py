@@ -21,8 +21,11 @@ graph is joins and partial aggregates, and a hot passage adds to its pattern
 before the shuffle.
 
 Defined cases: null and empty texts have no spans; rows that repeat an id are
-treated by their own texts; null ids are kept; an empty table gives an empty
-table.  Positions are code points, end exclusive.
+treated by their own texts, repeated rows each get their spans; null ids are kept;
+very long texts are searched whole; a pattern met with several kinds equally often takes the
+first by name, a token in which several kinds begin the first in ``KINDS``; columns beyond
+doc_id and text are ignored; an empty table gives an empty table.  Positions are code
+points, end exclusive.
 """
 
 from __future__ import annotations

@@ -21,7 +21,8 @@ a dictionary of bounded size, and unknown pieces are encoded many at a time.
 
 Defined cases: a null or empty text has only the end id; null ids come first;
 rows that repeat an id are documents of their own, ordered by their texts' hash;
-an empty table gives an empty table.
+a very long text is a block of its own; columns beyond doc_id and text are ignored; an
+empty table gives an empty table.
 """
 
 from __future__ import annotations
