@@ -18,7 +18,9 @@ document with a smaller id.  Windows are compared by sorting suffixes:
 4. Repeats go back to their documents, which are cut and hashed.
 
 Equal windows always meet in one group, so groups are sorted apart from each other
-and none needs the whole text.  A task sends each minimizer, and each run of
+and none needs the whole text.  A minimizer that many documents share would make one large
+group of unlike windows; its runs are cut by a second, longer minimizer, and a group is
+made by both, so that only windows that share more bytes still meet.  A task sends each minimizer, and each run of
 bytes, once: a passage shared by a third of all documents reaches its group once
 per batch of documents, and its other copies are decided where they are.
 
@@ -46,7 +48,10 @@ from . import textnum
 from .common import read_table, written
 
 LENGTH = 50
-GRAM = 26
+#: bytes of a minimizer, and of the second one that cuts the runs of a hot minimizer
+GRAM, LONG_GRAM = 26, 42
+#: a minimizer is hot that so many rows of a task share; so many hot ones are broadcast at most (8 bytes each), the rest is as others
+HOT_ROWS, HOT_SHARE, HOT_MOST = 64, 0.002, 1_000_000
 #: input bytes per group of minimizers, and bytes suffix-sorted at once
 GROUP_BYTES = 2 << 20
 SORT_BYTES = 1 << 18
@@ -163,15 +168,15 @@ def _least_of(h: np.ndarray, w: int) -> np.ndarray:
 _BYTE = np.random.default_rng(2).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64)
 
 
-def runs(texts: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of windows with one minimizer: (text, minimizer, first start, last start)."""
+def runs(texts: list[bytes], length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows with one minimizer of ``gram`` bytes: (text, minimizer, first start, last start)."""
     size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     begin = np.concatenate(([0], np.cumsum(size)))
     none = np.zeros(0, dtype=np.int64)
     if begin[-1] < length:
         return none, none.astype(np.uint64), none, none
     buf = np.frombuffer(b"".join(texts), dtype=np.uint8)
-    least = _least_of(textnum.mix(_sum_of(_BYTE[buf], GRAM)), length - GRAM + 1)
+    least = _least_of(textnum.mix(_sum_of(_BYTE[buf], gram)), length - gram + 1)
     at = np.arange(len(least))
     doc = np.searchsorted(begin, at, side="right") - 1
     ok = at + length <= begin[doc + 1]
@@ -300,23 +305,58 @@ def _answer_minimizers(parts: int):
 _RUNS = "kind int, bucket int, row long, hashes binary, rows binary, ids binary, starts binary, sizes binary, data binary"
 
 
-def _send_runs(buckets: int, length: int):
+def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Minimizers that many of a task's rows share."""
+    rows, count = 0, {}
+    for b in batches:
+        rows += b.num_rows
+        value, n = np.unique(np.frombuffer(_bytes(b.column("hashes")), dtype=np.int64), return_counts=True)
+        for v, k in zip(value[n > 1].tolist(), n[n > 1].tolist()):
+            count[v] = count.get(v, 0) + k
+    some = [v for v, k in count.items() if k >= max(HOT_ROWS, rows * HOT_SHARE)]
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64())], names=["h"])
+
+
+def _longer(texts: list[bytes], length: int, doc: np.ndarray, h: np.ndarray, first: np.ndarray, last: np.ndarray,
+            hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs with hot minimizers cut where the minimizer of ``LONG_GRAM`` bytes changes: (text, key, minimizer, first, last).
+
+    The key of a piece is made of both minimizers, which equal windows have in common."""
+    is_hot = np.isin(h, hot)
+    if not is_hot.any():
+        return doc, h, h, first, last
+    doc2, h2, first2, last2 = runs(texts, length, LONG_GRAM)
+    at2 = np.searchsorted(doc2, np.arange(len(texts) + 1))
+    out = [(doc[~is_hot], h[~is_hot], h[~is_hot], first[~is_hot], last[~is_hot])]
+    for k in np.flatnonzero(is_hot):
+        lo, hi = at2[doc[k]], at2[doc[k] + 1]
+        a = lo + np.searchsorted(last2[lo:hi], first[k])
+        z = lo + np.searchsorted(first2[lo:hi], last[k], side="right")
+        key = textnum.mix(np.full(z - a, h[k]) ^ textnum.mix(h2[a:z]))
+        out.append((np.full(z - a, doc[k]), key, np.full(z - a, h[k]), np.maximum(first2[a:z], first[k]), np.minimum(last2[a:z], last[k])))
+    doc, key, h, first, last = (np.concatenate(c) for c in zip(*out))
+    order = np.lexsort((first, doc))
+    return doc[order], key[order], h[order], first[order], last[order]
+
+
+def _send_runs(buckets: int, length: int, shared):
     """The bytes of runs with a shared minimizer, equal ones once; copies in larger ids are decided here (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hot = shared.value
         for b in batches:
             texts = b.column("text").cast(pa.binary()).to_pylist()
             rows, ids, known = (b.column(c).to_pylist() for c in ("row", "doc_id", "hashes"))
             found = []  # (id, row, minimizer, start, bytes)
             for lo, hi in textnum.slices(texts, SLICE_BYTES):
-                doc, h, first, last = runs(texts[lo:hi], length)
+                doc, key, h, first, last = _longer(texts[lo:hi], length, *runs(texts[lo:hi], length), hot)
                 at_doc = np.searchsorted(doc, np.arange(hi - lo + 1))
                 for d in range(hi - lo):
                     a, z = at_doc[d], at_doc[d + 1]
                     own = np.frombuffer(known[lo + d], dtype=np.uint64)
                     for i in np.flatnonzero(np.isin(h[a:z], own)) + a:
                         s, e = int(first[i]), int(last[i])
-                        found.append((ids[lo + d], rows[lo + d], int(h[i]), s, texts[lo + d][s:e + length]))
+                        found.append((ids[lo + d], rows[lo + d], int(key[i]), s, texts[lo + d][s:e + length]))
             found.sort(key=lambda f: (f[0], f[1], f[3]))
             owner: dict[bytes, int] = {}
             gone: dict[int, list[tuple[int, int]]] = {}
@@ -475,7 +515,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, keep_text: bool = Fals
     answers = written(reps.mapInArrow(_send_minimizers(buckets, length), _MET).groupBy("bucket")
                       .applyInArrow(_answer_minimizers(parts), _PACKED).groupBy("part").applyInArrow(_by_row, one_row),
                       "suffix-shared").select("row", F.col("first").alias("hashes"))
-    gone = written(reps.join(answers, "row").mapInArrow(_send_runs(buckets, length), _RUNS).groupBy("bucket")
+    # any set that all tasks agree on gives the same result; a common one spreads the runs of common minimizers
+    hot = [r[0] for r in answers.select("hashes").mapInArrow(_common, "h long").distinct().limit(HOT_MOST).collect()]
+    hot = spark.sparkContext.broadcast(np.sort(np.array(hot, dtype=np.int64).view(np.uint64)))
+    gone = written(reps.join(answers, "row").mapInArrow(_send_runs(buckets, length, hot), _RUNS).groupBy("bucket")
                    .applyInArrow(_judge_runs(length, parts), _PACKED).groupBy("part").applyInArrow(_by_row, one_row), "suffix-gone")
     ids = gone.select("row")
     cut_rows = reps.join(F.broadcast(ids), "row", "left_semi") if ids.count() <= 1_000_000 else reps

@@ -96,3 +96,39 @@ def test_texts_that_share_the_bits_of_their_names(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(map(tuple, S.repeated_spans(df, key_digits=1).collect()))
     assert got == brute(rows)
+
+
+def hot_rows(n):
+    """A short passage in every text between other words, a longer one in some, and copies."""
+    rng = random.Random(21)
+    word = lambda k: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(k))
+    least = lambda t: S.textnum.mix(S._sum_of(S._BYTE[np.frombuffer(t.encode(), dtype=np.uint8)], S.GRAM)).min()
+    short, longer = min((word(30) for _ in range(30)), key=least), word(46)  # one that is the minimizer of what is around it
+    rows = []
+    for i in range(n):
+        parts = [word(rng.randrange(5, 60)), short, word(rng.randrange(5, 60))]
+        if i % 10 == 3:
+            parts += [longer, word(3), short]
+        if i % 10 == 0 and rows:
+            parts.append(rng.choice(rows)[1])
+        rows.append((i, "".join(parts)))
+    return rows
+
+
+def test_hot_minimizers_are_cut(spark, monkeypatch):
+    rows = hot_rows(300)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(map(tuple, S.repeated_spans(df).collect())) == brute(rows)
+    texts = [t.encode() for _, t in rows]
+    doc, h, first, last = S.runs(texts, 50)
+    value, n = np.unique(h, return_counts=True)
+    hot = np.sort(value[n >= 100])
+    assert len(hot)  # the short passage's
+    d2, key, h2, f2, l2 = S._longer(texts, 50, doc, h, first, last, hot)
+    windows = lambda d, f, l: sorted((a, s) for a, x, y in zip(d.tolist(), f.tolist(), l.tolist()) for s in range(x, y + 1))
+    assert windows(d2, f2, l2) == windows(doc, first, last) and (h2 == key)[~np.isin(h2, hot)].all()
+    assert np.unique(key[np.isin(h2, hot)], return_counts=True)[1].max() < n.max() / 3
+    of = {}  # equal windows still have one key
+    for a, x, y, k in zip(d2.tolist(), f2.tolist(), l2.tolist(), key.tolist()):
+        for s in range(x, y + 1):
+            assert of.setdefault(texts[a][s:s + 50], k) == k
