@@ -325,16 +325,12 @@ def _longer(texts: list[bytes], length: int, doc: np.ndarray, h: np.ndarray, fir
     is_hot = np.isin(h, hot)
     if not is_hot.any():
         return doc, h, h, first, last
-    doc2, h2, first2, last2 = runs(texts, length, LONG_GRAM)
-    at2 = np.searchsorted(doc2, np.arange(len(texts) + 1))
-    out = [(doc[~is_hot], h[~is_hot], h[~is_hot], first[~is_hot], last[~is_hot])]
-    for k in np.flatnonzero(is_hot):
-        lo, hi = at2[doc[k]], at2[doc[k] + 1]
-        a = lo + np.searchsorted(last2[lo:hi], first[k])
-        z = lo + np.searchsorted(first2[lo:hi], last[k], side="right")
-        key = textnum.mix(np.full(z - a, h[k]) ^ textnum.mix(h2[a:z]))
-        out.append((np.full(z - a, doc[k]), key, np.full(z - a, h[k]), np.maximum(first2[a:z], first[k]), np.minimum(last2[a:z], last[k])))
-    doc, key, h, first, last = (np.concatenate(c) for c in zip(*out))
+    at = np.flatnonzero(is_hot)
+    of, longer, frm, upto = runs([texts[doc[k]][first[k]:last[k] + length] for k in at], length, LONG_GRAM)
+    at, rest = at[of], ~is_hot
+    key = textnum.mix(h[at] ^ textnum.mix(longer))
+    cols = [(doc[rest], doc[at]), (h[rest], key), (h[rest], h[at]), (first[rest], first[at] + frm), (last[rest], first[at] + upto)]
+    doc, key, h, first, last = (np.concatenate(c) for c in cols)
     order = np.lexsort((first, doc))
     return doc[order], key[order], h[order], first[order], last[order]
 
