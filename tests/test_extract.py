@@ -1,6 +1,7 @@
 """Page -> raw fields (the reference's extractor cases, with our own HTML)."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from prospectus.operators import extract as X
 from prospectus.operators.html import parse_html, parsed_pages
@@ -142,3 +143,29 @@ def test_quarantine_reports_whole_pages_too(spark, tmp_path):
     spark.sql(pages).write.parquet(f"{tmp_path}/pages.parquet")
     got = sorted(tuple(r) for r in EQ.q_extract_quarantine(spark, str(tmp_path)).collect())
     assert got == [(1, "UnicodeDecodeError"), (3, "UnicodeDecodeError")]
+
+
+ODD_PAGES = ["<title>t</title><h1 class='a course-title'>n</h1><dl><dt>UCAS code</dt><dd>A100</dd><dt>Length</dt><dd>3</dd></dl>",
+             "<div class='programme-header'><p><h1>x</h1></div><h1 class='coursework'>y</h1><section><p>no</p></section>"
+             "<section><h2>Entry</h2>z</section>", "<dd>lone</dd><b data-ucas=''>q</b><i id=overview class='my-length start'>r", None,
+             "<meta name=a content=1><div id=entry-requirements class='faculty faculty'></div><dt>Start</dt><p>-</p><dd>w</dd>"]
+
+
+def test_noted_elements_are_those_of_the_selectors(spark):
+    """The first element that the tokenizer notes for a selector is the first of all that match it."""
+    from prospectus import rules
+    from prospectus.functions import selectors as S
+    specs = [spec for rs in rules.SELECTOR_RULES.values() for _css, spec in rs] + [{"tag": "meta"}, {"tag": "title"}]
+    df = spark.createDataFrame(list(enumerate(ODD_PAGES)), "page_id long, html string")
+    p = parsed_pages(df)
+    noted = p.select(*[F.expr(S.first_hit_sql(k, spec)).alias(f"k{k}") for k, spec in enumerate(specs)]).collect()
+    plain = p.select(*[F.expr(S.first_index_sql(spec)).alias(f"k{k}") for k, spec in enumerate(specs)]).collect()
+    assert noted == plain and sum(v is not None for r in noted for v in r) > 15
+
+
+def test_only_the_fields_asked_for_leave_the_tokenizer(spark):
+    df = spark.createDataFrame(list(enumerate(ODD_PAGES)), "page_id long, html string")
+    few = parsed_pages(df, fields=("tag", "end", "t0", "t1", "prev"))
+    assert few.schema["elems"].dataType.elementType.names == ["tag", "end", "t0", "t1", "prev"]
+    cols = [X.extract_department(), X.extract_entry_requirements()]
+    assert X.stage_inputs(few, ["page_id"]).select(*cols).collect() == X.stage_inputs(parsed_pages(df), ["page_id"]).select(*cols).collect()
