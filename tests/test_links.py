@@ -125,3 +125,30 @@ def test_one_rule_as_literals_equals_the_joined_rule(spark):
     joined = L.discover_links(L.with_rules(parsed_pages(df), L.rules_frame(spark))).collect()
     literal = L.discover_links(L.with_one_rule(parsed_pages(df), spec)).collect()
     assert joined == literal and len(joined) > 0
+
+
+def test_links_meet_start_urls_without_a_sort(spark, tmp_path):
+    """A sort by a pattern's result would evaluate the pattern for each comparison."""
+    from prospectus.plans import link_queries as Q
+    folder = str(tmp_path)
+    _tables(spark, folder, [(i, 1 + i % 3) for i in range(60)])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for query in (Q.q_links_exclude_start, Q.q_discover_course_links):
+            plan = query(spark, folder)._jdf.queryExecution().sparkPlan().toString()
+            join = [row for row in plan.split("\n") if "LeftAnti" in row]
+            assert len(join) == 1 and "ShuffledHashJoin" in join[0] and "regexp_replace" not in join[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_discovery_holds_each_step_once():
+    assert L.discover_sql().count("'scheme'") == 2  # the base's parts and the reference's
+
+
+def test_rooted_references_match_stdlib(spark):
+    refs = ["/", "/a/b/", "/a?x=/../y#/./z", "/.a/b", "/a/..b/../c", "/a/.", "/a/..", "/a//b", "/?q", "/#f", "/ä b", "\n /a\tb", "/a/.b"]
+    df = spark.createDataFrame(list(itertools.product(BASES, refs)), "base string, ref string")
+    got = df.select("base", "ref", F.expr(L.url_join_sql("base", "ref")).alias("j")).collect()
+    assert not [r for r in got if r.j != urljoin(r.base, r.ref)]
