@@ -169,3 +169,38 @@ def test_only_the_fields_asked_for_leave_the_tokenizer(spark):
     assert few.schema["elems"].dataType.elementType.names == ["tag", "end", "t0", "t1", "prev"]
     cols = [X.extract_department(), X.extract_entry_requirements()]
     assert X.stage_inputs(few, ["page_id"]).select(*cols).collect() == X.stage_inputs(parsed_pages(df), ["page_id"]).select(*cols).collect()
+
+
+def test_pages_without_elements_give_the_same_texts(spark):
+    """Fields whose selectors look at an element alone need its text range only."""
+    df = spark.createDataFrame(list(enumerate([*ODD_PAGES, PHYSICS_PAGE, PRICES_PAGE, "<script class='level'>s</script><div class=department>"
+                                               "a<script>b</script> <!--c--> d</div>"])), "page_id long, html string")
+    bare = parsed_pages(df, fields=())
+    assert "elems" not in bare.columns
+    cols = [X.extract_degree(), X.extract_level(), X.extract_department(), X.title_text(), *X.extract_fees().values()]
+    got = X.stage_inputs(bare, ["page_id"]).select("page_id", "_txt_level", *cols).collect()
+    assert got == X.stage_inputs(parsed_pages(df), ["page_id"]).select("page_id", "_txt_level", *cols).collect()
+    assert [r._txt_department for r in X.stage_inputs(bare, ["page_id"]).collect()][-1] == "a d"
+    assert got[-1]._txt_level == "s"
+
+
+PRICED = ["UK £1,200\nhome £5", "home 12 £,\nuk £ 7", "UK\n£3", "£4 uk £", "uk £ 9 Home £8", "no price", "£££6 home/EU £1", None, "",
+          "domestic £\n\n2,5 x", "K uk£,,"]
+
+
+def test_fees_by_stretches_match_the_patterns(spark):
+    """One cut at the pound signs gives what a pattern for each keyword finds."""
+    import re
+
+    from prospectus import rules
+    from prospectus.functions.fields import fee_from_parts, priced_parts
+
+    def plain(text):
+        for p in [*[re.escape(k) + r"[^\n£]*£\s*([\d,]+)" for k in rules.FEE_UK_KEYWORDS], r"£\s*([\d,]+)"]:
+            m = re.search(p, text or "", re.I)
+            if m:
+                return int(m.group(1).replace(",", "")) if m.group(1).strip(",") else None
+
+    df = spark.createDataFrame(list(enumerate(PRICED)), "i int, t string").withColumn("p", priced_parts("t"))
+    got = df.orderBy("i").select(fee_from_parts("p", rules.FEE_UK_KEYWORDS)).collect()
+    assert [r[0] for r in got] == [plain(t) for t in PRICED]

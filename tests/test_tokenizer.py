@@ -83,3 +83,14 @@ def test_large_pages_are_handed_on_in_parts(monkeypatch):
     assert [r["page_id"] for r in got] == list(range(41))
     for r, doc in zip(got, docs):
         assert (r["elems"], r["texts"]) == H.parse_html(doc)
+
+
+def test_tags_known_by_their_text_read_like_new_ones(monkeypatch):
+    bits = ["<p>", "</P >", "<a title='x>y'>", "<a title='", "'>", "<b", "<", "</", "<!-- > -->", "<br/>", "<li>", "</li>", "t>", "<i \"<q>\">"]
+    doc = "".join(bits[(i * i + i // 5) % len(bits)] for i in range(400))
+    known = H.parse_html(doc)
+    monkeypatch.setattr(H, "KNOWN_TAG_CHARS", 0)
+    assert H.parse_html(doc) == known
+    out = H._Columns()
+    H.parse_into(out, "<p>a</p><p>b</p>")
+    assert out.tags["</p>"][:2] == (-1, "p")
