@@ -204,3 +204,29 @@ def test_fees_by_stretches_match_the_patterns(spark):
     df = spark.createDataFrame(list(enumerate(PRICED)), "i int, t string").withColumn("p", priced_parts("t"))
     got = df.orderBy("i").select(fee_from_parts("p", rules.FEE_UK_KEYWORDS)).collect()
     assert [r[0] for r in got] == [plain(t) for t in PRICED]
+
+
+def test_pages_parsed_for_named_selectors_give_the_same_fields(spark):
+    """Only a job's own selectors are noted and only their texts handed on; its fields are those of the whole parse."""
+    from prospectus.operators import html as H
+    odd = [*ODD_PAGES, PHYSICS_PAGE, BARE_PAGE, PRICES_PAGE, "<script class='level'>s</script><div class=department>a<script>b</script> <!--c--> d</div>",
+           "<h2>Entry<section>in</section></h2><section>a<h2>x</h2></section><section><div><h2>E<b>ntry</b></h2>y</div></section>",
+           "<dl><dt>Duration<script>9</script></dt><!-- - --><dd>2 years<dt>Dur<b>ation</b><dd>7 years</dl><meta name='programme:duration' content='6 academic years'>",
+           "<dt>Length</dt><p class='my-length'></p><dd>no</dd><dt>Start</dt><dd>June</dd> < 5 <title>BSc &amp; more", "£ 5 <b>UK £7</b><textarea>home £8</textarea>"]
+    df = spark.createDataFrame(list(enumerate(odd)), "page_id long, html string")
+    whole = X.stage_inputs(parsed_pages(df), ["page_id"])
+    fields = {"name": X.extract_name, "degree": X.extract_degree, "level": X.extract_level, "department": X.extract_department,
+              "study_mode": X.extract_study_mode, "duration": X.extract_duration, "start_month": X.extract_start_month,
+              "description": X.extract_description, "entry_requirements": X.extract_entry_requirements}
+    for field, value in fields.items():
+        parsed = parsed_pages(df, texts=False, select=X.selected((field,), title=True, meta=True))
+        assert not {"elems", "texts"} & set(parsed.columns)
+        got = X.stage_selected(parsed, ["page_id"], (field,)).select("page_id", value()).collect()
+        assert got == whole.select("page_id", value()).collect(), field
+    fees = [c.alias(k) for k, c in X.extract_fees().items()]
+    bare = X.stage_selected(parsed_pages(df, select=()), ["page_id"], ())
+    assert bare.select("page_id", *fees).collect() == whole.select("page_id", *fees).collect()
+    # the nodes of other elements are not handed on
+    out = H._Columns(False, X.selected(("department",)), False)
+    H.parse_into(out, "a<p>b<p class=department>c<b>d</b></p>e")
+    assert out.t_text == ["c", "d"] and not out.e_n
