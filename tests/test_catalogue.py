@@ -272,3 +272,15 @@ def test_universities_without_kept_courses_reads_all_observations(spark, sf_smal
     read("lineitem").filter(seen).write.parquet(f"{tmp_path}/lineitem.parquet")
     got = [r.name for r in CQ.q_universities_without_kept_courses(spark, str(tmp_path)).collect()]
     assert sorted(got) == [f"Supplier#{x:09d}" for x in (gone, none)]
+
+
+def test_search_vector_cuts_each_text_once(spark):
+    """Tokens are cut once for stems and weights; distinct, without stop words, in the order of their first place."""
+    from prospectus.functions.search import tokens
+    from prospectus.operators.fulltext import search_vector
+    rows = [("a", "The art of The ART, and art 2", None, "BSc"), ("b", None, "", "the of"), ("c", "Rings ring", "ring", None)]
+    df = spark.createDataFrame(rows, "id string, name string, department string, degree string")
+    assert [r[0] for r in df.orderBy("id").select(tokens(F.col("name"))).collect()] == [["art", "2"], [], ["rings", "ring"]]
+    vector = search_vector(df)
+    assert sorted(vector.collect()) == [("a", "2", "A"), ("a", "art", "A"), ("a", "bsc", "C"), ("c", "ring", "A"), ("c", "ring", "B")]
+    assert vector._jdf.queryExecution().optimizedPlan().toString().count("split(") == 3
