@@ -284,3 +284,24 @@ def test_search_vector_cuts_each_text_once(spark):
     vector = search_vector(df)
     assert sorted(vector.collect()) == [("a", "2", "A"), ("a", "art", "A"), ("a", "bsc", "C"), ("c", "ring", "A"), ("c", "ring", "B")]
     assert vector._jdf.queryExecution().optimizedPlan().toString().count("split(") == 3
+
+
+def test_course_record_moves_no_university_ids(spark):
+    """Q9: few universities are sent to the courses, and their ids stay out of the join with the details."""
+    cols = ("id string, university_id string, name string, degree string, level string, department string, ucas_code string, "
+            "study_mode string, duration_years double, start_month string, fee_uk_yearly long, fee_uk_sandwich long, fee_intl_yearly long, "
+            "fee_intl_sandwich long, deadline_main string, deadline_late string, ielts_score double, source_url string, scraped_at timestamp_ntz")
+    courses = spark.createDataFrame([(i, u, *[None] * 17) for i, u in [("a", "u1"), ("b", "gone"), ("c", None), ("d", "u1"), ("d", "u2")]], cols)
+    unis = spark.createDataFrame([("u1", "One", "X"), ("u2", None, "Y"), (None, "none", "Z")], "id string, name string, location string")
+    details = spark.createDataFrame([("a", "asked"), (None, "no")], "course_id string, entry_requirements string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        record = R.course_record(courses, unis, details)
+        plan = record._jdf.queryExecution().sparkPlan().toString()
+        got = record.select("id", "university.*", "admission.entry_requirements").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin [university_id" in plan
+    assert sorted(map(tuple, got), key=str) == [("a", "One", "X", "asked"), ("b", "Unknown", None, None), ("c", "Unknown", None, None),
+                                                ("d", "One", "X", None), ("d", None, "Y", None)]
