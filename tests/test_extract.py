@@ -1,9 +1,11 @@
 """Page -> raw fields (the reference's extractor cases, with our own HTML)."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from prospectus.operators import extract as X
+from prospectus.operators import html as H
 from prospectus.operators.html import parse_html, parsed_pages
 
 PHYSICS_PAGE = """<html><head><title>Marine Physics, MEng with a year at sea</title>
@@ -230,3 +232,43 @@ def test_pages_parsed_for_named_selectors_give_the_same_fields(spark):
     out = H._Columns(False, X.selected(("department",)), False)
     H.parse_into(out, "a<p>b<p class=department>c<b>d</b></p>e")
     assert out.t_text == ["c", "d"] and not out.e_n
+
+
+def test_pages_that_nest_plainly_are_read_like_one_by_one():
+    """Many at a time or alone, a page gives the same columns; those that do not nest plainly go through the loop."""
+    plain = ["<!DOCTYPE html><title>T &amp; u</title><meta name=a content=b><dl><dt>Duration</dt><dd>2 years</dd></dl>t > 1",
+             "x<div class='programme-header'><h1 class='q course-title'>n<b>&lt;m</b></h1></div><section><h2>Entry</h2><p>e</p></section>",
+             "<ul><li>a</li><li>b<br>c</li></ul><p class=department>d</p><p>£5</p>", "<script>a &amp; b</script>£7", "", None]
+    odd = ["<p>a<p class=department>b", "<!-- <p> -->x", "<div><b></div></b>y", "<a t='>'>z</a>", "</p>q", "<title>a<b></title>c",
+           "<li>a<ul><li class=department>b</li></ul></li>", "a < b", "<script>'<p>'</script><h1>n</h1>", "<div class=department>open"]
+    docs = [d for pair in zip(plain * 2, odd + plain) for d in pair]
+    every = X.selected(tuple(X.R), title=True, meta=True)
+    for select, texts, lines in ((every, False, False), (every, True, False), (X.selected(("department",)), False, False),
+                                 ((), True, False), ((), True, True)):
+        alone = H._Columns(False, select, texts)
+        for d in docs:
+            H.parse_into(alone, d)
+            alone.end_page()
+        got, errors = H._selected_pages(pa.array(docs, pa.string()), select, texts, lines)
+        want = [alone.lines() if lines else alone.arrays(())[1], *alone.hits(True)]
+        assert [c.to_pylist() for c in got] == [c.to_pylist() for c in want] and errors == [None] * len(docs)
+    nests = H._PlainPages(H._Columns(False, every, False), pa.array([*plain, *odd], pa.string())).plain.tolist()
+    assert nests == [True] * len(plain) + [False] * len(odd)
+
+
+def test_bytes_of_a_page_parsed_for_selectors_are_decoded_or_quarantined():
+    cols, errors = H._selected_pages(pa.array(["<p class=department>é</p>".encode(), b"\xff", None]), X.selected(("department",)), False, False)
+    assert [[t["text"] for t in n] for n in cols[0].to_pylist()] == [["é"], [], []]
+    assert [e and e.split(":")[0] for e in errors] == [None, "UnicodeDecodeError", None]
+
+
+def test_fees_from_lines(spark):
+    """Keywords in any case, also beside letters outside of ASCII and in those that fold to ASCII."""
+    rows = [(1, "<p>UK: £1,000</p><p>Overſeas Größe: £2,000</p><p>Sandwich £30</p>"), (2, "<p>Für HOME: £5</p><p>£,</p>"), (3, None),
+            (4, "<p>Ho<b>me</b> £7</p><p>INTERNATIONAL £8<!-- uk £9 --></p><script>uk £10</script>"), (5, "<p>K uK £١٢</p>")]
+    df = spark.createDataFrame(rows, "page_id long, html string")
+    want = X.stage_selected(parsed_pages(df, select=()), ["page_id"], ()).select("page_id", "_priced")
+    got = X.stage_selected(parsed_pages(df, select=(), lines=True), ["page_id"], ())
+    assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+    fees = {r[0]: tuple(r[1:]) for r in got.select("page_id", *[c.alias(k) for k, c in X.extract_fees().items()]).collect()}
+    assert fees[1] == (1000, 30, 2000, 30) and fees[2] == (5, 5, 5, 5) and fees[3] == (None,) * 4 and fees[4] == (7, 7, 8, 7)
